@@ -24,7 +24,7 @@ from strata.sources.landing import landing_files, literal_path, read_landing, se
 from strata.sources.target import BATCH, Target
 
 LEDGER = "file_ledger"
-LOG = "build_log"
+LOG = "build_log"  # one per table, so that feeds may be loaded side by side
 # Bounds the path list one read is given; more files than this make more batches.
 FILES_PER_BATCH = 20_000
 
@@ -59,29 +59,34 @@ def ledger(target: Target, feed: Feed) -> DataFrame:
     return target.table("governance", name)
 
 
-def build_log(target: Target) -> DataFrame:
-    if not target.exists("governance", LOG):
+def build_log(target: Target, table: str) -> DataFrame:
+    """Commits of one table: version, operation, time and, for bronze, the batch."""
+    if not target.exists("governance", f"{LOG}_{table}"):
         return target.spark.createDataFrame([], _LOG_SCHEMA)
-    return target.table("governance", LOG)
+    return target.table("governance", f"{LOG}_{table}")
 
 
 def log_build(target: Target, table: str, operation: str, batch: int | None = None) -> None:
-    log = build_log(target).filter(F.col("table_name") == table)
-    version = log.agg(F.coalesce(F.max("version") + 1, F.lit(0))).first()[0]
-    row = (table, version, operation, datetime.now(timezone.utc), batch)
-    _append(target, LOG, target.spark.createDataFrame([row], _LOG_SCHEMA))
+    last = build_log(target, table).agg(F.coalesce(F.max("version") + 1, F.lit(0)).alias("version"))
+    entry = last.select(
+        F.lit(table).alias("table_name"),
+        F.col("version").cast("bigint"),
+        F.lit(operation).alias("operation"),
+        F.current_timestamp().alias("logged_at"),
+        F.lit(batch).cast("bigint").alias("batch"),
+    )
+    _append(target, f"{LOG}_{table}", entry)
 
 
 def _commits(target: Target, feed: Feed) -> DataFrame:
-    mine = build_log(target).filter(F.col("table_name") == feed.table)
-    return mine.filter(F.col("batch").isNotNull()).select("batch")
+    return build_log(target, feed.table).filter(F.col("batch").isNotNull()).select("batch")
 
 
 def _unfinished(target: Target, feed: Feed) -> list[int]:
     """Batches in the ledger with no commit in the log: planned now, or left by a dead run."""
     planned = ledger(target, feed).select("batch").distinct()
     todo = planned.join(_commits(target, feed), "batch", "left_anti")
-    return [r.batch for r in todo.orderBy("batch").collect()]
+    return sorted(r.batch for r in todo.collect())
 
 
 def _plan(target: Target, feed: Feed, files: DataFrame, per_batch: int, listed_at: datetime) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -93,6 +94,9 @@ CHANGES = Feed(
 )
 FEEDS = (EMPLOYEE, DEPARTMENT, CHANGES)
 
+# Tables built at the same time.
+THREADS = 4
+
 # The tables of the upper layers, and what silver keeps of the provenance.
 SILVER_EMPLOYEE, SILVER_DEPARTMENT = "silver_hr_employee", "silver_hr_department"
 GOLD_HEADCOUNT, WORKFORCE = "gold_hr_headcount_by_department", "mv_hr_workforce"
@@ -128,12 +132,18 @@ def build(
 ) -> None:
     """Landing to gold. Gold reads silver as ``pipeline``, who has to be exempt from the masks."""
     target.setup()
-    for feed in FEEDS:
+
+    def load(feed: Feed) -> None:
         ingest(target, feed, landing, full_refresh=full_refresh)
-        ingest(target, feed.sidecar(sidecar_glob), landing, full_refresh=full_refresh)
-    for table, feed in ((SILVER_EMPLOYEE, EMPLOYEE), (SILVER_DEPARTMENT, DEPARTMENT)):
+
+    def reduce_to_current(table: str, feed: Feed) -> None:
         target.rebuild("silver", table, silver(bronze(target, feed), feed))
         log_build(target, table, "CREATE OR REPLACE")
+
+    # Tables of one layer do not depend on each other: their jobs are submitted together.
+    with ThreadPoolExecutor(max_workers=THREADS) as pool:
+        list(pool.map(load, [f for feed in FEEDS for f in (feed, feed.sidecar(sidecar_glob))]))
+        list(pool.map(reduce_to_current, (SILVER_EMPLOYEE, SILVER_DEPARTMENT), (EMPLOYEE, DEPARTMENT)))
     policies = governance or hr_governance(target)
     caller = pipeline or PIPELINE
     gold = headcount_by_department(
