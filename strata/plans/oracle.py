@@ -265,9 +265,9 @@ ORACLE: dict[str, str] = {
         SELECT '/landing/documents' AS directory, file_name, declared_md5, actual_md5 FROM f
         WHERE declared_md5 IS NULL OR declared_md5 <> actual_md5""",
     "dates_disagree": """
-        SELECT 'documents: n_chars <> measured' AS check_name, CAST(doc_id AS VARCHAR) AS _file_name,
-               CAST(n_chars AS VARCHAR) AS a, CAST(length(text) AS VARCHAR) AS b
-        FROM documents WHERE n_chars <> length(text)""",
+        SELECT 'documents: n_chars <> n_bytes' AS check_name, CAST(doc_id AS VARCHAR) AS _file_name,
+               CAST(n_chars AS VARCHAR) AS a, CAST(strlen(text) AS VARCHAR) AS b
+        FROM documents WHERE n_chars <> strlen(text)""",
     "event_order": _tallies("""
         SELECT 'event_order' AS check_name, count(*) AS population,
                count(*) FILTER (WHERE CAST(o_orderdate AS DATE) > CAST(l_shipdate AS DATE)) AS failures

@@ -157,11 +157,11 @@ def ctrl_md5(spark, d):
 
 @query
 def dates_disagree(spark, d):
-    """Two statements of the same value that differ: the stated length of a text and its length."""
+    """Statements of one value that differ: the length of a text, in characters and in bytes."""
     documents = table(spark, d, "documents").select(
-        F.col("doc_id").cast("string").alias("_file_name"), "n_chars", F.length("text").alias("measured")
+        F.col("doc_id").cast("string").alias("_file_name"), "n_chars", F.octet_length("text").alias("n_bytes")
     )
-    return contracts.disagreeing("documents: n_chars <> measured", documents, "n_chars", "measured")
+    return contracts.disagreeing("documents: n_chars <> n_bytes", documents, "n_chars", "n_bytes")
 
 
 @query

@@ -35,6 +35,10 @@ from strata.sources.feeds import Feed
 from strata.functions.text import KEYED_DATE_DIRECTORY
 
 
+def _tag(name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("tag_name"), value.alias("tag_value"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -267,9 +271,9 @@ def metadata(spark: SparkSession, d: str) -> Metadata:
         *key,
         F.inline(
             F.array(
-                F.struct(F.lit("domain").alias("tag_name"), F.col("p_type").alias("tag_value")),
-                F.struct(F.lit("layer"), F.col("table_schema")),
-                F.struct(F.lit("contains_pii"), pii),
+                _tag("domain", F.col("p_type")),
+                _tag("layer", F.col("table_schema")),
+                _tag("contains_pii", pii),
             )
         ),
     )
@@ -287,13 +291,8 @@ def metadata(spark: SparkSession, d: str) -> Metadata:
         "column_name",
         F.inline(
             F.array(
-                F.struct(
-                    F.lit("pii_class").alias("tag_name"),
-                    F.when(F.col("q") >= 45, F.col("pii_class")).alias("tag_value"),
-                ),
-                F.struct(
-                    F.lit("data_sensitivity"), F.when(F.col("q") >= 50, "Restricted").otherwise("internal")
-                ),
+                _tag("pii_class", F.when(F.col("q") >= 45, F.col("pii_class"))),
+                _tag("data_sensitivity", F.when(F.col("q") >= 50, "Restricted").otherwise("internal")),
             )
         ),
     ).filter(F.col("tag_value").isNotNull())
