@@ -161,7 +161,8 @@ def _directories(spark: SparkSession, root: str) -> list[str]:
     found, queue = [], [filesystem.makeQualified(path)]
     while queue:
         here = queue.pop()
-        found.append(here.toUri().toString())
+        # File metadata names local files with one slash.
+        found.append(re.sub(r"^file:/+", "file:/", here.toUri().toString()))
         below = [s.getPath() for s in filesystem.listStatus(here) if s.isDirectory()]
         queue += [p for p in below if p.getName()[0] not in "._"]
     return found

@@ -77,11 +77,11 @@ class Target:
         order = [c for c in self.table(layer, table).columns if c != BATCH]
         have = set(rows.columns)
         aligned = [F.col(c) if c in have else F.lit(None).alias(c) for c in order]
-        (
-            rows.select(*aligned, F.lit(batch).cast("bigint").alias(BATCH))
-            .write.option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .insertInto(self.name(layer, table))
+        # A named partition is replaced alone, whatever the session's overwrite mode is.
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.name(layer, table)} PARTITION ({BATCH} = {int(batch)}) "
+            "SELECT * FROM {rows}",
+            rows=rows.select(*aligned),
         )
 
     def reload(self, layer: str, table: str, rows: list[tuple], schema: str) -> DataFrame:

@@ -45,7 +45,7 @@ def department(did, day, **over):
         "dept_name": f"Department {did}",
         "parent_dept_id": "",
         "is_active": "true",
-        "cost_centre": f"CC{did // 2}",
+        "cost_centre": "CC1" if did in (1, 2) else "CC2",
         "location_code": "NORTH",
         "snapshot_date": day,
     }
