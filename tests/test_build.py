@@ -1,10 +1,20 @@
+from datetime import date
 from decimal import Decimal
 
-from fixtures import standard
+import pytest
+from fixtures import change, department, drop, employee, standard
+from pyspark.sql import functions as F
 
-from strata.operators import quality
+from strata.operators import policy, quality, register
+from strata.operators.ingest import bronze, build_log
 from strata.plans import hr
 
+LATE = "2025-03-31"
+
+
+def failing(outcome):
+    return {r.check_name for r in outcome.collect() if r.status == "failed"}
+
 
 def test_build_end_to_end(target, landing):
     root = standard(landing)
@@ -24,6 +34,70 @@ def test_build_end_to_end(target, landing):
     silver = target.table("silver", hr.SILVER_EMPLOYEE)
     assert len(silver.columns) == 24 and "date_of_birth" not in silver.columns
     assert silver.count() == 6
+    quality.require(hr.checks(target, root), hr.EXPECTED_CHECKS)
+
+    # Descriptions reach the catalog and can be read back.
+    columns = hr.gold_columns(target)
+    assert quality.undocumented_measures(columns).first()[0] == "yes"
+    assert quality.ambiguous_names(columns).first()[0] == "yes"
+    target.describe_column("gold", hr.GOLD_HEADCOUNT, "headcount_people", "short")
+    assert quality.undocumented_measures(hr.gold_columns(target)).first()[0] == f"{hr.GOLD_HEADCOUNT}.headcount_people"
+
+    # The policies over the built tables: register, metric view, access map.
+    rules = hr.hr_governance(target)
+    hr.load_access_map(target, [(hr.BIZ.name, 1), (hr.BIZ.name, 3)], date(2025, 3, 1))
+    before = hr.register(target, rules)
+    assert policy.ungoverned_values(hr.tag_uses(rules, target)).count() == 0
+    assert {r.table_name for r in register.unapproved_on(before, "bronze").collect()} == {
+        "bronze_hr_employee", "bronze_hr_employee_changes",
+    }
+    hr.load_exceptions(target, date(2025, 3, 1))
+    clean = hr.register(target, rules)
+    assert register.findings(clean).count() == 0
+    flags = {r.table_name: r.review_flag for r in clean.collect()}
+    assert flags[hr.SILVER_EMPLOYEE] == register.PROTECTED and flags[hr.GOLD_HEADCOUNT] == register.PROTECTED
+    assert flags["bronze_hr_employee"] == register.APPROVED and len(flags) == 10
+    untagged = {k: v for k, v in hr.CONTAINS_PII.items() if k[1] != hr.WORKFORCE}
+    red = register.findings(hr.register(target, rules, untagged)).collect()
+    # The tag is gone, the layer tag goes with it: unclassified is a finding of its own.
+    assert [(r.table_name, r.review_flag) for r in red] == [(hr.WORKFORCE, register.UNCLASSIFIED)]
+    assert hr.MV_WORKFORCE.headcount(rules, hr.STEWARD).first().headcount_people == 5
+    assert hr.MV_WORKFORCE.headcount(rules, hr.BIZ).first().headcount_people == 3
+    assert [r.dept_id for r in rules.read(f"gold.{hr.GOLD_HEADCOUNT}", hr.BIZ).orderBy("dept_id").collect()] == [1, 3]
+
+    # A later delivery full of faults: every one of them is found, and nothing else is.
+    drop(landing, "employee", LATE, "employee_late", [
+        employee(1, LATE, dept_id=77),
+        employee(7, LATE, salary_annual="-1.00"),
+        employee(8, LATE, is_employed=""),
+    ], count=9)
+    drop(landing, "department", LATE, "department_late", [department(1, "2025-03-30")], md5="beef")
+    names = list(hr.CHANGES.column_names)
+    names[3], names[4] = names[4], names[3]
+    drop(landing, "employee_changes", LATE, "changes_late", [[1, LATE, "a", "x", "y", "2025-03-01"]], header=names)
+    drop(landing, "employee_changes", LATE, "undeclared", [change(1, LATE, LATE)], sidecar=False)
+    drop(landing, "employee_changes", LATE, "wide", [[1, LATE, "a", "x", "y", LATE, "extra"]], header=hr.CHANGES.column_names)
+    hr.build(target, root)
+    assert failing(hr.checks(target, root)) == {
+        "bronze_hr_employee.between_salary_annual",
+        "silver_hr_employee.not_null_is_employed",
+        "silver_hr_employee.relationships_dept_id",
+        "ctrl_files_present",
+        "ctrl_md5_matches",
+        "ctrl_record_counts.employee",
+        "ctrl_record_counts.employee_changes",
+        "no_rescued_data",
+        "dates_agree",
+        "headcount_reconciles",
+        "landing_headers_match",
+    }
+    operations = [r.operation for r in build_log(target, hr.GOLD_HEADCOUNT).collect()]
+    assert operations == ["CREATE OR REPLACE"] * 2
+    assert {r.operation for r in build_log(target, hr.EMPLOYEE.table).collect()} == {"WRITE"}
 
-    rows = quality.require(hr.checks(target, root), hr.EXPECTED_CHECKS)
-    assert len(rows) == hr.EXPECTED_CHECKS
+    # As it stood after the first build: bronze is append-only and not masked.
+    first = build_log(target, hr.EMPLOYEE.table).agg(F.min("logged_at")).first()[0]
+    assert rules.as_of("bronze.bronze_hr_employee", hr.STEWARD, first).count() == 12
+    assert bronze(target, hr.EMPLOYEE).count() == 15
+    with pytest.raises(policy.AsOfRefused):
+        rules.as_of(f"silver.{hr.SILVER_EMPLOYEE}", hr.STEWARD, first)
