@@ -25,3 +25,14 @@ def current_rows(
     order = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in recency])
     ranked = rows.withColumn("_recency", F.row_number().over(order))
     return ranked.filter(F.col("_recency") == 1).drop("_recency")
+
+
+def merge_current(
+    current: DataFrame, fresh: DataFrame, key: str | Sequence[str], recency: Sequence[str] = RECENCY
+) -> DataFrame:
+    """Current rows after fresh ones arrived.
+
+    The most recent of all rows is the most recent of the earlier winner and the fresh rows,
+    so history does not have to be read again. Holds as long as rows are only ever added.
+    """
+    return current_rows(current.unionByName(fresh.select(*current.columns)), key, recency)

@@ -24,6 +24,8 @@ from strata.sources.landing import landing_files, literal_path, read_landing, se
 from strata.sources.target import BATCH, Target
 
 LEDGER = "file_ledger"
+# How the log names an append and a rewrite.
+APPEND, REPLACE = "WRITE", "CREATE OR REPLACE"
 LOG = "build_log"  # one per table, so that feeds may be loaded side by side
 # Bounds the path list one read is given; more files than this make more batches.
 FILES_PER_BATCH = 20_000
@@ -164,10 +166,37 @@ def ingest(
     planned = _plan(target, feed, files, files_per_batch, listed_at)
     todo = _unfinished(target, feed)
     for batch in todo:
-        _load(target, feed, batch, "CREATE OR REPLACE" if full_refresh else "WRITE")
+        _load(target, feed, batch, REPLACE if full_refresh else APPEND)
     return Loaded(planned, len(todo))
 
 
-def bronze(target: Target, feed: Feed) -> DataFrame:
-    """A feed's bronze rows as delivered, without the storage partition column."""
-    return target.table("bronze", feed.table).drop(BATCH)
+def bronze(target: Target, feed: Feed, after_batch: int | None = None) -> DataFrame:
+    """A feed's bronze rows as delivered, without the storage partition column.
+
+    ``after_batch`` leaves out earlier batches; their partitions are not even listed.
+    """
+    rows = target.table("bronze", feed.table)
+    if after_batch is not None:
+        rows = rows.filter(F.col(BATCH) > after_batch)
+    return rows.drop(BATCH)
+
+
+@dataclass(frozen=True)
+class Progress:
+    """How far a table built from a feed has come."""
+
+    last: int | None  # newest batch of the feed
+    merged: int | None  # newest batch the built table holds; None: build it from all rows
+
+
+def progress(target: Target, feed: Feed, table: str) -> Progress:
+    """Compare the commits of a feed with what a table built from it recorded."""
+    commits = build_log(target, feed.table)
+    last = commits.agg(F.max("batch")).first()[0]
+    if not target.exists("silver", table):
+        return Progress(last, None)
+    merged = build_log(target, table).agg(F.max("batch")).first()[0]
+    if merged is None:
+        return Progress(last, None)
+    restarted = commits.filter((F.col("batch") > merged) & (F.col("operation") == REPLACE)).limit(1).count()
+    return Progress(last, None if restarted else merged)

@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from strata.functions.masks import Mask, keep_domain, redacted, to_null
 from strata.operators import contracts, quality
-from strata.operators.current import RECENCY, current_rows
+from strata.operators.current import RECENCY, current_rows, merge_current
 from strata.operators.headcount import headcount_by_department
-from strata.operators.ingest import bronze, ingest, log_build
+from strata.operators.ingest import REPLACE, bronze, ingest, log_build, progress
 from strata.operators.metrics import Lookup, MetricView
 from strata.operators.policy import (
     ANALYSTS,
@@ -130,15 +130,28 @@ def build(
     full_refresh: bool = False,
     sidecar_glob: str = "*.ctrl",
 ) -> None:
-    """Landing to gold. Gold reads silver as ``pipeline``, who has to be exempt from the masks."""
+    """Landing to gold. Gold reads silver as ``pipeline``, who has to be exempt from the masks.
+
+    Silver is merged with the batches that are new to it, which gives the same rows as
+    reducing all of bronze again; a first build and a full refresh do the latter.
+    """
     target.setup()
 
     def load(feed: Feed) -> None:
         ingest(target, feed, landing, full_refresh=full_refresh)
 
     def reduce_to_current(table: str, feed: Feed) -> None:
-        target.rebuild("silver", table, silver(bronze(target, feed), feed))
-        log_build(target, table, "CREATE OR REPLACE")
+        done = progress(target, feed, table)
+        whole = silver(bronze(target, feed), feed)
+        if done.merged is None or target.table("silver", table).columns != whole.columns:
+            rows = whole
+        elif done.merged == done.last:
+            return
+        else:
+            fresh = bronze(target, feed, after_batch=done.merged)
+            rows = merge_current(target.table("silver", table), fresh, feed.key)
+        target.rebuild("silver", table, rows)
+        log_build(target, table, REPLACE, done.last)
 
     # Tables of one layer do not depend on each other: their jobs are submitted together.
     with ThreadPoolExecutor(max_workers=THREADS) as pool:
@@ -152,7 +165,7 @@ def build(
     )
     target.rebuild("gold", GOLD_HEADCOUNT, gold, GOLD_COMMENTS)
     target.describe("gold", GOLD_HEADCOUNT, "People and cost per department, currently employed staff only.")
-    log_build(target, GOLD_HEADCOUNT, "CREATE OR REPLACE")
+    log_build(target, GOLD_HEADCOUNT, REPLACE)
 
 
 # --- policies ---------------------------------------------------------------------------

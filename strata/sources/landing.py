@@ -7,7 +7,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,17 +89,17 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _stream_md5(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stream_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = []
-        for uri in batch["_file_path"]:
+        for uri in batch["_file_path"].to_pylist():
             filesystem, path = _open(uri)
             digest = hashlib.md5()
             with filesystem.open_input_stream(path) as stream:
                 while chunk := stream.read(_CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
-        yield batch.assign(actual_md5=digests)
+        yield batch.append_column("actual_md5", pa.array(digests, pa.string()))
 
 
 def content_md5(
@@ -122,7 +122,7 @@ def content_md5(
         landing_files(spark, root, glob)
         .filter(F.col("length") > stream_above)
         .select("_file_path", "file_name")
-        .mapInPandas(_stream_md5, "_file_path string, file_name string, actual_md5 string")
+        .mapInArrow(_stream_md5, "_file_path string, file_name string, actual_md5 string")
     )
     empty = empty_files(spark, root, glob).select(
         "_file_path", "file_name", F.md5(F.lit("")).alias("actual_md5")
@@ -130,10 +130,10 @@ def content_md5(
     return small.unionByName(large).unionByName(empty)
 
 
-def _first_line(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = []
-        for uri in batch["_file_path"]:
+        for uri in batch["_file_path"].to_pylist():
             filesystem, path = _open(uri)
             head = b""
             with filesystem.open_input_stream(path) as stream:
@@ -141,7 +141,7 @@ def _first_line(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     head += chunk
             line = head.split(b"\n", 1)[0].decode("utf-8", "replace")
             lines.append(line.removeprefix("﻿").rstrip("\r"))
-        yield batch.assign(header=lines)
+        yield batch.append_column("header", pa.array(lines, pa.string()))
 
 
 def header_lines(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -149,7 +149,7 @@ def header_lines(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
     return (
         landing_files(spark, root, glob)
         .select("_file_path", "file_name")
-        .mapInPandas(_first_line, "_file_path string, file_name string, header string")
+        .mapInArrow(_first_line, "_file_path string, file_name string, header string")
     )
 
 
@@ -171,27 +171,28 @@ def _directories(spark: SparkSession, root: str) -> list[str]:
 def empty_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Zero-byte objects, which a binary scan skips. Tasks list the directories."""
 
-    def list_empty(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def list_empty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from urllib.parse import quote
 
         from pyarrow import fs
 
         for batch in batches:
-            rows = []
-            for uri in batch["directory"]:
+            paths, names = [], []
+            for uri in batch["directory"].to_pylist():
                 filesystem, path = _open(uri)
                 for info in filesystem.get_file_info(fs.FileSelector(path)):
                     name = info.base_name
                     if info.type != fs.FileType.File or info.size or name[0] in "._":
                         continue
                     if fnmatch.fnmatchcase(name, glob):
-                        full = f"{uri.rstrip('/')}/{quote(name, safe='+=,;@&$!()')}"
-                        rows.append((full, name, info.mtime))
-            yield pd.DataFrame(rows, columns=["_file_path", "file_name", "_file_last_modified"])
+                        paths.append(f"{uri.rstrip('/')}/{quote(name, safe='+=,;@&$!()')}")
+                        names.append(name)
+            columns = [pa.array(paths, pa.string()), pa.array(names, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["_file_path", "file_name"])
 
-    schema = "_file_path string, file_name string, _file_last_modified timestamp"
+    schema = "_file_path string, file_name string"
     folders = spark.createDataFrame([(d,) for d in _directories(spark, root)], "directory string")
-    return folders.repartition("directory").mapInPandas(list_empty, schema)
+    return folders.repartition("directory").mapInArrow(list_empty, schema)
 
 
 def present_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:

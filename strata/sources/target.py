@@ -40,7 +40,11 @@ class Target:
     def rebuild(
         self, layer: str, table: str, rows: DataFrame, comments: dict[str, str] | None = None
     ) -> DataFrame:
-        """Rewrite a table whole. Column comments travel with the schema into the metastore."""
+        """Rewrite a table whole. Column comments travel with the schema into the metastore.
+
+        The rows go to a staging table that takes the name when it is complete: a build that
+        fails leaves the old table as it was, and the rows may be computed from that table.
+        """
         described = rows.select(
             *[
                 F.col(c).alias(c, metadata={"comment": comments[c]})
@@ -49,7 +53,10 @@ class Target:
                 for c in rows.columns
             ]
         )
-        described.write.mode("overwrite").saveAsTable(self.name(layer, table))
+        name, staging = self.name(layer, table), self.name(layer, f"{table}__next")
+        described.write.mode("overwrite").saveAsTable(staging)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
         return self.table(layer, table)
 
     def create_batched(self, layer: str, table: str, schema: T.StructType) -> None:
@@ -86,9 +93,7 @@ class Target:
 
     def reload(self, layer: str, table: str, rows: list[tuple], schema: str) -> DataFrame:
         """Replace a control table whole, so that nothing departed survives in it."""
-        data = self.spark.createDataFrame(rows, schema)
-        data.write.mode("overwrite").saveAsTable(self.name(layer, table))
-        return self.table(layer, table)
+        return self.rebuild(layer, table, self.spark.createDataFrame(rows, schema))
 
     def describe(self, layer: str, table: str, comment: str) -> None:
         quoted = comment.replace("\\", "\\\\").replace("'", "\\'")

@@ -6,7 +6,7 @@ from fixtures import change, department, drop, employee, standard
 from pyspark.sql import functions as F
 
 from strata.operators import policy, quality, register
-from strata.operators.ingest import bronze, build_log
+from strata.operators.ingest import bronze, build_log, ingest
 from strata.plans import hr
 
 LATE = "2025-03-31"
@@ -94,6 +94,12 @@ def test_build_end_to_end(target, landing):
     operations = [r.operation for r in build_log(target, hr.GOLD_HEADCOUNT).collect()]
     assert operations == ["CREATE OR REPLACE"] * 2
     assert {r.operation for r in build_log(target, hr.EMPLOYEE.table).collect()} == {"WRITE"}
+    assert [r.batch for r in build_log(target, hr.SILVER_EMPLOYEE).orderBy("version").collect()] == [0, 1]
+
+    # The merged silver tables are what a reduction of all of bronze gives.
+    for table, feed in ((hr.SILVER_EMPLOYEE, hr.EMPLOYEE), (hr.SILVER_DEPARTMENT, hr.DEPARTMENT)):
+        merged, whole = target.table("silver", table), hr.silver(bronze(target, feed), feed)
+        assert merged.exceptAll(whole).count() == 0 and whole.exceptAll(merged).count() == 0
 
     # As it stood after the first build: bronze is append-only and not masked.
     first = build_log(target, hr.EMPLOYEE.table).agg(F.min("logged_at")).first()[0]
@@ -101,3 +107,23 @@ def test_build_end_to_end(target, landing):
     assert bronze(target, hr.EMPLOYEE).count() == 15
     with pytest.raises(policy.AsOfRefused):
         rules.as_of(f"silver.{hr.SILVER_EMPLOYEE}", hr.STEWARD, first)
+
+
+def test_refresh_restarts_silver(target, landing):
+    drop(landing, "department", "2025-01-31", "d", [department(1, "2025-01-31"), department(2, "2025-01-31")])
+    drop(landing, "employee", "2025-01-31", "e", [employee(1, "2025-01-31")])
+    drop(landing, "employee_changes", "2025-01-31", "c", [])
+    hr.build(target, str(landing))
+    gone = next((landing / "department" / "2025-01-31").glob("*.csv"))
+    gone.write_text(gone.read_text().rsplit("\n", 2)[0] + "\n")
+    ingest(target, hr.DEPARTMENT, str(landing), full_refresh=True)
+    hr.build(target, str(landing))
+    assert [r.dept_id for r in target.table("silver", hr.SILVER_DEPARTMENT).collect()] == [1]
+    assert target.table("gold", hr.GOLD_HEADCOUNT).count() == 1
+
+
+def test_failed_rebuild_keeps_the_old_table(target, spark):
+    target.rebuild("silver", "kept", spark.range(3))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        target.rebuild("silver", "kept", spark.range(3).select((F.lit(1) / F.col("id")).alias("id")))
+    assert target.table("silver", "kept").count() == 3
