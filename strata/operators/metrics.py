@@ -8,6 +8,7 @@ filters come before the aggregation, so a masked measure is NULL and not a wrong
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -39,16 +40,33 @@ class MetricView:
     row_filter: RowFilter | None = None
     comments: Mapping[str, str] = field(default_factory=dict)
 
-    def rows(self, governance: Governance, principal: Principal) -> DataFrame:
-        """Source rows as the caller may see them, filtered and joined."""
+    def _needed(self, expressions: Sequence[str]) -> list[str]:
+        """Lookups the expressions mention, directly or through another lookup's condition.
+
+        A many-to-one left join neither adds nor drops source rows, so one that nobody
+        asks about is left out of the plan.
+        """
+        needed, text = [], " ".join(expressions)
+        for name in reversed(list(self.lookups)):
+            if re.search(rf"\b{name}\.", text):
+                needed.insert(0, name)
+                text += " " + self.lookups[name].on
+        return needed
+
+    def rows(
+        self, governance: Governance, principal: Principal, expressions: Sequence[str]
+    ) -> DataFrame:
+        """Source rows as the caller may see them, filtered, with the lookups the expressions need."""
         governance.demand(self.name, principal)
-        rows = governance.secured(self.source, principal).alias("source").filter(self.filter)
+        rows = governance.secured(self.source, principal)
         if self.row_filter:
-            rows = governance.visible(rows, self.row_filter, principal).alias("source")
-        for name, lookup in self.lookups.items():
+            rows = governance.visible(rows, self.row_filter, principal)
+        rows = rows.alias("source")
+        for name in self._needed([self.filter, *expressions]):
+            lookup = self.lookups[name]
             side = governance.secured(lookup.table, principal).alias(name)
             rows = rows.join(side, F.expr(lookup.on), "left")
-        return rows
+        return rows.filter(self.filter)
 
     def query(
         self,
@@ -62,11 +80,13 @@ class MetricView:
         unknown = [m for m in measures if m not in self.measures] + [d for d in by if d not in self.dimensions]
         if unknown:
             raise KeyError(f"{self.name} has no {', '.join(unknown)}")
-        rows = self.rows(governance, principal)
+        groups, aggregates = [self.dimensions[d] for d in by], [self.measures[m] for m in measures]
+        rows = self.rows(governance, principal, [*groups, *aggregates, where or ""])
         if where:
             rows = rows.filter(where)
-        aggregates = [F.expr(self.measures[m]).alias(m) for m in measures]
-        return rows.groupBy(*[F.expr(self.dimensions[d]).alias(d) for d in by]).agg(*aggregates)
+        return rows.groupBy(*[F.expr(e).alias(d) for d, e in zip(by, groups)]).agg(
+            *[F.expr(e).alias(m) for m, e in zip(measures, aggregates)]
+        )
 
     def headcount(
         self, governance: Governance, principal: Principal, by: Sequence[str] = ()

@@ -146,6 +146,16 @@ def test_metric_view(world):
         view.query(world, nobody, ["headcount_people"])
 
 
+def test_metric_view_joins_only_what_is_asked(world):
+    def joins(by):
+        asked = hr.MV_WORKFORCE.query(world, STEWARD, ["headcount_people"], by)
+        return asked._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+    assert joins([]) == 0 and joins(["Employment type"]) == 0 and joins(["Department"]) == 1
+    filtered = hr.MV_WORKFORCE.query(world, STEWARD, ["headcount_people"], where="dept.cost_centre = 'CC1'")
+    assert filtered.first().headcount_people == 3
+
+
 def test_the_layer_does_not_widen_access(world):
     view = hr.MV_WORKFORCE
 
