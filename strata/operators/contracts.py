@@ -53,10 +53,9 @@ def record_counts(model: str, sidecar: DataFrame, bronze: DataFrame, by_name: bo
     """Declared row counts against loaded ones, in both directions."""
     declared = sidecar.select(_place(by_name), "file_name", F.col("record_count").alias("declared"))
     declared = declared.withColumn("in_sidecar", F.lit(True))
-    loaded = (
-        bronze.groupBy(_place(by_name), F.col("_file_name").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("loaded"))
-    )
+    # Rows are counted per file as it stands; its directory is worked out once per file.
+    per_file = bronze.groupBy(*([] if by_name else ["_file_path"]), "_file_name").agg(F.count(F.lit(1)).alias("loaded"))
+    loaded = per_file.select(_place(by_name), F.col("_file_name").alias("file_name"), "loaded")
     reason = (
         F.when(F.col("in_sidecar").isNull(), NO_SIDECAR)
         .when(F.col("declared").isNull(), NULL_COUNT)

@@ -41,8 +41,9 @@ class Metadata:
 
 def tag_pivot(table_tags: DataFrame) -> DataFrame:
     """One row per table with the three tags the register shows."""
-    wanted = ["domain", "layer", "contains_pii"]
-    return table_tags.groupBy(*TABLE).pivot("tag_name", wanted).agg(F.max("tag_value"))
+    wanted = ("domain", "layer", "contains_pii")
+    values = [F.max(F.when(F.col("tag_name") == tag, F.col("tag_value"))).alias(tag) for tag in wanted]
+    return table_tags.groupBy(*TABLE).agg(*values)
 
 
 def column_facts(meta: Metadata) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.text import base_name, decoded
 from strata.functions.masks import Mask, keep_domain, redacted, to_null
 from strata.operators import contracts, quality
 from strata.operators.current import RECENCY, current_rows, merge_current
 from strata.operators.headcount import headcount_by_department
-from strata.operators.ingest import REPLACE, bronze, ingest, log_build, progress
+from strata.operators.ingest import REPLACE, bronze, ingest, ledger, log_build, progress
 from strata.operators.metrics import Lookup, MetricView
 from strata.operators.policy import (
     ANALYSTS,
@@ -32,7 +34,7 @@ from strata.operators.policy import (
 )
 from strata.operators.register import Metadata, stewardship_register
 from strata.sources.feeds import Feed
-from strata.sources.landing import content_md5, header_lines, present_files
+from strata.sources.landing import content_md5, file_md5, header_lines, landing_files, present_files, spread
 from strata.sources.target import Target
 
 # The delivered columns of the three feeds, in file order.
@@ -381,6 +383,10 @@ MV_WORKFORCE = MetricView(
 EXPECTED_CHECKS = 46
 
 
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 @dataclass(frozen=True)
 class Layers:
     """The built tables a check run looks at."""
@@ -458,30 +464,40 @@ def date_findings(built: Layers) -> DataFrame:
     found.append(
         contracts.disagreeing("changes: event_date after received_date", built.data[CHANGES.table], "event_date", "received_date", ">")
     )
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result
+    return _union(found)
+
+
+def delivered(target: Target, landing: str, feed: Feed, since: datetime | None) -> DataFrame:
+    """A feed's files: all that are there, or those the ledger listed from ``since`` on."""
+    if since is None:
+        return landing_files(target.spark, f"{landing.rstrip('/')}/{feed.name}", feed.glob)
+    listed = ledger(target, feed).filter(F.col("listed_at") >= F.lit(since))
+    named = listed.select("_file_path", decoded(base_name(F.col("_file_path"))).alias("file_name"))
+    return spread(named, "_file_path")
 
 
-def checks(target: Target, landing: str) -> DataFrame:
-    """All checks of a build, one result row each."""
+def checks(target: Target, landing: str, since: datetime | None = None) -> DataFrame:
+    """All checks of a build, one result row each.
+
+    With ``since`` the checks that open files open only those first listed from then on. A file
+    whose bytes changed under an old time is found by a run without it.
+    """
     built = layers(target)
     spark = target.spark
     sidecars = list(built.sidecars.values())
-    all_sidecars = sidecars[0].unionByName(sidecars[1]).unionByName(sidecars[2])
+    all_sidecars = _union(sidecars)
     employee = built.data[EMPLOYEE.table]
     files = present_files(spark, landing, "*.csv")
+    opened = {f.name: delivered(target, landing, f, since) for f in FEEDS}
+    actual = content_md5(spark, landing) if since is None else _union([file_md5(f) for f in opened.values()])
+    headers = _union([contracts.headers(header_lines(opened[f.name]), f) for f in FEEDS])
     tally = quality.tally
     stored = {**built.data, **built.sidecars}
-    every_row = [rows.select("_file_name") for rows in stored.values()]
-    all_rows = every_row[0]
-    for more in every_row[1:]:
-        all_rows = all_rows.unionByName(more)
+    all_rows = _union([rows.select("_file_name") for rows in stored.values()])
     tallies = column_checks(built)
     tallies += [
         tally("ctrl_files_present", contracts.presence(files, sidecars), files),
-        tally("ctrl_md5_matches", contracts.digests(content_md5(spark, landing), sidecars), all_sidecars),
+        tally("ctrl_md5_matches", contracts.digests(actual, sidecars), all_sidecars),
         *[
             tally(f"ctrl_record_counts.{f.name}",
                   contracts.record_counts(f.table, built.sidecars[f"{f.table}_ctrl"], built.data[f.table]),
@@ -504,18 +520,11 @@ def checks(target: Target, landing: str) -> DataFrame:
               quality.wrongly_picked("department", built.department, built.data[DEPARTMENT.table], "dept_id", RECENCY),
               built.department),
         tally("headcount_reconciles", quality.headcount_gap(built.employee, built.gold), built.employee),
-        tally("landing_headers_match", header_findings(target, landing), files),
+        tally("landing_headers_match", headers, files),
     ]
     return quality.results(tallies)
 
 
-def header_findings(target: Target, landing: str) -> DataFrame:
-    """Files of any feed whose header line is not the declared one (an addition)."""
-    root = landing.rstrip("/")
-    found = [contracts.headers(header_lines(target.spark, f"{root}/{f.name}", f.glob), f) for f in FEEDS]
-    return found[0].unionByName(found[1]).unionByName(found[2])
-
-
 def gold_columns(target: Target) -> DataFrame:
     """Names and descriptions of everything gold offers, the metric view included."""
     return target.columns("gold").unionByName(MV_WORKFORCE.describe(target.spark))

@@ -35,7 +35,7 @@ def _landed(spark: SparkSession, d: str, label: str) -> tuple[Target, str]:
     """Orders delivered under the first day of their year, and an empty target."""
     root = scratch_dir(spark, label)
     business_date = F.trunc("o_orderdate", "year")
-    deliver(star.delivered_orders(spark, d), f"{root}/landing", ORDERS, business_date)
+    deliver(star.delivered_orders(spark, d), f"{root}/landing", ORDERS, business_date, "sales")
     prefix = f"{root.rsplit('/', 1)[1].replace('-', '_')}_"
     return Target(spark, f"{root}/built", prefix).setup(), f"{root}/landing"
 

@@ -102,6 +102,12 @@ def _stream_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("actual_md5", pa.array(digests, pa.string()))
 
 
+def file_md5(files: DataFrame) -> DataFrame:
+    """md5 of the named files only, each read in chunks by the task that holds its row."""
+    named = files.select("_file_path", "file_name")
+    return named.mapInArrow(_stream_md5, "_file_path string, file_name string, actual_md5 string")
+
+
 def content_md5(
     spark: SparkSession,
     root: str,
@@ -118,12 +124,7 @@ def content_md5(
         .filter(F.col("length") <= stream_above)
         .select("_file_path", "file_name", F.md5("content").alias("actual_md5"))
     )
-    large = (
-        landing_files(spark, root, glob)
-        .filter(F.col("length") > stream_above)
-        .select("_file_path", "file_name")
-        .mapInArrow(_stream_md5, "_file_path string, file_name string, actual_md5 string")
-    )
+    large = file_md5(landing_files(spark, root, glob).filter(F.col("length") > stream_above))
     empty = empty_files(spark, root, glob).select(
         "_file_path", "file_name", F.md5(F.lit("")).alias("actual_md5")
     )
@@ -144,31 +145,45 @@ def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("header", pa.array(lines, pa.string()))
 
 
-def header_lines(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Line 1 of every delivered file. Only the head of a file is read."""
-    return (
-        landing_files(spark, root, glob)
-        .select("_file_path", "file_name")
-        .mapInArrow(_first_line, "_file_path string, file_name string, header string")
-    )
+def header_lines(files: DataFrame) -> DataFrame:
+    """Line 1 of every named file. Only the head of a file is read."""
+    named = files.select("_file_path", "file_name")
+    return named.mapInArrow(_first_line, "_file_path string, file_name string, header string")
+
+
+# Levels of directories between the landing root and the files: feed and date.
+LEVELS = 2
 
 
-def _directories(spark: SparkSession, root: str) -> list[str]:
-    """Directories under ``root`` that hold objects. One entry per delivery date, not per file."""
+def spread(names: DataFrame, column: str) -> DataFrame:
+    """One row stands for much work: keep such rows apart.
+
+    The number is given, since adaptive execution would merge partitions by their few bytes.
+    """
+    spark = names.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(max(shuffle, spark.sparkContext.defaultParallelism), column)
+
+
+def _folders(spark: SparkSession, root: str, levels: int) -> list[tuple[str, bool]]:
+    """Directories for tasks to list: the upper ones flat, those ``levels`` down as whole trees.
+
+    The driver only looks into directories that hold directories, never at the files of a date.
+    """
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     filesystem = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found, queue = [], [filesystem.makeQualified(path)]
-    while queue:
-        here = queue.pop()
+    found, layer = [], [filesystem.makeQualified(path)]
+    for level in range(levels + 1):
         # File metadata names local files with one slash.
-        found.append(re.sub(r"^file:/+", "file:/", here.toUri().toString()))
-        below = [s.getPath() for s in filesystem.listStatus(here) if s.isDirectory()]
-        queue += [p for p in below if p.getName()[0] not in "._"]
+        found += [(re.sub(r"^file:/+", "file:/", p.toUri().toString()), level == levels) for p in layer]
+        if level < levels:
+            below = [s for p in layer for s in filesystem.listStatus(p) if s.isDirectory()]
+            layer = [s.getPath() for s in below if s.getPath().getName()[0] not in "._"]
     return found
 
 
-def empty_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+def empty_files(spark: SparkSession, root: str, glob: str = "*", levels: int = LEVELS) -> DataFrame:
     """Zero-byte objects, which a binary scan skips. Tasks list the directories."""
 
     def list_empty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,21 +193,21 @@ def empty_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
         for batch in batches:
             paths, names = [], []
-            for uri in batch["directory"].to_pylist():
+            for uri, deep in zip(batch["directory"].to_pylist(), batch["deep"].to_pylist()):
                 filesystem, path = _open(uri)
-                for info in filesystem.get_file_info(fs.FileSelector(path)):
-                    name = info.base_name
-                    if info.type != fs.FileType.File or info.size or name[0] in "._":
+                for info in filesystem.get_file_info(fs.FileSelector(path, recursive=deep)):
+                    below = info.path[len(path) :].strip("/")
+                    hidden = any(part[0] in "._" for part in below.split("/"))
+                    if info.type != fs.FileType.File or info.size or hidden:
                         continue
-                    if fnmatch.fnmatchcase(name, glob):
-                        paths.append(f"{uri.rstrip('/')}/{quote(name, safe='+=,;@&$!()')}")
-                        names.append(name)
+                    if fnmatch.fnmatchcase(info.base_name, glob):
+                        paths.append(f"{uri.rstrip('/')}/{quote(below, safe='/+=,;@&$!()')}")
+                        names.append(info.base_name)
             columns = [pa.array(paths, pa.string()), pa.array(names, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["_file_path", "file_name"])
 
-    schema = "_file_path string, file_name string"
-    folders = spark.createDataFrame([(d,) for d in _directories(spark, root)], "directory string")
-    return folders.repartition("directory").mapInArrow(list_empty, schema)
+    folders = spark.createDataFrame(_folders(spark, root, levels), "directory string, deep boolean")
+    return spread(folders, "directory").mapInArrow(list_empty, "_file_path string, file_name string")
 
 
 def present_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -207,6 +222,7 @@ def deliver(
     root: str,
     feed: Feed,
     business_date: Column,
+    domain: str,
     sidecars: str = "ctl",
 ) -> str:
     """Write rows as dated CSV deliveries and declare each file in a sidecar.
@@ -239,7 +255,7 @@ def deliver(
             F.col("actual_md5").alias("md5"),
             "business_date",
             F.lit(feed.name).alias("feed"),
-            F.lit("test").alias("domain"),
+            F.lit(domain).alias("domain"),
             path_date(F.col("_file_path"), feed.date_pattern).alias("delivered"),
         )
         .write.partitionBy("delivered")

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -6,7 +6,7 @@ from fixtures import change, department, drop, employee, standard
 from pyspark.sql import functions as F
 
 from strata.operators import policy, quality, register
-from strata.operators.ingest import bronze, build_log, ingest
+from strata.operators.ingest import bronze, build_log, ingest, ledger
 from strata.plans import hr
 
 LATE = "2025-03-31"
@@ -91,6 +91,11 @@ def test_build_end_to_end(target, landing):
         "headcount_reconciles",
         "landing_headers_match",
     }
+    # Opening the new files only finds the same faults, as they are all new.
+    late = ledger(target, hr.EMPLOYEE).agg(F.max("listed_at")).first()[0] - timedelta(seconds=5)
+    opened = hr.delivered(target, root, hr.EMPLOYEE, late).collect()
+    assert [r.file_name for r in opened] == ["employee_late.csv"]
+    assert {"ctrl_md5_matches", "landing_headers_match"} <= failing(hr.checks(target, root, since=late))
     operations = [r.operation for r in build_log(target, hr.GOLD_HEADCOUNT).collect()]
     assert operations == ["CREATE OR REPLACE"] * 2
     assert {r.operation for r in build_log(target, hr.EMPLOYEE.table).collect()} == {"WRITE"}

@@ -9,7 +9,7 @@ from strata.operators import contracts
 from strata.operators.ingest import bronze, ingest
 from strata.plans import hr
 from strata.plans.hr import CHANGES, DEPARTMENT, EMPLOYEE
-from strata.sources.landing import content_md5, header_lines, present_files
+from strata.sources.landing import content_md5, header_lines, landing_files, present_files
 
 DAY, NEXT = "2025-01-31", "2025-02-28"
 
@@ -117,7 +117,7 @@ def test_swapped_columns_show_in_the_header_only(target, landing):
     drop(landing, "department", DAY, "fine", [department(2, DAY)])
     ingest(target, DEPARTMENT, str(landing))
     assert contracts.rescued({"d": bronze(target, DEPARTMENT)}).count() == 0
-    lines = header_lines(target.spark, str(landing), "*.csv")
+    lines = header_lines(landing_files(target.spark, str(landing), "*.csv"))
     assert [r.file_name for r in contracts.headers(lines, DEPARTMENT).collect()] == ["swapped.csv"]
 
 

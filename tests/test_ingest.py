@@ -164,6 +164,18 @@ def test_empty_objects_are_present(spark, landing):
     drop(landing, "department", DAY, "full", [department(1, DAY)], sidecar=False)
     assert [r.file_name for r in empty_files(spark, str(landing), "*.csv").collect()] == ["zero.csv"]
     assert {r.file_name for r in present_files(spark, str(landing)).collect()} == {"zero.csv", "full.csv"}
+    # At any depth, from any root, each once; hidden directories do not count.
+    for place in ("", "department", "department/2025-02-01/a b/deep", "department/2025-02-01/_temporary"):
+        folder = landing / place
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "e+1.csv").touch()
+    found = sorted(r._file_path for r in empty_files(spark, str(landing), "*.csv").collect())
+    base = f"file:{landing}"
+    assert found == sorted([
+        f"{base}/department/{DAY}/zero.csv", f"{base}/e+1.csv", f"{base}/department/e+1.csv",
+        f"{base}/department/2025-02-01/a%20b/deep/e+1.csv",
+    ])
+    assert empty_files(spark, str(landing / "department"), "*.csv", levels=1).count() == 3
 
 
 def test_review_copy_is_isolated(target, landing, tmp_path):
