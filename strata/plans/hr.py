@@ -34,7 +34,7 @@ from strata.operators.policy import (
 )
 from strata.operators.register import Metadata, stewardship_register
 from strata.sources.feeds import Feed
-from strata.sources.landing import content_md5, file_md5, header_lines, landing_files, present_files, spread
+from strata.sources.landing import content_md5, empty_files, file_md5, header_lines, landing_files, present_files, spread
 from strata.sources.target import Target
 
 # The delivered columns of the three feeds, in file order.
@@ -467,10 +467,11 @@ def date_findings(built: Layers) -> DataFrame:
     return _union(found)
 
 
-def delivered(target: Target, landing: str, feed: Feed, since: datetime | None) -> DataFrame:
+def delivered(target: Target, feed: Feed, objects: DataFrame, since: datetime | None) -> DataFrame:
     """A feed's files: all that are there, or those the ledger listed from ``since`` on."""
     if since is None:
-        return landing_files(target.spark, f"{landing.rstrip('/')}/{feed.name}", feed.glob)
+        folder = F.substring_index(F.substring_index("_file_path", "/", -3), "/", 1)
+        return objects.filter(folder == feed.name)
     listed = ledger(target, feed).filter(F.col("listed_at") >= F.lit(since))
     named = listed.select("_file_path", decoded(base_name(F.col("_file_path"))).alias("file_name"))
     return spread(named, "_file_path")
@@ -487,9 +488,10 @@ def checks(target: Target, landing: str, since: datetime | None = None) -> DataF
     sidecars = list(built.sidecars.values())
     all_sidecars = _union(sidecars)
     employee = built.data[EMPLOYEE.table]
-    files = present_files(spark, landing, "*.csv")
-    opened = {f.name: delivered(target, landing, f, since) for f in FEEDS}
-    actual = content_md5(spark, landing) if since is None else _union([file_md5(f) for f in opened.values()])
+    objects, empty = landing_files(spark, landing, "*.csv", content=True), empty_files(spark, landing, "*.csv")
+    files = present_files(objects, empty)
+    opened = {f.name: delivered(target, f, objects, since) for f in FEEDS}
+    actual = content_md5(objects, empty) if since is None else _union([file_md5(f) for f in opened.values()])
     headers = _union([contracts.headers(header_lines(opened[f.name]), f) for f in FEEDS])
     tally = quality.tally
     stored = {**built.data, **built.sidecars}

@@ -15,7 +15,7 @@ from strata.operators.metrics import HEADCOUNTS, layer_equals_table, measures_di
 from strata.plans import star
 from strata.plans.star import ANALYST, BIZ, ORDERS, ROSTER, STEWARD, WORKFORCE, table
 from strata.session import scratch_dir
-from strata.sources.landing import content_md5, deliver, landing_files, present_files, settled
+from strata.sources.landing import content_md5, deliver, empty_files, landing_files, present_files, settled
 from strata.sources.target import Target
 from strata.streaming.arrivals import catch_up
 
@@ -86,12 +86,14 @@ def delivery_contract(spark, d):
     for feed in (ORDERS, sidecar):
         ingest(target, feed, landing)
     rows, declared = bronze(target, ORDERS), bronze(target, sidecar)
-    files = present_files(spark, landing, ORDERS.glob)
+    objects = landing_files(spark, landing, ORDERS.glob, content=True)
+    empty = empty_files(spark, landing, ORDERS.glob)
+    files = present_files(objects, empty)
     checks = quality.results(
         [
             quality.tally("presence", contracts.presence(files, [declared]), files),
             quality.tally("record_counts", contracts.record_counts("orders", declared, rows), declared),
-            quality.tally("md5", contracts.digests(content_md5(spark, landing), [declared]), declared),
+            quality.tally("md5", contracts.digests(content_md5(objects, empty), [declared]), declared),
             quality.tally("drift", contracts.rescued({"orders": rows}), rows),
         ]
     )

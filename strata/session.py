@@ -18,6 +18,8 @@ def build_session(app: str = "strata", cores: int | str = "*", **conf) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
+        # Directories are listed by tasks; by default every directory is a task of its own.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

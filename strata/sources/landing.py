@@ -6,6 +6,7 @@ import fnmatch
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,7 +57,7 @@ def read_landing(spark: SparkSession, feed: Feed, paths: str | list[str]) -> Dat
 
 
 def landing_files(spark: SparkSession, root: str, glob: str = "*", content: bool = False) -> DataFrame:
-    """One row per delivered object. Without ``content`` no file is opened."""
+    """One row per delivered object; no file is opened unless ``content`` is asked for and used."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -108,27 +109,17 @@ def file_md5(files: DataFrame) -> DataFrame:
     return named.mapInArrow(_stream_md5, "_file_path string, file_name string, actual_md5 string")
 
 
-def content_md5(
-    spark: SparkSession,
-    root: str,
-    glob: str = "*.csv",
-    stream_above: int = STREAM_ABOVE_BYTES,
-) -> DataFrame:
+def content_md5(objects: DataFrame, empty: DataFrame, stream_above: int = STREAM_ABOVE_BYTES) -> DataFrame:
     """md5 of every delivered file's bytes, whatever its size.
 
     Small files go through the built-in function. Larger ones are read in chunks inside
     tasks, because a binary column holds a whole file in one row.
     """
-    small = (
-        landing_files(spark, root, glob, content=True)
-        .filter(F.col("length") <= stream_above)
-        .select("_file_path", "file_name", F.md5("content").alias("actual_md5"))
-    )
-    large = file_md5(landing_files(spark, root, glob).filter(F.col("length") > stream_above))
-    empty = empty_files(spark, root, glob).select(
-        "_file_path", "file_name", F.md5(F.lit("")).alias("actual_md5")
-    )
-    return small.unionByName(large).unionByName(empty)
+    columns = ["_file_path", "file_name"]
+    small = objects.filter(F.col("length") <= stream_above).select(*columns, F.md5("content").alias("actual_md5"))
+    large = file_md5(objects.filter(F.col("length") > stream_above))
+    none = empty.select(*columns, F.md5(F.lit("")).alias("actual_md5"))
+    return small.unionByName(large).unionByName(none)
 
 
 def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,66 +146,66 @@ def header_lines(files: DataFrame) -> DataFrame:
 LEVELS = 2
 
 
-def spread(names: DataFrame, column: str) -> DataFrame:
-    """One row stands for much work: keep such rows apart.
-
-    The number is given, since adaptive execution would merge partitions by their few bytes.
-    """
-    spark = names.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return names.repartition(max(shuffle, spark.sparkContext.defaultParallelism), column)
-
+def _list(batches: Iterator[pa.RecordBatch], glob: str, recursive: bool) -> Iterator[pa.RecordBatch]:
+    """Replace every directory by its subdirectories and its matching zero-byte objects."""
+    from urllib.parse import quote
 
-def _folders(spark: SparkSession, root: str, levels: int) -> list[tuple[str, bool]]:
-    """Directories for tasks to list: the upper ones flat, those ``levels`` down as whole trees.
+    from pyarrow import fs
 
-    The driver only looks into directories that hold directories, never at the files of a date.
-    """
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    filesystem = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found, layer = [], [filesystem.makeQualified(path)]
-    for level in range(levels + 1):
-        # File metadata names local files with one slash.
-        found += [(re.sub(r"^file:/+", "file:/", p.toUri().toString()), level == levels) for p in layer]
-        if level < levels:
-            below = [s for p in layer for s in filesystem.listStatus(p) if s.isDirectory()]
-            layer = [s.getPath() for s in below if s.getPath().getName()[0] not in "._"]
-    return found
+    for batch in batches:
+        paths, names, empty = [], [], []
+        for uri, name, done in zip(*(c.to_pylist() for c in batch.columns)):
+            if done:
+                listed = [(uri, name, True)]
+            else:
+                filesystem, path = _open(uri)
+                listed = []
+                for info in filesystem.get_file_info(fs.FileSelector(path, recursive=recursive)):
+                    below = info.path[len(path) :].strip("/")
+                    hidden = any(part[0] in "._" for part in below.split("/"))
+                    is_file = info.type == fs.FileType.File
+                    wanted = not is_file or (info.size == 0 and fnmatch.fnmatchcase(info.base_name, glob))
+                    if wanted and not hidden:
+                        full = f"{uri.rstrip('/')}/{quote(below, safe='/+=,;@&$!()')}"
+                        listed.append((full, info.base_name, is_file))
+            for found, column in zip(zip(*listed), (paths, names, empty)):
+                column.extend(found)
+        arrays = [pa.array(paths, pa.string()), pa.array(names, pa.string()), pa.array(empty, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(arrays, ["_file_path", "file_name", "empty"])
 
 
 def empty_files(spark: SparkSession, root: str, glob: str = "*", levels: int = LEVELS) -> DataFrame:
-    """Zero-byte objects, which a binary scan skips. Tasks list the directories."""
+    """Zero-byte objects, which a binary scan skips.
 
-    def list_empty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from urllib.parse import quote
+    Tasks list the directories level by level, and whole trees below the last level; the
+    driver knows the root only.
+    """
+    schema = "_file_path string, file_name string, empty boolean"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    # File metadata names local files with one slash.
+    found = spark.createDataFrame([(re.sub(r"^file:/+", "file:/", uri), "", False)], schema)
+    for level in range(levels + 1):
+        if level:
+            found = spread(found, "_file_path")
+        found = found.mapInArrow(partial(_list, glob=glob, recursive=level == levels), schema)
+    return found.filter("empty").select("_file_path", "file_name")
 
-        from pyarrow import fs
 
-        for batch in batches:
-            paths, names = [], []
-            for uri, deep in zip(batch["directory"].to_pylist(), batch["deep"].to_pylist()):
-                filesystem, path = _open(uri)
-                for info in filesystem.get_file_info(fs.FileSelector(path, recursive=deep)):
-                    below = info.path[len(path) :].strip("/")
-                    hidden = any(part[0] in "._" for part in below.split("/"))
-                    if info.type != fs.FileType.File or info.size or hidden:
-                        continue
-                    if fnmatch.fnmatchcase(info.base_name, glob):
-                        paths.append(f"{uri.rstrip('/')}/{quote(below, safe='/+=,;@&$!()')}")
-                        names.append(info.base_name)
-            columns = [pa.array(paths, pa.string()), pa.array(names, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["_file_path", "file_name"])
+def spread(names: DataFrame, column: str) -> DataFrame:
+    """One row stands for much work: keep such rows apart.
 
-    folders = spark.createDataFrame(_folders(spark, root, levels), "directory string, deep boolean")
-    return spread(folders, "directory").mapInArrow(list_empty, "_file_path string, file_name string")
+    The number is given, since adaptive execution would merge partitions by their few bytes.
+    """
+    spark = names.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(max(shuffle, spark.sparkContext.defaultParallelism), column)
 
 
-def present_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+def present_files(objects: DataFrame, empty: DataFrame) -> DataFrame:
     """Every delivered object's path and name, the empty ones included."""
     columns = ["_file_path", "file_name"]
-    listed = landing_files(spark, root, glob).select(*columns)
-    return listed.unionByName(empty_files(spark, root, glob).select(*columns))
+    return objects.select(*columns).unionByName(empty.select(*columns))
 
 
 def deliver(
@@ -246,7 +237,8 @@ def deliver(
         .groupBy("_file_path")
         .agg(F.count(F.lit(1)).alias("record_count"), F.first("_file_date").alias("business_date"))
     )
-    digests = content_md5(spark, target, feed.glob)
+    objects = landing_files(spark, target, feed.glob, content=True)
+    digests = content_md5(objects, empty_files(spark, target, feed.glob, levels=1))
     (
         digests.join(counts, "_file_path", "left")
         .select(

@@ -9,7 +9,7 @@ from strata.operators import contracts
 from strata.operators.ingest import bronze, ingest
 from strata.plans import hr
 from strata.plans.hr import CHANGES, DEPARTMENT, EMPLOYEE
-from strata.sources.landing import content_md5, header_lines, landing_files, present_files
+from strata.sources.landing import content_md5, empty_files, header_lines, landing_files, present_files
 
 DAY, NEXT = "2025-01-31", "2025-02-28"
 
@@ -21,13 +21,21 @@ def load(target, landing, *feeds):
     return [(bronze(target, f), bronze(target, f.sidecar())) for f in feeds]
 
 
+def scans(spark, landing):
+    return landing_files(spark, str(landing), "*.csv", content=True), empty_files(spark, str(landing), "*.csv")
+
+
+def present(spark, landing):
+    return present_files(*scans(spark, landing))
+
+
 def test_presence_in_both_directions(target, landing):
     drop(landing, "department", DAY, "ok", [department(1, DAY)])
     drop(landing, "department", DAY, "undeclared", [department(2, DAY)], sidecar=False)
     declare(landing, "department", DAY, "lost.csv", 0, "x")
     drop(landing, "department", DAY, "zero", [], raw="")
     (_, sidecar), = load(target, landing, DEPARTMENT)
-    files = present_files(target.spark, str(landing))
+    files = present(target.spark, landing)
     found = {(r.file_name, r.reason) for r in contracts.presence(files, [sidecar]).collect()}
     assert found == {("undeclared.csv", contracts.UNDECLARED), ("lost.csv", contracts.MISSING)}
     by_name = {(r.file_name, r.reason) for r in contracts.presence(files, [sidecar], by_name=True).collect()}
@@ -38,7 +46,7 @@ def test_same_name_on_two_dates(target, landing):
     drop(landing, "department", DAY, "d", [department(1, DAY), department(2, DAY)])
     drop(landing, "department", NEXT, "d", [department(1, NEXT)], sidecar=False)
     (rows, sidecar), = load(target, landing, DEPARTMENT)
-    files = present_files(target.spark, str(landing))
+    files = present(target.spark, landing)
     assert contracts.presence(files, [sidecar], by_name=True).count() == 0
     found = contracts.presence(files, [sidecar]).collect()
     assert [r.directory.rsplit("/", 1)[1] for r in found] == [NEXT]
@@ -78,9 +86,9 @@ def test_digests(target, landing):
     declare(landing, "department", DAY, "lost.csv", 1, "x")
     (_, sidecar), = load(target, landing, DEPARTMENT)
     spark = target.spark
-    actual = content_md5(spark, str(landing))
+    actual = content_md5(*scans(spark, landing))
     assert {r.file_name for r in contracts.digests(actual, [sidecar]).collect()} == {"tampered.csv", "nomd5.csv"}
-    streamed = content_md5(spark, str(landing), stream_above=0)
+    streamed = content_md5(*scans(spark, landing), stream_above=0)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, actual.collect()))
     assert {r.actual_md5 for r in actual.filter("file_name = 'fine.csv'").collect()} == {declared}
 

@@ -24,6 +24,10 @@ PROVENANCE_TYPES = {
 }
 
 
+def scans(spark, landing):
+    return landing_files(spark, str(landing), "*.csv"), empty_files(spark, str(landing), "*.csv")
+
+
 def test_typed_projection_of_every_feed(target, landing):
     drop(landing, "employee", DAY, "e", [employee(7, DAY, manager_id="", salary_annual="123.40")])
     drop(landing, "department", DAY, "d", [department(1, DAY, parent_dept_id=9, is_active="false")])
@@ -79,7 +83,7 @@ def test_names_with_special_characters(target, landing):
     assert ingest(target, DEPARTMENT, str(landing)).files == 1
     assert bronze(target, DEPARTMENT).first()._file_name == "a b+c [1] 50%.csv"
     ingest(target, DEPARTMENT.sidecar(), str(landing))
-    files = present_files(target.spark, str(landing))
+    files = present_files(*scans(target.spark, landing))
     assert contracts.presence(files, [bronze(target, DEPARTMENT.sidecar())]).count() == 0
 
 
@@ -163,7 +167,7 @@ def test_empty_objects_are_present(spark, landing):
     drop(landing, "department", DAY, "zero", [], raw="", sidecar=False)
     drop(landing, "department", DAY, "full", [department(1, DAY)], sidecar=False)
     assert [r.file_name for r in empty_files(spark, str(landing), "*.csv").collect()] == ["zero.csv"]
-    assert {r.file_name for r in present_files(spark, str(landing)).collect()} == {"zero.csv", "full.csv"}
+    assert {r.file_name for r in present_files(*scans(spark, landing)).collect()} == {"zero.csv", "full.csv"}
     # At any depth, from any root, each once; hidden directories do not count.
     for place in ("", "department", "department/2025-02-01/a b/deep", "department/2025-02-01/_temporary"):
         folder = landing / place
