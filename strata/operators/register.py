@@ -47,29 +47,35 @@ def tag_pivot(table_tags: DataFrame) -> DataFrame:
 
 
 def column_facts(meta: Metadata) -> DataFrame:
-    """Per table: classified, restricted and protected columns.
+    """Per table: classified, restricted, protected and masked columns.
 
-    The tags of a column are folded into one row before they meet its mask, so every
-    column is counted once and all joins are on unique keys.
+    Tags and masks of a column are stacked and folded into one row together, which needs no
+    join and counts every column once; only the folded rows meet the tag policies.
     """
+    none = F.lit(None).cast("string")
+    facts = meta.column_tags.select(*COLUMN, "tag_name", "tag_value", F.lit(0).alias("mask")).unionByName(
+        meta.column_masks.select(*COLUMN, none.alias("tag_name"), none.alias("tag_value"), F.lit(1).alias("mask"))
+    )
     is_class = F.col("tag_name") == "pii_class"
     is_restricted = (F.col("tag_name") == "data_sensitivity") & (F.lower("tag_value") == "restricted")
-    per_column = meta.column_tags.groupBy(*COLUMN).agg(
+    per_column = facts.groupBy(*COLUMN).agg(
+        F.max(is_class).alias("classified"),
         F.max(F.when(is_class, F.col("tag_value"))).alias("pii_class"),
-        F.max(is_restricted).alias("restricted"),
+        F.coalesce(F.max(is_restricted), F.lit(False)).alias("restricted"),
+        F.sum("mask").alias("masks"),
     )
-    masks = meta.column_masks.select(*COLUMN).distinct().withColumn("has_mask", F.lit(True))
     policies = (
         meta.tag_policies.select("pii_class", F.col("scope").alias("table_schema"))
         .distinct()
         .withColumn("by_tag", F.lit(True))
     )
-    known = per_column.join(masks, COLUMN, "left").join(policies, ["pii_class", "table_schema"], "left")
-    safe = F.col("has_mask").isNotNull() | F.col("by_tag").isNotNull()
+    known = per_column.join(policies, ["pii_class", "table_schema"], "left")
+    safe = (F.col("masks") > 0) | F.col("by_tag").isNotNull()
     return known.groupBy(*TABLE).agg(
-        F.count("pii_class").alias("classified_columns"),
+        F.count_if("classified").alias("classified_columns"),
         F.count_if("restricted").alias("restricted_columns"),
         F.count_if(F.col("restricted") & safe).alias("protected_columns"),
+        F.sum("masks").alias("masked_columns"),
     )
 
 
@@ -114,13 +120,11 @@ def _verdict():
 
 def stewardship_register(meta: Metadata) -> DataFrame:
     """One row per table. Every input is reduced to one row per table before it is joined."""
-    masked = meta.column_masks.groupBy(*TABLE).agg(F.count(F.lit(1)).alias("masked_columns"))
     filters = meta.row_filters.select(*TABLE, F.col("filter_name").alias("row_filter"))
     joined = meta.tables.select(*TABLE, "table_owner")
     for part in (
         tag_pivot(meta.table_tags),
         column_facts(meta),
-        masked,
         filters,
         reader_counts(meta.privileges, meta.exceptions),
     ):

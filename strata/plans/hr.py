@@ -258,6 +258,11 @@ def load_exceptions(target: Target, on: date) -> DataFrame:
     return target.reload("governance", "unmasked_access", rows, EXCEPTION_SCHEMA)
 
 
+def load_coverage(target: Target, governance: Governance) -> DataFrame:
+    """Which tag values a policy protects in which schema, replaced whole."""
+    return target.rebuild("governance", "abac_coverage", governance.metadata(target.spark)["tag_policies"])
+
+
 def hr_governance(target: Target, principals: tuple[Principal, ...] = ROSTER) -> Governance:
     names = [("silver", SILVER_EMPLOYEE), ("silver", SILVER_DEPARTMENT), ("gold", GOLD_HEADCOUNT)]
     names += [("bronze", t) for f in FEEDS for t in (f.table, f"{f.table}_ctrl")]

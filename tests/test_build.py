@@ -53,6 +53,8 @@ def test_build_end_to_end(target, landing):
         "bronze_hr_employee", "bronze_hr_employee_changes",
     }
     hr.load_exceptions(target, date(2025, 3, 1))
+    coverage = [tuple(r) for r in hr.load_coverage(target, rules).collect()]
+    assert coverage == [("special_category", "silver", "mask_special_category_by_tag", "mask_redact_string")]
     clean = hr.register(target, rules)
     assert register.findings(clean).count() == 0
     flags = {r.table_name: r.review_flag for r in clean.collect()}
