@@ -114,15 +114,14 @@ def _plan(target: Target, feed: Feed, files: DataFrame, per_batch: int, listed_a
 
 
 def _load(target: Target, feed: Feed, batch: int, operation: str) -> None:
-    planned = (
-        ledger(target, feed)
-        .filter(F.col("batch") == batch)
-        .select("path", "listed_at")
-        .collect()
-    )
-    raw = read_landing(target.spark, feed, [literal_path(r.path) for r in planned])
-    # A file rewritten since it was listed counts as a later version: the next run lists it.
-    as_listed = raw.filter(F.col("_file_last_modified") <= F.lit(planned[0].listed_at))
+    planned = ledger(target, feed).filter(F.col("batch") == batch)
+    paths = [literal_path(r.path) for r in planned.select("path").collect()]
+    raw = read_landing(target.spark, feed, paths)
+    # A file rewritten since it was listed is another version, which its own listing brings.
+    # The plan of a batch is bounded by the files per batch, so it may go to every task: a
+    # join by file would gather the rows of a large file in one.
+    versions = F.broadcast(planned.select("_file_path", "_file_last_modified"))
+    as_listed = raw.join(versions, ["_file_path", "_file_last_modified"], "left_semi")
     target.put_batch("bronze", feed.table, batch, feed.project(as_listed))
     log_build(target, feed.table, operation, batch)
 

@@ -129,6 +129,24 @@ def test_many_batches_and_a_run_that_died(target, landing, monkeypatch):
     assert sorted(r.version for r in log.collect()) == list(range(planned))
 
 
+def test_file_replaced_before_its_batch_is_loaded(target, landing, monkeypatch):
+    path = drop(landing, "department", DAY, "d", [department(1, DAY)], mtime=1_700_000_000)
+    drop(landing, "department", DAY, "other", [department(2, DAY)])
+
+    def die(*_):
+        raise RuntimeError("driver gone")
+
+    monkeypatch.setattr(ingest_module, "_load", die)
+    with pytest.raises(RuntimeError):
+        ingest(target, DEPARTMENT, str(landing))
+    monkeypatch.undo()
+    # Replaced by an even older copy: the planned version is gone, the new one loads once.
+    path.write_text(path.read_text().replace("D1", "X1"))
+    os.utime(path, (1_600_000_000, 1_600_000_000))
+    assert ingest(target, DEPARTMENT, str(landing)) == Loaded(1, 2)
+    assert sorted(r.dept_code for r in bronze(target, DEPARTMENT).collect()) == ["D2", "X1"]
+
+
 def test_full_refresh_equals_a_first_load(target, landing):
     for i in range(3):
         drop(landing, "department", DAY, f"d{i}", [department(i, DAY)])
