@@ -263,7 +263,10 @@ def same_ids(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
 
 
 def id_list(rows: DataFrame, column: str) -> DataFrame:
-    """The distinct ids as one ordered, comma-joined text."""
+    """The distinct ids as one ordered, comma-joined text: for a list to read, such as departments.
+
+    ``same_ids`` compares id sets of any size.
+    """
     ids = F.array_sort(F.collect_set(F.col(column).cast("string")))
     return rows.agg(F.array_join(ids, ",").alias("ids"))
 

@@ -34,7 +34,15 @@ from strata.operators.policy import (
 )
 from strata.operators.register import Metadata, stewardship_register
 from strata.sources.feeds import Feed
-from strata.sources.landing import content_md5, empty_files, file_md5, header_lines, landing_files, present_files, spread
+from strata.sources.landing import (
+    content_md5,
+    empty_files,
+    file_md5,
+    header_lines,
+    landing_files,
+    present_files,
+    spread,
+)
 from strata.sources.target import Target
 
 # The delivered columns of the three feeds, in file order.
@@ -417,15 +425,16 @@ def column_checks(built: Layers) -> list[DataFrame]:
     """The 34 column and table tests; row-level ones take one pass per table."""
     null, least = quality.not_null, quality.at_least
     employee, department = built.data[EMPLOYEE.table], built.data[DEPARTMENT.table]
-    provenance = ("_file_path", "_file_name", "_file_date")
+    delivered_as = ("employee_id", "snapshot_date", "_file_path", "_file_name", "_file_date")
+    answered = ("dept_id", "dept_name", "headcount_people", "managers")
     rules = [
-        (EMPLOYEE.table, employee, [null(c) for c in ("employee_id", "snapshot_date", *provenance)] + [least("salary_annual", 0)]),
+        (EMPLOYEE.table, employee, [*[null(c) for c in delivered_as], least("salary_annual", 0)]),
         (DEPARTMENT.table, department, [null("dept_id"), null("snapshot_date")]),
         (CHANGES.table, built.data[CHANGES.table], [null("employee_id"), null("event_date")]),
         *[(n, rows, [null("file_name"), null("record_count")]) for n, rows in built.sidecars.items()],
         (SILVER_EMPLOYEE, built.employee, [null("employee_id"), null("is_employed")]),
         (SILVER_DEPARTMENT, built.department, [null("dept_id"), null("dept_code")]),
-        (GOLD_HEADCOUNT, built.gold, [null(c) for c in ("dept_id", "dept_name", "headcount_people", "managers")] + [least("headcount_people", 0)]),
+        (GOLD_HEADCOUNT, built.gold, [*[null(c) for c in answered], least("headcount_people", 0)]),
     ]
     tallies = [quality.rule_tally(*r) for r in rules]
     unique = [
@@ -450,25 +459,21 @@ def date_findings(built: Layers) -> DataFrame:
 
     The comparisons over the employee and department sidecars are additions.
     """
+    differ = contracts.disagreeing
     found = [
-        contracts.disagreeing(f"{f.name}: _file_date <> snapshot_date", built.data[f.table], "_file_date", "snapshot_date")
+        differ(f"{f.name}: _file_date <> snapshot_date", built.data[f.table], "_file_date", "snapshot_date")
         for f in (EMPLOYEE, DEPARTMENT)
     ]
     for feed in FEEDS:
         sidecar = built.sidecars[f"{feed.table}_ctrl"]
-        label = feed.name.replace("employee_changes", "changes")
-        found.append(contracts.disagreeing(f"{label}_ctrl: business_date <> _file_date", sidecar, "business_date", "_file_date"))
-        found.append(
-            contracts.disagreeing(
-                f"{label}_ctrl: file_name does not match its sidecar",
-                sidecar,
-                "file_name",
-                "replace(_file_name, '.ctrl', '.csv')",
-            )
-        )
-    found.append(
-        contracts.disagreeing("changes: event_date after received_date", built.data[CHANGES.table], "event_date", "received_date", ">")
-    )
+        label = f"{feed.name.replace('employee_changes', 'changes')}_ctrl"
+        data_name = "replace(_file_name, '.ctrl', '.csv')"
+        found += [
+            differ(f"{label}: business_date <> _file_date", sidecar, "business_date", "_file_date"),
+            differ(f"{label}: file_name does not match its sidecar", sidecar, "file_name", data_name),
+        ]
+    changes = built.data[CHANGES.table]
+    found.append(differ("changes: event_date after received_date", changes, "event_date", "received_date", ">"))
     return _union(found)
 
 
