@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.masks import Mask, email_like, redacted, to_null
+from strata.functions.masks import Mask, email_like, redacted
+from strata.functions.text import KEYED_DATE_DIRECTORY
 from strata.operators.current import current_rows
 from strata.operators.headcount import headcount_by_department
 from strata.operators.metrics import Lookup, MetricView
@@ -32,7 +33,6 @@ from strata.operators.policy import (
 from strata.operators.register import Metadata
 from strata.plans.hr import MASK_SALARY, MASK_SALARY_AVG, MASK_SALARY_TOTAL, MV_WORKFORCE
 from strata.sources.feeds import Feed
-from strata.functions.text import KEYED_DATE_DIRECTORY
 
 
 def _tag(name: str, value: Column) -> Column:
