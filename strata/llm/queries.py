@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import simhash, toxicity
+from strata.llm import packing, simhash, toxicity
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
     return toxicity.score(documents, model).withColumn("toxic", F.col("severity") >= toxicity.CUT)
+
+
+@registered
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
