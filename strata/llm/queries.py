@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, simhash, toxicity
+from strata.llm import packing, simhash, suffix_dedup, toxicity
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
