@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, simhash, suffix_dedup, toxicity
+from strata.llm import packing, pii, simhash, suffix_dedup, toxicity
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(documents, "base", "added")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.PATTERNS],
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.concat("base", "added")).alias("spans"),
+    )
