@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, pii, simhash, suffix_dedup, toxicity
+from strata.llm import packing, pii, sharding, simhash, suffix_dedup, toxicity
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
         pii.written(F.concat("base", "added")).alias("spans"),
     )
+
+
+@registered
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
