@@ -2,4 +2,47 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_LINE_FREQUENCY = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws
+  FROM documents
+),
+windows AS (SELECT rid, i, list_slice(ws, i, i + 4) AS g FROM d, unnest(range(1, len(ws) - 3)) AS r(i)),
+twice AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+repeated AS (SELECT rid, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 5)) AS r(p) GROUP BY rid),
+split_lines AS (SELECT rid, source, t, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (
+  SELECT *, len(regexp_extract_all(line, '{_WORD}')) AS n,
+         translate(array_to_string(regexp_extract_all(line, '{_WORD}'), ' '),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS norm
+  FROM split_lines WHERE regexp_matches(line, '{_WORD}')
+),
+dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
+hosts AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source),
+spread AS (SELECT source, norm, count(DISTINCT t) AS n FROM lines GROUP BY source, norm),
+removed AS (
+  SELECT l.rid, sum(l.n) AS n
+  FROM lines l
+  JOIN spread s ON s.norm = l.norm AND s.source IS NOT DISTINCT FROM l.source
+  JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source
+  WHERE s.n > 5 AND s.n > 0.01 * h.n
+  GROUP BY l.rid
+),
+base AS (
+  SELECT d.doc_id, len(ws)::BIGINT AS n_words,
+         len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(u.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         len(ws) - coalesce(x.n, 0) AS n_left
+  FROM d LEFT JOIN dups u USING (rid) LEFT JOIN repeated r USING (rid) LEFT JOIN removed x USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_left >= 10 AND n_left >= 0.5 * n_words AS kept
+FROM base
+"""
+
+ORACLE: dict[str, str] = {"op6_line_frequency": _LINE_FREQUENCY}
