@@ -44,7 +44,7 @@ LENGTH = 400
 ANCHOR = 200
 PERIOD = 32
 #: Bytes hashed at once; longer texts are cut with an overlap.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _SHIFT = np.uint64(24)
 _U = np.uint64
 
@@ -92,9 +92,10 @@ def _smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(data: np.ndarray, spans: list[tuple[int, int]], length: int, anchor: int, hasher: Hasher) -> tuple:
-    """(name, content, first, last, distance) of every run of suffixes in the texts at ``spans``.
+    """(name, content, first, last, distance, size, n) of every run of suffixes in the texts at ``spans``.
 
-    ``distance`` is how far the anchor lies behind the first suffix.
+    ``distance`` is how far the anchor lies behind the first suffix and ``size`` how many suffixes a run has. In
+    periodic text the same run comes again and again; n equal ones that follow each other are one row.
     """
     sums = hasher.prefix(data)
     strings = hasher.at(sums, np.arange(len(data) - anchor + 1), anchor)
@@ -108,7 +109,11 @@ def runs_of(data: np.ndarray, spans: list[tuple[int, int]], length: int, anchor:
     lo, hi, at = starts[first], starts[last], at[first]
     shape = (at - lo).astype(_U) * _U(0x9E3779B97F4A7C15) + (hi - lo).astype(_U)
     content = _mix(hasher.at(sums, lo, hi - lo + length) ^ _mix(shape))
-    return strings[at], content, lo, hi, at - lo
+    name, distance, size = strings[at], at - lo, hi - lo + 1
+    again = (name[1:] == name[:-1]) & (content[1:] == content[:-1]) & (lo[1:] == hi[:-1] + 1)
+    first = np.flatnonzero(np.concatenate([[True], ~again]))
+    n = np.diff(np.concatenate([first, [len(lo)]]))
+    return name[first], content[first], lo[first], hi[first + n - 1], distance[first], size[first], n
 
 
 def _groups(sizes: list[int], length: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -139,7 +144,7 @@ def _runs(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                 parts = [np.frombuffer(texts[row], np.uint8)[a:b] for row, a, b in group]
                 ends = np.cumsum([len(p) for p in parts])
                 begins = ends - [len(p) for p in parts]
-                name, content, lo, hi, distance = runs_of(
+                name, content, lo, hi, distance, size, n = runs_of(
                     np.concatenate(parts), list(zip(begins, ends)), length, anchor, hasher
                 )
                 part = np.searchsorted(begins, lo, side="right") - 1
@@ -147,11 +152,11 @@ def _runs(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                 first = lo - begins[part] + np.array([g[1] for g in group])[part]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(name.view(np.int64)), pa.array(content.view(np.int64)), doc.take(row), mark.take(row),
-                     pa.array(first.astype(np.int32)), pa.array((hi - lo).astype(np.int32)), pa.array(distance.astype(np.int32))],
-                    ["name", "content", "doc_id", "mark", "first", "more", "distance"],
+                     *(pa.array(x.astype(np.int32)) for x in (first, first + hi - lo, distance, size, n))],
+                    ["name", "content", "doc_id", "mark", "first", "last", "distance", "size", "n"],
                 )
 
-    schema = "name long, content long, doc_id long, mark long, first int, more int, distance int"
+    schema = "name long, content long, doc_id long, mark long, first int, last int, distance int, size int, n int"
     return rows.select("doc_id", "mark", "text").mapInArrow(run, schema)
 
 
@@ -169,8 +174,8 @@ def _blocks(wanted: DataFrame, length: int) -> DataFrame:
             for i, (text, found) in enumerate(zip(batch.column("text"), batch.column("found").to_pylist())):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
                 for r in found:
-                    n = r["more"] + 1
-                    sums = hasher.prefix(data[r["first"] : r["first"] + r["more"] + length])
+                    n = r["size"]
+                    sums = hasher.prefix(data[r["first"] : r["first"] + n - 1 + length])
                     tails = hasher.at(sums, np.arange(n), length).view(np.int64)
                     behind = r["distance"] - np.arange(n)
                     block = behind // PERIOD
@@ -211,15 +216,15 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, anchor: int = AN
     runs = _runs(rows.where(F.octet_length("text") >= length), length, anchor)
     buckets = (
         runs.groupBy("name")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
-        .where("n > 1")
+        .agg(F.sum("n").alias("times"), F.min("content").alias("least"), F.max("content").alias("most"))
+        .where("times > 1")
         .select("name", (F.col("least") != F.col("most")).alias("mixed"))
     )
     shared = keep(runs.join(buckets, "name"), "suffix")
     mixed = shared.where("mixed")
     different = keep(
         mixed.groupBy("name", "content").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "mark", "first", "more", "distance")).alias("one")
+            F.sum("n").alias("n"), F.min(F.struct("doc_id", "mark", "first", "distance", "size")).alias("one")
         ),
         "suffix",
     )
@@ -229,7 +234,7 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, anchor: int = AN
     per_text = (
         different.select("name", "n", "one.*")
         .groupBy("doc_id", "mark")
-        .agg(F.collect_list(F.struct("name", "n", "first", "more", "distance")).alias("found"))
+        .agg(F.collect_list(F.struct("name", "n", "first", "distance", "size")).alias("found"))
     )
     wanted = rows.join(per_text, _same_row(rows, per_text)).select(rows.doc_id, rows.mark, "text", "found")
     blocks = keep(_blocks(wanted, length), "suffix")
@@ -242,7 +247,7 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, anchor: int = AN
     resolved = suffixes.where("single").join(equal, ["cover", "tail"]).select(
         "doc_id", "mark", position.alias("first"), position.alias("last")
     )
-    ranges = whole.select("doc_id", "mark", "first", (F.col("first") + F.col("more")).alias("last")).unionByName(resolved)
+    ranges = whole.select("doc_id", "mark", "first", "last").unionByName(resolved)
     return ranges.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
