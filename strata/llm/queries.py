@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import kmeans_tree, line_rules, packing, pii, sharding, simhash, suffix_dedup, toxicity
+from strata.llm import html_text, kmeans_tree, line_rules, packing, pii, sharding, simhash, suffix_dedup, toxicity
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,8 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return kmeans_tree.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@registered
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
