@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, kmeans_tree, line_rules, packing, pii, sharding, simhash, suffix_dedup, toxicity
+from strata.llm import html_text, kmeans_tree, line_rules, packing, piece_fst, pii, sharding, simhash, suffix_dedup, toxicity
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,8 @@ def op2_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_fst.tokenise(table(spark, sf_dir, "documents"))
