@@ -116,12 +116,16 @@ NOT_IN_SILVER = ("date_of_birth",)
 
 # Descriptions that reach the metastore with the table.
 GOLD_COMMENTS = {
-    "dept_id": "Department key; one row per department.",
-    "headcount_people": "Currently employed people; a part-timer counts as one person.",
-    "managers": "Currently employed people flagged as people managers.",
-    "full_time": "Currently employed people with a full-time contract.",
-    "total_salary": "Restricted. Sum of annual gross salary, not weighted by employment type.",
-    "avg_salary": "Restricted. Mean annual gross salary; NULL where nobody works.",
+    "dept_id": "Key of the table: every department has exactly one row.",
+    "dept_code": "Short code of the department, from its newest master record.",
+    "dept_name": "Readable name of the department, from its newest master record.",
+    "cost_centre": "Where the department's cost is booked.",
+    "department_active": "False for a closed department; closed ones stay listed.",
+    "headcount_people": "Heads at work now; contract type makes no difference.",
+    "managers": "Of those heads, how many lead others.",
+    "full_time": "Of those heads, how many hold a full-time contract.",
+    "total_salary": "Restricted. Yearly gross pay of all heads added up, not scaled by contract.",
+    "avg_salary": "Restricted. Yearly gross pay per head; empty for a department without staff.",
 }
 
 
@@ -260,8 +264,8 @@ def load_access_map(target: Target, grants: list[tuple[str, int]], on: date) ->
 def load_exceptions(target: Target, on: date) -> DataFrame:
     """Approved readers of unmasked data, each with a reason and an approver."""
     rows = [
-        (STEWARD.name, "bronze", "Accountable for the data; bronze is the unmasked audit copy.", STEWARD.name, on),
-        (PIPELINE.name, "bronze", "Writes bronze and cannot compute on masked values.", STEWARD.name, on),
+        (STEWARD.name, "bronze", "Answers for the delivered data and has to inspect it as it came.", STEWARD.name, on),
+        (PIPELINE.name, "bronze", "Builds the upper layers, for which it needs true values.", STEWARD.name, on),
     ]
     return target.reload("governance", "unmasked_access", rows, EXCEPTION_SCHEMA)
 
@@ -380,12 +384,12 @@ MV_WORKFORCE = MetricView(
         "manager_count": "count_if(source.is_people_manager)",
     },
     comments={
-        "headcount_people": "Currently employed people, one per person; a part-timer counts as one.",
-        "headcount_fte": "FTE-weighted: full time counts 1, everything else 0.5. The weighting is the definition.",
-        "headcount_fulltime": "Currently employed people with a full-time contract only.",
-        "manager_count": "Currently employed people flagged as people managers.",
-        "salary_total": "Restricted. Sum of annual gross salary; NULL is a permission outcome.",
-        "salary_avg": "Restricted. Mean annual gross salary of the visible rows; NULL is a permission outcome.",
+        "headcount_people": "Heads at work now: each adds one, whatever the contract.",
+        "headcount_fte": "Capacity in full-time posts: a full-time contract adds 1, any other a half.",
+        "headcount_fulltime": "Heads on a full-time contract; all other contracts are left out.",
+        "manager_count": "Heads that lead others, by the flag in the source.",
+        "salary_total": "Restricted. Yearly gross pay added up; empty for callers who may not read pay.",
+        "salary_avg": "Restricted. Yearly gross pay per head the caller sees; empty where pay may not be read.",
     },
 )
 
