@@ -24,6 +24,9 @@ MISSING = "declared by a .ctrl, but not on disk"
 NO_SIDECAR = "bronze rows with no .ctrl"
 NULL_COUNT = "declared count is NULL"
 COUNT_DIFFERS = "declared <> loaded"
+# Additions: one file declared more than once, alike or not.
+REPEATED = "declared more than once"
+CONTRADICTED = "declared with different counts"
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -50,15 +53,26 @@ def presence(files: DataFrame, sidecars: Sequence[DataFrame], by_name: bool = Fa
 
 
 def record_counts(model: str, sidecar: DataFrame, bronze: DataFrame, by_name: bool = False) -> DataFrame:
-    """Declared row counts against loaded ones, in both directions."""
-    declared = sidecar.select(_place(by_name), "file_name", F.col("record_count").alias("declared"))
-    declared = declared.withColumn("in_sidecar", F.lit(True))
+    """Declared row counts against loaded ones, in both directions, one row per file at most."""
+    declared = (
+        sidecar.select(_place(by_name), "file_name", "record_count")
+        .groupBy("directory", "file_name")
+        .agg(
+            F.min("record_count").alias("declared"),
+            F.max("record_count").alias("most"),
+            F.count(F.lit(1)).alias("times"),
+            F.count_if(F.col("record_count").isNull()).alias("unsaid"),
+        )
+        .withColumn("in_sidecar", F.lit(True))
+    )
     # Rows are counted per file as it stands; its directory is worked out once per file.
     per_file = bronze.groupBy(*([] if by_name else ["_file_path"]), "_file_name").agg(F.count(F.lit(1)).alias("loaded"))
     loaded = per_file.select(_place(by_name), F.col("_file_name").alias("file_name"), "loaded")
     reason = (
         F.when(F.col("in_sidecar").isNull(), NO_SIDECAR)
-        .when(F.col("declared").isNull(), NULL_COUNT)
+        .when(F.col("unsaid") > 0, NULL_COUNT)
+        .when(F.col("declared") != F.col("most"), CONTRADICTED)
+        .when(F.col("times") > 1, REPEATED)
         .when(F.coalesce("loaded", F.lit(0)) != F.col("declared"), COUNT_DIFFERS)
     )
     return (

@@ -12,7 +12,7 @@ therefore completed by the next one, with no row lost and none loaded twice.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -146,10 +146,17 @@ def ingest(
     full_refresh: bool = False,
     quiet_seconds: int = 0,
     files_per_batch: int = FILES_PER_BATCH,
+    files: DataFrame | None = None,
 ) -> Loaded:
-    """Load the files of a feed that were not loaded yet. One writer per table at a time."""
+    """Load the files of a feed that were not loaded yet. One writer per table at a time.
+
+    ``files`` names the candidates (path, _file_path, _file_last_modified, length) instead of a listing. A full
+    refresh loads everything beside the table and takes its place when it is complete.
+    """
+    if not 0 < files_per_batch <= FILES_PER_BATCH:
+        raise ValueError(f"files_per_batch is 1 to {FILES_PER_BATCH}")
     if full_refresh:
-        target.spark.sql(f"DROP TABLE IF EXISTS {target.name('bronze', feed.table)}")
+        return _refreshed(target, feed, landing, quiet_seconds, files_per_batch)
     if not target.exists("bronze", feed.table):
         # A ledger speaks about one bronze table; without the table it says nothing.
         target.spark.sql(
@@ -157,18 +164,42 @@ def ingest(
         )
         target.create_batched("bronze", feed.table, _bronze_schema(target, feed))
     listed_at = datetime.now(timezone.utc)
-    files = settled(
-        landing_files(target.spark, f"{landing.rstrip('/')}/{feed.name}", feed.glob),
-        F.lit(listed_at).cast("timestamp"),
-        quiet_seconds,
-    )
+    if files is None:
+        files = landing_files(target.spark, f"{landing.rstrip('/')}/{feed.name}", feed.glob)
+    files = settled(files, F.lit(listed_at).cast("timestamp"), quiet_seconds)
     planned = _plan(target, feed, files, files_per_batch, listed_at)
     todo = _unfinished(target, feed)
     for batch in todo:
-        _load(target, feed, batch, REPLACE if full_refresh else APPEND)
+        _load(target, feed, batch, APPEND)
     return Loaded(planned, len(todo))
 
 
+def _refreshed(target: Target, feed: Feed, landing: str, quiet_seconds: int, files_per_batch: int) -> Loaded:
+    """Load all files into tables beside the feed's, then swap both; until then the old ones stand.
+
+    New batches get numbers behind all that were used, so that what was built from older ones can tell.
+    """
+    staging = replace(feed, table=f"{feed.table}__next")
+    ledger_table, log = f"{LEDGER}_{feed.table}", f"{LOG}_{staging.table}"
+    target.recover("bronze", feed.table)
+    target.recover("governance", ledger_table)
+    target.spark.sql(f"DROP TABLE IF EXISTS {target.name('governance', log)}")
+    used = _commits(target, feed).agg(F.max("batch")).first()[0]
+    if used is not None:
+        log_build(target, staging.table, APPEND, used)  # numbering goes on from here
+    loaded = ingest(target, staging, landing, quiet_seconds=quiet_seconds, files_per_batch=files_per_batch)
+    new = [r.batch for r in _commits(target, staging).collect() if used is None or r.batch > used]
+    target.swap_in("bronze", feed.table)
+    if target.exists("governance", f"{ledger_table}__next"):
+        target.swap_in("governance", ledger_table)
+    else:  # nothing was delivered
+        target.spark.sql(f"DROP TABLE IF EXISTS {target.name('governance', ledger_table)}")
+    for batch in sorted(new):
+        log_build(target, feed.table, REPLACE, batch)
+    target.spark.sql(f"DROP TABLE IF EXISTS {target.name('governance', log)}")
+    return loaded
+
+
 def bronze(target: Target, feed: Feed, after_batch: int | None = None) -> DataFrame:
     """A feed's bronze rows as delivered, without the storage partition column.
 

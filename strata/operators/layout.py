@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -47,11 +48,11 @@ def layout_profile(spark: SparkSession, locations: Mapping[str, str]) -> DataFra
                 F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
             )
             error = F.when(F.col("files") == 0, "no data files")
-        except AnalysisException as failure:
+        except (AnalysisException, Py4JJavaError) as failure:
             measured = spark.range(1).select(
                 F.lit(None).cast("bigint").alias("files"), F.lit(None).cast("bigint").alias("bytes")
             )
-            error = F.lit(failure.getCondition() or "unreadable")
+            error = F.lit(getattr(failure, "getCondition", lambda: None)() or "unreadable")
         parts.append(measured.select(F.lit(name).alias("table_name"), "files", "bytes", error.alias("error")))
     return reduce(DataFrame.unionByName, parts)
 

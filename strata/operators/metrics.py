@@ -81,6 +81,8 @@ class MetricView:
         if unknown:
             raise KeyError(f"{self.name} has no {', '.join(unknown)}")
         groups, aggregates = [self.dimensions[d] for d in by], [self.measures[m] for m in measures]
+        if by and self._splits(groups, aggregates, where):
+            return self._joined_late(governance, principal, measures, by)
         rows = self.rows(governance, principal, [*groups, *aggregates, where or ""])
         if where:
             rows = rows.filter(where)
@@ -88,6 +90,37 @@ class MetricView:
             *[F.expr(e).alias(m) for m, e in zip(measures, aggregates)]
         )
 
+    def _splits(self, groups: Sequence[str], aggregates: Sequence[str], where: str | None) -> bool:
+        """Whether sums and counts over source columns can be taken before the lookups are joined."""
+        whole = all(re.fullmatch(r"(count|sum|count_if)\(.*\)", a) for a in aggregates)
+        source_only = not self._needed([self.filter, *aggregates, where or ""])
+        return whole and source_only and not where and bool(self._needed(groups))
+
+    def _joined_late(
+        self, governance: Governance, principal: Principal, measures: Sequence[str], by: Sequence[str]
+    ) -> DataFrame:
+        """Partial measures per join key and source dimension, then the lookups, then their sums.
+
+        The join sees one row per key and dimension value instead of one per source row, so that a key
+        with most of the rows is no large partition of it.
+        """
+        groups = {d: self.dimensions[d] for d in by}
+        needed = self._needed(list(groups.values()))
+        source = self.rows(governance, principal, [self.measures[m] for m in measures])
+        keys = sorted(set(re.findall(r"\bsource\.(\w+)", " ".join(self.lookups[n].on for n in needed))))
+        own = {d: e for d, e in groups.items() if not self._needed([e])}
+        partial = source.groupBy(
+            *[F.expr(f"source.{k}").alias(k) for k in keys], *[F.expr(e).alias(f"_by_{d}") for d, e in own.items()]
+        ).agg(*[F.expr(self.measures[m]).alias(m) for m in measures])
+        types = {m: partial.schema[m].dataType for m in measures}
+        joined = partial.alias("source")
+        for name in needed:
+            lookup = self.lookups[name]
+            joined = joined.join(governance.secured(lookup.table, principal).alias(name), F.expr(lookup.on), "left")
+        return joined.groupBy(
+            *[(F.col(f"source.`_by_{d}`") if d in own else F.expr(e)).alias(d) for d, e in groups.items()]
+        ).agg(*[F.sum(F.col(f"source.`{m}`")).cast(types[m]).alias(m) for m in measures])
+
     def headcount(
         self, governance: Governance, principal: Principal, by: Sequence[str] = ()
     ) -> DataFrame:

@@ -8,9 +8,11 @@ files sees everything.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Hashable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +92,7 @@ class Governance:
     row_filters: dict[str, RowFilter] = field(default_factory=dict)
     tag_masks: tuple[TagMask, ...] = ()
     column_tags: tuple[ColumnTag, ...] = ()
+    append_only: frozenset[str] = frozenset()
 
     def may_read(self, table: str, principal: Principal) -> bool:
         schema = table.split(".")[0]
@@ -162,13 +165,26 @@ class Governance:
         return "column mask" if has_mask else "row filter" if has_filter else None
 
     def as_of(self, table: str, principal: Principal, moment, at: str = "_processed_timestamp") -> DataFrame:
-        """An append-only table as it stood at ``moment``."""
+        """An append-only table as it stood at ``moment``.
+
+        A table that is rewritten no longer holds the rows of then, so it refuses as well.
+        """
         self.demand(table, principal)
-        reason = self.protection(table)
+        reason = self.protection(table) or (None if table in self.append_only else "not append-only")
         if reason:
             raise AsOfRefused(reason)
         return self.tables[table]().filter(F.col(at) <= F.lit(moment))
 
+    def effect(self, table: str, principal: Principal) -> Hashable:
+        """What the policies make of a table for a caller: equal values, equal rows."""
+        bound = self.row_filters.get(table)
+        filtered = bound and not bound.exempt & principal.groups
+        exempt = frozenset(m.name for m in self.every_mask() if m.exempt & principal.groups)
+        return self.may_read(table, principal), principal.name if filtered else None, exempt
+
+    def every_mask(self) -> list[Mask]:
+        return [*self.masks.values(), *(t.mask for t in self.tag_masks)]
+
     def with_tables(self, **tables: Callable[[], DataFrame]) -> Governance:
         return replace(self, tables={**self.tables, **tables})
 
@@ -271,24 +287,42 @@ def id_list(rows: DataFrame, column: str) -> DataFrame:
     return rows.agg(F.array_join(ids, ",").alias("ids"))
 
 
+# What asking may come to.
+ROWS, DENIED, ERROR = "ROWS", "DENIED", "ERROR"
+
+
 def compare_principals(
-    principals: Sequence[Principal], ask: Callable[[Principal], DataFrame]
-) -> tuple[DataFrame | None, dict[str, str]]:
-    """One question as several callers: the rows, tagged with who asked, and the outcomes.
+    principals: Sequence[Principal],
+    ask: Callable[[Principal], DataFrame],
+    effect: Callable[[Principal], Hashable] | None = None,
+) -> DataFrame:
+    """One question as several callers: (principal, outcome, answer columns) for every caller asked.
 
-    Three outcomes: ROWS, DENIED, ERROR. A refusal or a failure is never an empty answer.
+    A refusal and a query that cannot be analysed are rows of their own with NULL answers, never an
+    empty answer; any other failure is raised. Callers with an equal ``effect`` are given one
+    plan, which is computed once.
     """
-    answers, outcomes = None, {}
+    answers: dict[Hashable, tuple[DataFrame, list[str]]] = {}
+    refused: list[tuple[str, str]] = []
     for principal in principals:
+        key = effect(principal) if effect else principal.name
+        if key in answers:
+            answers[key][1].append(principal.name)
+            continue
         try:
-            answer = ask(principal).withColumn("principal", F.lit(principal.name))
+            answer = ask(principal)
             answer.schema  # analysis errors surface here
         except AccessDenied:
-            outcomes[principal.name] = "DENIED"
-            continue
-        except Exception as error:  # reported, not hidden
-            outcomes[principal.name] = f"ERROR {type(error).__name__}"
-            continue
-        outcomes[principal.name] = "ROWS"
-        answers = answer if answers is None else answers.unionByName(answer)
-    return answers, outcomes
+            refused.append((principal.name, DENIED))
+        except AnalysisException:
+            refused.append((principal.name, ERROR))
+        else:
+            answers[key] = (answer, [principal.name])
+    frames = [
+        answer.select(F.explode(F.array(*map(F.lit, names))).alias("principal"), F.lit(ROWS).alias("outcome"), "*")
+        for answer, names in answers.values()
+    ]
+    if refused:
+        spark = SparkSession.active()
+        frames.append(spark.createDataFrame(refused, "principal string, outcome string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

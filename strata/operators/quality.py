@@ -136,6 +136,17 @@ def tally(name: str, failures: DataFrame, population: DataFrame) -> DataFrame:
     return both.select(F.lit(name).alias("check_name"), "population", "failures")
 
 
+def key_tally(name: str, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and duplicate keys of a table, from one pass over it. A NULL in a single key is no value."""
+    per_key = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    twice = F.col("n") > 1
+    if len(columns) == 1:
+        twice = twice & F.col(columns[0]).isNotNull()
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("population"), F.count_if(twice).alias("failures")
+    ).select(F.lit(name).alias("check_name"), "population", "failures")
+
+
 def results(tallies: Sequence[DataFrame]) -> DataFrame:
     """Every check with its verdict: failed, vacuous (nothing to look at) or passed."""
     status = (

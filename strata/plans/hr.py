@@ -35,7 +35,6 @@ from strata.operators.policy import (
 from strata.operators.register import Metadata, stewardship_register
 from strata.sources.feeds import Feed
 from strata.sources.landing import (
-    content_md5,
     empty_files,
     file_md5,
     header_lines,
@@ -298,6 +297,7 @@ def hr_governance(target: Target, principals: tuple[Principal, ...] = ROSTER) ->
             (f"gold.{GOLD_HEADCOUNT}", "avg_salary"): MASK_SALARY_AVG,
         },
         row_filters={f"gold.{GOLD_HEADCOUNT}": FILTER_DEPT},
+        append_only=frozenset(f"{layer}.{table}" for layer, table in names if layer == "bronze"),
         tag_masks=(BY_TAG,),
         column_tags=tuple(
             ColumnTag(schema, table, column, tag, value)
@@ -481,11 +481,13 @@ def date_findings(built: Layers) -> DataFrame:
     return _union(found)
 
 
-def delivered(target: Target, feed: Feed, objects: DataFrame, since: datetime | None) -> DataFrame:
-    """A feed's files: all that are there, or those the ledger listed from ``since`` on."""
+def delivered(target: Target, feed: Feed, landing: str, since: datetime | None) -> DataFrame:
+    """A feed's files: all below its folder, as ingest reads it, or those the ledger listed from ``since`` on."""
     if since is None:
-        folder = F.substring_index(F.substring_index("_file_path", "/", -3), "/", 1)
-        return objects.filter(folder == feed.name)
+        folder = f"{landing.rstrip('/')}/{feed.name}"
+        return present_files(
+            landing_files(target.spark, folder, feed.glob), empty_files(target.spark, folder, feed.glob)
+        )
     listed = ledger(target, feed).filter(F.col("listed_at") >= F.lit(since))
     named = listed.select("_file_path", decoded(base_name(F.col("_file_path"))).alias("file_name"))
     return spread(named, "_file_path")
@@ -494,18 +496,18 @@ def delivered(target: Target, feed: Feed, objects: DataFrame, since: datetime |
 def checks(target: Target, landing: str, since: datetime | None = None) -> DataFrame:
     """All checks of a build, one result row each.
 
-    With ``since`` the checks that open files open only those first listed from then on. A file
-    whose bytes changed under an old time is found by a run without it.
+    With ``since`` the checks that open files open only those first listed from then on, and they count
+    as looked at only what they opened. A file whose bytes changed under an old time is found by a
+    run without it.
     """
     built = layers(target)
     spark = target.spark
     sidecars = list(built.sidecars.values())
     all_sidecars = _union(sidecars)
     employee = built.data[EMPLOYEE.table]
-    objects, empty = landing_files(spark, landing, "*.csv", content=True), empty_files(spark, landing, "*.csv")
-    files = present_files(objects, empty)
-    opened = {f.name: delivered(target, f, objects, since) for f in FEEDS}
-    actual = content_md5(objects, empty) if since is None else _union([file_md5(f) for f in opened.values()])
+    files = present_files(landing_files(spark, landing, "*.csv"), empty_files(spark, landing, "*.csv"))
+    opened = {f.name: delivered(target, f, landing, since) for f in FEEDS}
+    actual = _union([file_md5(f) for f in opened.values()])
     headers = _union([contracts.headers(header_lines(opened[f.name]), f) for f in FEEDS])
     tally = quality.tally
     stored = {**built.data, **built.sidecars}
@@ -513,7 +515,7 @@ def checks(target: Target, landing: str, since: datetime | None = None) -> DataF
     tallies = column_checks(built)
     tallies += [
         tally("ctrl_files_present", contracts.presence(files, sidecars), files),
-        tally("ctrl_md5_matches", contracts.digests(actual, sidecars), all_sidecars),
+        tally("ctrl_md5_matches", contracts.digests(actual, sidecars), _union(list(opened.values()))),
         *[
             tally(f"ctrl_record_counts.{f.name}",
                   contracts.record_counts(f.table, built.sidecars[f"{f.table}_ctrl"], built.data[f.table]),
@@ -536,7 +538,7 @@ def checks(target: Target, landing: str, since: datetime | None = None) -> DataF
               quality.wrongly_picked("department", built.department, built.data[DEPARTMENT.table], "dept_id", RECENCY),
               built.department),
         tally("headcount_reconciles", quality.headcount_gap(built.employee, built.gold), built.employee),
-        tally("landing_headers_match", headers, files),
+        tally("landing_headers_match", headers, _union(list(opened.values()))),
     ]
     return quality.results(tallies)
 

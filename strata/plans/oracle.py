@@ -143,6 +143,18 @@ ORACLE: dict[str, str] = {
     "ingest_roundtrip": _BRONZE_ORDERS,
     "ingest_twice": _BRONZE_ORDERS,
     "ingest_stream": _BRONZE_ORDERS,
+    "ingest_refreshed": _BRONZE_ORDERS,
+    "delivered_dates": """
+        SELECT make_date(year(o_orderdate), 1, 1) AS business_date, count(*) AS rows, true AS every_file_loaded
+        FROM orders GROUP BY 1""",
+    "asof_batches": """
+        SELECT make_date(year(o_orderdate), 1, 1) AS business_date, count(*) FILTER (o_orderstatus = 'F') AS rows_then,
+               count(*) AS rows_today, CAST(0 AS BIGINT) AS rows_lost
+        FROM orders GROUP BY 1""",
+    "gold_rebuilt": f"WITH {_GOLD} SELECT * FROM gold",
+    "id_list": f"""
+        SELECT string_agg(k, ',' ORDER BY k) AS ids FROM (
+          SELECT CAST(p_partkey AS VARCHAR) AS k FROM part WHERE p_partkey IN ({_BIZ}))""",
     "ctrl_ingest": """
         SELECT 'orders' AS feed, CAST(date_trunc('year', o_orderdate) AS DATE) AS business_date, count(*) AS declared
         FROM orders GROUP BY ALL""",
@@ -268,15 +280,18 @@ ORACLE: dict[str, str] = {
         FROM employee e LEFT JOIN department d ON e.dept_id = d.dept_id
         WHERE is_employed GROUP BY ALL ORDER BY manager_count DESC, cost_centre LIMIT 5""",
     "mask_salary": """
-        SELECT principal, people, CASE WHEN principal IN ('steward', 'pipeline') THEN readable ELSE 0 END AS readable
+        SELECT principal, outcome, CASE outcome WHEN 'ROWS' THEN people END AS people,
+               CASE WHEN outcome = 'ROWS' THEN if(plain, readable, 0) END AS readable
         FROM (SELECT count(*) AS people, count(c_acctbal) AS readable FROM customer),
-             (SELECT unnest(['steward', 'pipeline', 'hr-analyst']) AS principal)""",
+             (VALUES ('steward', 'ROWS', true), ('pipeline', 'ROWS', true), ('hr-analyst', 'ROWS', false), ('1', 'DENIED', false))
+               AS caller(principal, outcome, plain)""",
     "mask_email": """
         SELECT c_custkey AS employee_id, '***#' || coalesce(nullif(split_part(c_name, '#', 2), ''), 'redacted') AS email
         FROM customer""",
     "tag_mask": """
-        SELECT 'steward' AS principal, c_mktsegment AS gender, count(*) AS people FROM customer GROUP BY ALL
-        UNION ALL SELECT 'hr-analyst', 'REDACTED', count(*) FROM customer""",
+        SELECT 'steward' AS principal, 'ROWS' AS outcome, c_mktsegment AS gender, count(*) AS people FROM customer GROUP BY ALL
+        UNION ALL SELECT 'hr-analyst', 'ROWS', 'REDACTED', count(*) FROM customer
+        UNION ALL SELECT '1', 'DENIED', NULL, NULL""",
     "row_filter_biz": f"""WITH {_GOLD}
         SELECT dept_id, dept_code, dept_name, cost_centre, department_active, headcount_people, managers, full_time,
                CAST(NULL AS DECIMAL(23,2)) AS total_salary, CAST(NULL AS DECIMAL(13,2)) AS avg_salary
@@ -295,10 +310,11 @@ ORACLE: dict[str, str] = {
                          CAST(sum(total_salary) AS DECIMAL(33,2)) AS payroll, max(avg_salary) AS highest_avg FROM gold),
         own AS (SELECT count(*) AS departments, CAST(sum(headcount_people) AS BIGINT) AS people
                 FROM gold WHERE dept_id IN ({_BIZ}))
-        SELECT 'steward' AS principal, * FROM total
-        UNION ALL SELECT 'pipeline', * FROM total
-        UNION ALL SELECT 'hr-analyst', departments, people, NULL, NULL FROM total
-        UNION ALL SELECT '1', departments, people, NULL, NULL FROM own""",
+        SELECT 'steward' AS principal, 'ROWS' AS outcome, * FROM total
+        UNION ALL SELECT 'pipeline', 'ROWS', * FROM total
+        UNION ALL SELECT 'hr-analyst', 'ROWS', departments, people, NULL, NULL FROM total
+        UNION ALL SELECT '1', 'ROWS', departments, people, NULL, NULL FROM own
+        UNION ALL SELECT 'outsider', 'DENIED', NULL, NULL, NULL, NULL""",
     "stewardship": f"WITH {_REGISTER} SELECT * FROM register",
     "register_findings": f"""WITH {_REGISTER}
         SELECT table_schema, review_flag, count(*) AS tables FROM register GROUP BY ALL""",

@@ -10,21 +10,24 @@ from pyspark.sql import functions as F
 from strata.functions.text import path_date, stable_id
 from strata.operators import contracts, layout, policy, quality, register
 from strata.operators.current import current_rows
-from strata.operators.ingest import bronze, ingest, unloaded
+from strata.operators.ingest import bronze, build_log, ingest, unloaded
 from strata.operators.metrics import HEADCOUNTS, layer_equals_table, measures_distinct
 from strata.plans import star
 from strata.plans.star import ANALYST, BIZ, ORDERS, ROSTER, STEWARD, WORKFORCE, table
-from strata.session import scratch_dir
-from strata.sources.landing import content_md5, deliver, empty_files, landing_files, present_files, settled
+from strata.session import scratch_dir, ship
+from strata.sources.landing import deliver, empty_files, file_md5, landing_files, present_files, settled
 from strata.sources.target import Target
-from strata.streaming.arrivals import catch_up
+from strata.streaming.arrivals import watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    REGISTRY[run.__name__] = run
+    def shipped(spark: SparkSession, d: str) -> DataFrame:
+        return run(ship(spark), d)
+
+    REGISTRY[run.__name__] = shipped
     return run
 
 
@@ -63,12 +66,67 @@ def ingest_twice(spark, d):
 
 @query
 def ingest_stream(spark, d):
-    """The same rows when file arrival triggers the ingest."""
+    """The same rows when file arrival alone triggers the ingest: no batch run follows the stream."""
     target, landing = _landed(spark, d, "stream")
-    catch_up(target, ORDERS, landing, scratch_dir(spark, "stream-state"))
+    watch(target, ORDERS, landing, scratch_dir(spark, "stream-state"), quiet_seconds=0).awaitTermination()
+    return _bronze_orders(target)
+
+
+@query
+def ingest_refreshed(spark, d):
+    """A full refresh loads every file again, beside the table, and takes its place."""
+    target, landing = _landed(spark, d, "refreshed")
+    ingest(target, ORDERS, landing)
+    ingest(target, ORDERS, landing, full_refresh=True)
     return _bronze_orders(target)
 
 
+@query
+def delivered_dates(spark, d):
+    """What a listing of the delivery says per business date, beside the rows loaded from it."""
+    target, landing = _landed(spark, d, "dates")
+    ingest(target, ORDERS, landing)
+    listed = landing_files(spark, landing, ORDERS.glob).select(
+        path_date(F.col("_file_path"), ORDERS.date_pattern).alias("business_date"), "length"
+    )
+    files = listed.groupBy("business_date").agg(F.count_if(F.col("length") > 0).alias("n"))
+    rows = bronze(target, ORDERS).groupBy(F.col("_file_date").alias("business_date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("_file_path").alias("loaded")
+    )
+    return files.join(rows, "business_date", "full").select(
+        "business_date", "rows", (F.col("n") == F.col("loaded")).alias("every_file_loaded")
+    )
+
+
+@query
+def asof_batches(spark, d):
+    """Orders as of the first of two batches, beside today: per year, and whether history still holds."""
+    root = scratch_dir(spark, "asof")
+    orders = star.delivered_orders(spark, d)
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    moment = None
+    for part in (F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"):
+        deliver(orders.where(part), f"{root}/landing", ORDERS, F.trunc("o_orderdate", "year"), "sales")
+        ingest(target, ORDERS, f"{root}/landing")
+        # The build log's first entry is the oldest state that can be read.
+        moment = moment or build_log(target, ORDERS.table).agg(F.max("logged_at")).first()[0]
+    name = f"bronze.{ORDERS.table}"
+    rules = policy.Governance(
+        tables={name: lambda: bronze(target, ORDERS)},
+        access_map=lambda: None,
+        grants=(policy.Grant(STEWARD.name, "SELECT", "bronze"),),
+        append_only=frozenset({name}),
+    )
+    then = rules.as_of(name, STEWARD, moment).select("o_orderkey", F.lit(1).alias("then"))
+    now = rules.read(name, STEWARD).select("o_orderkey", "_file_date")
+    both = now.join(then, "o_orderkey", "full")
+    return both.groupBy(F.col("_file_date").alias("business_date")).agg(
+        F.count("then").alias("rows_then"),
+        F.count("_file_date").alias("rows_today"),
+        F.count_if(F.col("_file_date").isNull()).alias("rows_lost"),
+    )
+
+
 @query
 def ctrl_ingest(spark, d):
     """Sidecars ingested as a feed of their own: declared rows per business date."""
@@ -86,14 +144,12 @@ def delivery_contract(spark, d):
     for feed in (ORDERS, sidecar):
         ingest(target, feed, landing)
     rows, declared = bronze(target, ORDERS), bronze(target, sidecar)
-    objects = landing_files(spark, landing, ORDERS.glob, content=True)
-    empty = empty_files(spark, landing, ORDERS.glob)
-    files = present_files(objects, empty)
+    files = present_files(landing_files(spark, landing, ORDERS.glob), empty_files(spark, landing, ORDERS.glob))
     checks = quality.results(
         [
             quality.tally("presence", contracts.presence(files, [declared]), files),
             quality.tally("record_counts", contracts.record_counts("orders", declared, rows), declared),
-            quality.tally("md5", contracts.digests(content_md5(objects, empty), [declared]), declared),
+            quality.tally("md5", contracts.digests(file_md5(files), [declared]), declared),
             quality.tally("drift", contracts.rescued({"orders": rows}), rows),
         ]
     )
@@ -202,17 +258,25 @@ def gold_headcount(spark, d):
     return star.gold(spark, d)
 
 
+@query
+def gold_rebuilt(spark, d):
+    """Gold written over an older build of itself and read back, through staging and swap."""
+    root = scratch_dir(spark, "gold")
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    target.rebuild("gold", "headcount", star.gold(spark, d).filter("department_active"))
+    return target.rebuild("gold", "headcount", star.gold(spark, d))
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
 @query
 def silver_uniqueness(spark, d):
     """One row per key holds in silver, over a population that is not empty."""
-    employees, departments = star.employees(spark, d), star.departments(spark, d)
     return quality.results(
         [
-            quality.tally("employee", quality.duplicates(employees, ["employee_id"]), employees),
-            quality.tally("department", quality.duplicates(departments, ["dept_id"]), departments),
+            quality.key_tally("employee", star.employees(spark, d), ["employee_id"]),
+            quality.key_tally("department", star.departments(spark, d), ["dept_id"]),
         ]
     )
 
@@ -337,7 +401,7 @@ def mask_salary(spark, d):
         rows = rules.read("silver.people", caller)
         return rows.agg(F.count(F.lit(1)).alias("people"), F.count("salary_annual").alias("readable"))
 
-    return policy.compare_principals(ROSTER, ask)[0]
+    return policy.compare_principals(ROSTER, ask, lambda caller: rules.effect("silver.people", caller))
 
 
 @query
@@ -353,7 +417,7 @@ def tag_mask(spark, d):
     def ask(caller):
         return rules.read("silver.people", caller).groupBy("gender").agg(F.count(F.lit(1)).alias("people"))
 
-    return policy.compare_principals([STEWARD, ANALYST], ask)[0]
+    return policy.compare_principals([STEWARD, ANALYST, BIZ], ask)
 
 
 @query
@@ -376,6 +440,13 @@ def visible_ids(spark, d):
     )
 
 
+@query
+def id_list(spark, d):
+    """The departments a business user sees, as one ordered text."""
+    seen = star.governance(spark, d).read("gold.headcount", BIZ)
+    return policy.id_list(seen, "dept_id")
+
+
 @query
 def layer_equals_gold(spark, d):
     """The metric view shows a business user neither more nor less than the gold table."""
@@ -386,7 +457,7 @@ def layer_equals_gold(spark, d):
 
 @query
 def prove_principals(spark, d):
-    """One question as four callers."""
+    """One question as five callers, one of whom has no grant; equal callers share one plan."""
     rules = star.governance(spark, d)
 
     def ask(caller):
@@ -397,7 +468,8 @@ def prove_principals(spark, d):
             F.max("avg_salary").alias("highest_avg"),
         )
 
-    return policy.compare_principals(ROSTER, ask)[0]
+    callers = [*ROSTER, policy.Principal("outsider")]
+    return policy.compare_principals(callers, ask, lambda caller: rules.effect("gold.headcount", caller))
 
 
 @query

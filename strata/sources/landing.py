@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import fnmatch
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -12,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.text import decoded, directory, path_date
+from strata.functions.text import decoded, path_date
 from strata.sources.feeds import RESCUED, Feed
 
-# Above this size a file's digest is taken by streaming it, not by holding it in one row.
-STREAM_ABOVE_BYTES = 64 * 1024 * 1024
 _CHUNK = 4 * 1024 * 1024
+# The longest first line that is taken for a header; a file without a line break in it has none.
+HEADER_BYTES = 1024 * 1024
 
 
 def provenance(date_pattern: str) -> list[Column]:
@@ -56,8 +58,8 @@ def read_landing(spark: SparkSession, feed: Feed, paths: str | list[str]) -> Dat
     return rows.select("*", *provenance(feed.date_pattern))
 
 
-def landing_files(spark: SparkSession, root: str, glob: str = "*", content: bool = False) -> DataFrame:
-    """One row per delivered object; no file is opened unless ``content`` is asked for and used."""
+def landing_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """One row per delivered object; no file is opened."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -72,7 +74,7 @@ def landing_files(spark: SparkSession, root: str, glob: str = "*", content: bool
         F.col("modificationTime").alias("_file_last_modified"),
         F.col("length"),
     ]
-    return files.select(*columns, *([F.col("content")] if content else []))
+    return files.select(*columns)
 
 
 def settled(files: DataFrame, as_of: Column, quiet_seconds: int) -> DataFrame:
@@ -104,35 +106,25 @@ def _stream_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def file_md5(files: DataFrame) -> DataFrame:
-    """md5 of the named files only, each read in chunks by the task that holds its row."""
-    named = files.select("_file_path", "file_name")
+    """md5 of the named files, each read in chunks by the task that holds its row, whatever its size."""
+    named = spread(files.select("_file_path", "file_name"), "_file_path")
     return named.mapInArrow(_stream_md5, "_file_path string, file_name string, actual_md5 string")
 
 
-def content_md5(objects: DataFrame, empty: DataFrame, stream_above: int = STREAM_ABOVE_BYTES) -> DataFrame:
-    """md5 of every delivered file's bytes, whatever its size.
-
-    Small files go through the built-in function. Larger ones are read in chunks inside
-    tasks, because a binary column holds a whole file in one row.
-    """
-    columns = ["_file_path", "file_name"]
-    small = objects.filter(F.col("length") <= stream_above).select(*columns, F.md5("content").alias("actual_md5"))
-    large = file_md5(objects.filter(F.col("length") > stream_above))
-    none = empty.select(*columns, F.md5(F.lit("")).alias("actual_md5"))
-    return small.unionByName(large).unionByName(none)
-
-
 def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = []
         for uri in batch["_file_path"].to_pylist():
             filesystem, path = _open(uri)
-            head = b""
             with filesystem.open_input_stream(path) as stream:
-                while b"\n" not in head and (chunk := stream.read(4096)):
-                    head += chunk
-            line = head.split(b"\n", 1)[0].decode("utf-8", "replace")
-            lines.append(line.removeprefix("﻿").rstrip("\r"))
+                head = stream.read(4096)
+                if b"\n" not in head:
+                    head += stream.read(HEADER_BYTES - len(head))
+            whole = b"\n" in head or len(head) < HEADER_BYTES
+            line = head.split(b"\n", 1)[0].decode("utf-8", "replace").removeprefix("﻿").rstrip("\r")
+            # Quoted names are the same names.
+            names = next(csv.reader([line]), []) if whole else [f"no line break in {HEADER_BYTES} bytes"]
+            lines.append(",".join(names))
         yield batch.append_column("header", pa.array(lines, pa.string()))
 
 
@@ -142,8 +134,8 @@ def header_lines(files: DataFrame) -> DataFrame:
     return named.mapInArrow(_first_line, "_file_path string, file_name string, header string")
 
 
-# Levels of directories between the landing root and the files: feed and date.
-LEVELS = 2
+# Levels of directories between the landing root and the files: feed, delivery and date.
+LEVELS = 3
 
 
 def _list(batches: Iterator[pa.RecordBatch], glob: str, recursive: bool) -> Iterator[pa.RecordBatch]:
@@ -218,12 +210,13 @@ def deliver(
 ) -> str:
     """Write rows as dated CSV deliveries and declare each file in a sidecar.
 
-    Each delivery date becomes a ``delivered=<date>`` directory. The rebalance hint lets
-    Spark split a date that holds most of the rows and merge the small ones. The sidecar
-    is computed from what was written: one row per file with its count and md5.
+    A call writes a folder of its own below the feed, and in it a ``delivered=<date>`` directory
+    per date. The rebalance hint lets Spark split a date that holds most of the rows and merge
+    the small ones. The sidecar is computed from what this call wrote: one row per file
+    with its count and md5.
     """
     spark = rows.sparkSession
-    target = f"{root.rstrip('/')}/{feed.name}"
+    target = f"{root.rstrip('/')}/{feed.name}/call-{uuid.uuid4().hex[:12]}"
     (
         rows.select(*feed.column_names, business_date.cast("date").alias("delivered"))
         .hint("rebalance", "delivered")
@@ -237,8 +230,8 @@ def deliver(
         .groupBy("_file_path")
         .agg(F.count(F.lit(1)).alias("record_count"), F.first("_file_date").alias("business_date"))
     )
-    objects = landing_files(spark, target, feed.glob, content=True)
-    digests = content_md5(objects, empty_files(spark, target, feed.glob, levels=1))
+    files = present_files(landing_files(spark, target, feed.glob), empty_files(spark, target, feed.glob, levels=1))
+    digests = file_md5(files)
     (
         digests.join(counts, "_file_path", "left")
         .select(
@@ -257,8 +250,3 @@ def deliver(
         .csv(target)
     )
     return target
-
-
-def delivery_key(path: Column, name: Column) -> Column:
-    """Directory and file name together: the same name may be delivered on two dates."""
-    return F.concat_ws("/", directory(path), name)

@@ -45,6 +45,7 @@ class Target:
         The rows go to a staging table that takes the name when it is complete: a build that
         fails leaves the old table as it was, and the rows may be computed from that table.
         """
+        self.recover(layer, table)
         described = rows.select(
             *[
                 F.col(c).alias(c, metadata={"comment": comments[c]})
@@ -53,12 +54,29 @@ class Target:
                 for c in rows.columns
             ]
         )
-        name, staging = self.name(layer, table), self.name(layer, f"{table}__next")
+        staging = self.name(layer, f"{table}__next")
         described.write.mode("overwrite").saveAsTable(staging)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        self.swap_in(layer, table)
         return self.table(layer, table)
 
+    def swap_in(self, layer: str, table: str) -> None:
+        """Give a complete staging table its name. At every moment one good table exists."""
+        name, staging, old = (self.name(layer, t) for t in (table, f"{table}__next", f"{table}__old"))
+        if self.exists(layer, table):
+            self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+    def recover(self, layer: str, table: str) -> None:
+        """Finish or undo a swap that died half-way: the old table comes back, a staging one goes."""
+        name, staging, old = (self.name(layer, t) for t in (table, f"{table}__next", f"{table}__old"))
+        if self.exists(layer, f"{table}__old"):
+            if self.exists(layer, table):
+                self.spark.sql(f"DROP TABLE {old}")
+            else:
+                self.spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+
     def create_batched(self, layer: str, table: str, schema: T.StructType) -> None:
         """An append-only table whose unit of append is one ``_batch_id`` partition."""
         if self.exists(layer, table):

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import time
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.ingest import Loaded, ingest
@@ -27,7 +29,12 @@ def _arrivals(target: Target, feed: Feed, landing: str):
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", feed.glob)
         .load(f"{landing.rstrip('/')}/{feed.name}")
-        .select("path")
+        .select(
+            "path",
+            F.col("_metadata.file_path").alias("_file_path"),
+            F.col("modificationTime").alias("_file_last_modified"),
+            "length",
+        )
     )
 
 
@@ -45,10 +52,11 @@ def watch(
     One query runs one micro-batch at a time, so runs never overlap.
     """
 
-    def run(_rows, _epoch: int) -> None:
+    def run(arrived: DataFrame, _epoch: int) -> None:
         if every_seconds:
-            time.sleep(quiet_seconds)  # what just arrived has to be whole when it is listed
-        ingest(target, feed, landing, quiet_seconds=quiet_seconds)
+            # What arrived while it was still growing has another time by now; a batch run loads it.
+            time.sleep(quiet_seconds)
+        ingest(target, feed, landing, quiet_seconds=quiet_seconds, files=arrived)
 
     writer = (
         _arrivals(target, feed, landing)

@@ -1,4 +1,4 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from strata.operators import contracts, policy, quality, register
 from strata.operators.ingest import bronze, build_log, ingest, ledger
 from strata.plans import hr
-from strata.sources.landing import file_md5
+from strata.sources.landing import file_md5, header_lines
 
-LATE = "2025-03-31"
+DAY, LATE = "2025-01-31", "2025-03-31"
 
 
 def failing(outcome):
@@ -137,3 +137,36 @@ def test_failed_rebuild_keeps_the_old_table(target, spark):
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         target.rebuild("silver", "kept", spark.range(3).select((F.lit(1) / F.col("id")).alias("id")))
     assert target.table("silver", "kept").count() == 3
+
+
+def test_a_dead_swap_is_finished_or_undone(target, spark):
+    target.rebuild("silver", "kept", spark.range(3))
+    old, staging = target.name("silver", "kept__old"), target.name("silver", "kept__next")
+    spark.sql(f"ALTER TABLE {target.name('silver', 'kept')} RENAME TO {old}")  # died between two renames
+    spark.range(9).write.saveAsTable(staging)
+    target.recover("silver", "kept")
+    assert target.table("silver", "kept").count() == 3
+    assert not target.exists("silver", "kept__old") and not target.exists("silver", "kept__next")
+    assert target.rebuild("silver", "kept", spark.range(4)).count() == 4
+
+
+def test_failed_refresh_keeps_table_and_ledger(target, landing):
+    drop(landing, "department", DAY, "a", [department(1, DAY)])
+    ingest(target, hr.DEPARTMENT, str(landing))
+    drop(landing, "department", DAY, "bad", [["x", "D", "N", "", "true", "c", "l", DAY]])
+    with pytest.raises(Exception):
+        ingest(target, hr.DEPARTMENT, str(landing), full_refresh=True)
+    assert target.table("bronze", hr.DEPARTMENT.table).count() == 1
+    assert target.table("governance", f"file_ledger_{hr.DEPARTMENT.table}").count() == 1
+
+
+def test_checks_see_files_at_any_depth_and_count_what_they_opened(target, landing):
+    names = list(hr.DEPARTMENT.column_names)
+    names[1], names[2] = names[2], names[1]
+    drop(landing, "department", f"{DAY}/part", "deep", [[1, "Name", "D1", "", "true", "c", "l", DAY]], header=names)
+    found = hr.delivered(target, hr.DEPARTMENT, str(landing), None)
+    assert [r.file_name for r in found.collect()] == ["deep.csv"]
+    assert contracts.headers(header_lines(found), hr.DEPARTMENT).count() == 1
+    ingest(target, hr.DEPARTMENT, str(landing))
+    later = datetime(2100, 1, 1)
+    assert hr.delivered(target, hr.DEPARTMENT, str(landing), later).count() == 0

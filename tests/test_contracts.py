@@ -9,7 +9,7 @@ from strata.operators import contracts
 from strata.operators.ingest import bronze, ingest
 from strata.plans import hr
 from strata.plans.hr import CHANGES, DEPARTMENT, EMPLOYEE
-from strata.sources.landing import content_md5, empty_files, header_lines, landing_files, present_files
+from strata.sources.landing import empty_files, file_md5, header_lines, landing_files, present_files
 
 DAY, NEXT = "2025-01-31", "2025-02-28"
 
@@ -22,7 +22,7 @@ def load(target, landing, *feeds):
 
 
 def scans(spark, landing):
-    return landing_files(spark, str(landing), "*.csv", content=True), empty_files(spark, str(landing), "*.csv")
+    return landing_files(spark, str(landing), "*.csv"), empty_files(spark, str(landing), "*.csv")
 
 
 def present(spark, landing):
@@ -86,10 +86,9 @@ def test_digests(target, landing):
     declare(landing, "department", DAY, "lost.csv", 1, "x")
     (_, sidecar), = load(target, landing, DEPARTMENT)
     spark = target.spark
-    actual = content_md5(*scans(spark, landing))
+    actual = file_md5(present(spark, landing))
     assert {r.file_name for r in contracts.digests(actual, [sidecar]).collect()} == {"tampered.csv", "nomd5.csv"}
-    streamed = content_md5(*scans(spark, landing), stream_above=0)
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, actual.collect()))
+    assert {r.file_name for r in actual.collect()} == {"fine.csv", "tampered.csv", "nomd5.csv", "zero.csv"}
     assert {r.actual_md5 for r in actual.filter("file_name = 'fine.csv'").collect()} == {declared}
 
 
@@ -129,6 +128,44 @@ def test_swapped_columns_show_in_the_header_only(target, landing):
     assert [r.file_name for r in contracts.headers(lines, DEPARTMENT).collect()] == ["swapped.csv"]
 
 
+def test_a_file_declared_twice_is_found(target, landing):
+    for name, counts in (("same", (1, 1)), ("other", (1, 2)), ("once", (1,))):
+        drop(landing, "department", DAY, name, [department(1, DAY)], sidecar=False)
+        for i, count in enumerate(counts):
+            declare(landing, "department", DAY, f"{name}.csv", count, "x", ctrl_name=f"{name}{i}.ctrl")
+    (rows, sidecar), = load(target, landing, DEPARTMENT)
+    found = {r.file_name: r.reason for r in contracts.record_counts("d", sidecar, rows).collect()}
+    assert found == {"same.csv": contracts.REPEATED, "other.csv": contracts.CONTRADICTED}
+
+
+def test_a_second_delivery_declares_only_its_own_files(spark, target, tmp_path):
+    from pyspark.sql import functions as F
+
+    from strata.plans import star
+    from strata.sources.landing import deliver
+
+    orders = star.delivered_orders(spark, "/root/testdata/sf0.001")
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1"):
+        deliver(orders.where(part), str(tmp_path), star.ORDERS, F.trunc("o_orderdate", "year"), "sales")
+    sidecar = star.ORDERS.sidecar("*.ctl")
+    for feed in (star.ORDERS, sidecar):
+        ingest(target, feed, str(tmp_path))
+    rows, declared = bronze(target, star.ORDERS), bronze(target, sidecar)
+    assert declared.agg(F.sum("record_count")).first()[0] == rows.count() == orders.count()
+    assert contracts.record_counts("orders", declared, rows).count() == 0
+
+
+def test_quoted_headers_are_the_same_and_endless_ones_are_found(target, landing, monkeypatch):
+    from strata.sources import landing as module
+
+    fine = drop(landing, "department", DAY, "quoted", [department(2, DAY)])
+    head, rest = fine.read_text().split("\n", 1)
+    fine.write_text(",".join(f'"{n}"' for n in head.strip().split(",")) + "\n" + rest)
+    drop(landing, "department", DAY, "endless", [], raw="x" * (module.HEADER_BYTES + 10))
+    lines = header_lines(landing_files(target.spark, str(landing), "*.csv"))
+    assert [r.file_name for r in contracts.headers(lines, DEPARTMENT).collect()] == ["endless.csv"]
+
+
 def test_path_date(spark):
     from pyspark.sql import functions as F
 

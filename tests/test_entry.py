@@ -10,8 +10,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract
 
+from strata.plans.oracle import ORACLE as SQL
+from strata.plans.queries import REGISTRY as QUERIES
+
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,7 @@ def ordered(columns, rows):
 
 
 def test_every_sql_has_a_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"file_inventory", "layout_profile"}
 

@@ -52,6 +52,7 @@ def world(spark):
         grants=base.grants,
         masks=base.masks,
         row_filters=base.row_filters,
+        append_only=frozenset({"bronze.bronze_hr_employee"}),
         tag_masks=base.tag_masks,
         column_tags=base.column_tags,
     )
@@ -95,15 +96,27 @@ def test_denied_is_not_empty(world):
     assert world.read("bronze.bronze_hr_employee", PIPELINE).count() == 6  # ALL_PRIVILEGES reads
 
     def ask(caller):
+        asked.append(caller.name)
         if caller == PIPELINE:
-            raise ZeroDivisionError
+            return world.read(SILVER, caller).select("no_such_column")
         return world.read(SILVER, caller).agg(F.count(F.lit(1)).alias("n"))
 
-    rows, outcomes = policy.compare_principals(ROSTER, ask)
-    assert outcomes == {
-        "steward": "ROWS", "pipeline": "ERROR ZeroDivisionError", "hr-analyst": "ROWS", "biz-analyst": "DENIED",
+    asked = []
+    rows = policy.compare_principals(ROSTER, ask)
+    assert {tuple(r) for r in rows.collect()} == {
+        ("steward", "ROWS", 6), ("pipeline", "ERROR", None), ("hr-analyst", "ROWS", 6), ("biz-analyst", "DENIED", None),
     }
-    assert {(r.principal, r.n) for r in rows.collect()} == {("steward", 6), ("hr-analyst", 6)}
+    assert {tuple(r) for r in policy.compare_principals([BIZ], ask).collect()} == {("biz-analyst", "DENIED")}
+
+    def broken(caller):
+        raise ZeroDivisionError
+
+    with pytest.raises(ZeroDivisionError):
+        policy.compare_principals(ROSTER, broken)
+    asked.clear()
+    shared = policy.compare_principals([STEWARD, ANALYST, STEWARD], ask, lambda p: world.effect(SILVER, p))
+    assert asked == ["steward", "hr-analyst"]
+    assert sorted(r.principal for r in shared.collect()) == ["hr-analyst", "steward", "steward"]
 
 
 def test_a_mask_of_the_wrong_type_is_refused_for_everyone(world):
@@ -178,6 +191,9 @@ def test_as_of(world):
     for table, reason in ((SILVER, "column mask"), (GOLD, r"mask \+ row filter")):
         with pytest.raises(AsOfRefused, match=reason):
             world.as_of(table, STEWARD, datetime(2025, 1, 1))
+    rewritten = f"silver.{hr.SILVER_DEPARTMENT}"
+    with pytest.raises(AsOfRefused, match="not append-only"):
+        world.as_of(rewritten, STEWARD, datetime(2025, 1, 1))
     only_filter = Governance(**{**world.__dict__, "masks": {}})
     with pytest.raises(AsOfRefused, match="^row filter$"):
         only_filter.as_of(GOLD, STEWARD, datetime(2025, 1, 1))
