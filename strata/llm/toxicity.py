@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 Features are the lower-cased words of a whole text and their prefixes of four to six letters
-(``^pref``), valued log(1 + count). Labels say toxic or not; the grades are 0 for clean and 1 to
+(``^pref``), valued 2n / (1 + n) for n occurrences. Labels say toxic or not; the grades are 0 for clean and 1 to
 3 for toxic, by the thirds of how much of the toxic vocabulary a labelled text holds. The
 model has one weight per feature, shared by all thresholds: P(grade >= k) = sigmoid(w.x - t_k)
 with t_1 < t_2 < t_3. The score is the expected grade, the sum of these probabilities.
@@ -35,6 +35,10 @@ SAMPLE = 6_000
 #: Features the model may have.
 FEATURES = 4_096
 GRADES = 3
+#: How many times as frequent in one class as in the other a feature has to be.
+RATIO = 4.0
+#: In which share of the documents of that class it has to be at least.
+SPREAD = 0.03
 #: Documents of this expected severity or more are toxic.
 CUT = 0.5
 _WORD = re.compile(r"\w+")
@@ -51,6 +55,11 @@ def features(text: str | None) -> Counter:
     return found
 
 
+def saturated(n: int) -> float:
+    """What n occurrences count: 1 for one, towards 2 for many, so that a repeated word decides nothing alone."""
+    return 2 * n / (1 + n)
+
+
 @dataclass(frozen=True)
 class Model:
     """Feature weights and rising thresholds; without features every severity is the baseline."""
@@ -67,7 +76,7 @@ class Model:
         for name, n in features(text).items():
             at = index.get(name)
             if at is not None:
-                score += self.weights[at] * np.log1p(n)
+                score += self.weights[at] * saturated(n)
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -60, 60)))
 
 
@@ -168,6 +177,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     best = (
         spread.withColumn("surprise", surprise)
         .where(F.col("surprise") >= float(bar))
+        # Copies of one document make its words look telling; a telling word is common in its class and rare elsewhere.
+        .where((F.col("bad") >= SPREAD * bad) | (F.col("both") - F.col("bad") >= SPREAD * good))
+        .where(F.abs(F.ln((F.col("bad") + 0.5) / (bad + 1)) - F.ln((F.col("both") - F.col("bad") + 0.5) / (good + 1))) >= float(np.log(RATIO)))
         .orderBy(F.desc("surprise"), "name")
         .limit(FEATURES)
         .collect()
@@ -196,14 +208,14 @@ def _fit_rows(held: Iterable, index: dict[str, int], leans: np.ndarray, totals:
         for name, n in sorted(r.pairs or []):
             row.append(i)
             col.append(index[name])
-            value.append(np.log1p(n))
+            value.append(saturated(n))
     rows, cols, values = np.array(row, int), np.array(col, int), np.array(value, float)
     is_toxic = np.array(toxic)
     held_bad = np.bincount(rows, values * leans[cols], len(is_toxic)) if len(rows) else np.zeros(len(is_toxic))
     limits = np.quantile(held_bad[is_toxic == 1], [1 / 3, 2 / 3])
     grades = np.where(is_toxic == 1, 1 + np.searchsorted(limits, held_bad, side="left"), 0)
     share = np.where(is_toxic == 1, totals[1] / sizes[1], totals[0] / sizes[0])
-    weights, thresholds = cumulative_link(rows, cols, values, grades, share, len(index))
+    weights, thresholds = cumulative_link(rows, cols, values, grades, share, len(index), l2=1e-5, steps=1_200)
     return Model(index, weights, thresholds)
 
 
