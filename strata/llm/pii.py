@@ -1,10 +1,10 @@
 """Personal data: patterns, and terms that give a protected value away.
 
 Addresses, card and phone numbers found by pattern are the protected entities. A term (a word of letters
-and digits) discloses an entity as far as seeing the term tells that the entity is there. Over the distinct
-texts of the corpus, with PMI(e; t) = ln(p(e, t) / (p(e) p(t))) and the entity's information IC(e) = -ln p(e),
+and digits) discloses an entity as far as seeing the term tells that the entity is there. Over all
+documents, with PMI(e; t) = ln(p(e, t) / (p(e) p(t))) and the entity's information IC(e) = -ln p(e),
 the disclosure is PMI / IC: 0 for an independent term, 1 for one that occurs with the entity only. Pairs need
-``SUPPORT`` distinct texts, so that a rare word in a single document is not taken for a sign. In the
+``SUPPORT`` distinct texts, so that a rare word of one document and its copies is not taken for a sign. In the
 documents that mention the entity a term of ``REMOVE`` or more is removed, one of ``GENERALISE`` or more
 is replaced by a general word.
 
@@ -12,8 +12,8 @@ All of it is DataFrame functions. Positions come from splitting a text by a patt
 and of the matches add up to them. The patterns are possessive and start only where a match can, so no
 text makes them back up.
 
-Nulls and odd rows: a null text is empty here and stays null when sanitised. Exact copies count as one text in
-the statistics; every row gets its own result. An empty table gives no rows. Columns other than doc_id
+Nulls and odd rows: a null text is empty here and stays null when sanitised. Exact copies and repeated rows count
+as documents but not as further support; every row gets its own result. An empty table gives no rows. Columns other than doc_id
 and text do not matter.
 """
 
@@ -106,36 +106,51 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
 
 
-def disclosures(documents: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(entity, term, disclosure) of the pairs with enough support; statistics over all distinct texts."""
-    rows = documents.select(F.xxhash64("text").alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
-    mentions = keep(
-        rows.select(F.explode(F.array_distinct(F.transform(base_spans(F.col("text")), _entity))).alias("entity"), "mark").distinct(),
-        "pii",
+def _holders(documents: DataFrame) -> DataFrame:
+    """(found_id, mark, entities, terms) of the documents that mention an entity; ``mark`` is a hash of the text."""
+    text = F.coalesce("text", F.lit(""))
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("found_id"), F.xxhash64("text").alias("mark"), text.alias("text"),
+        F.array_distinct(F.transform(base_spans(text), _entity)).alias("entities"),
+    )
+    return rows.where(F.size("entities") > 0).select("found_id", "mark", "entities", _terms(F.col("text")).alias("terms"))
+
+
+def _disclosures(documents: DataFrame, holders: DataFrame, support: int) -> DataFrame:
+    texts = holders.groupBy("mark").agg(
+        F.first("entities").alias("entities"), F.first("terms").alias("terms"), F.count(F.lit(1)).alias("copies")
     )
-    entities = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
-    holders = mentions.join(entities, "entity")
-    said = rows.join(holders.select("mark").distinct(), "mark", "left_semi").select("mark", F.explode(_terms(F.col("text"))).alias("term")).distinct()
-    pairs = holders.join(said, "mark").groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
-    pairs = keep(pairs.where(F.col("n_pair") >= support), "pii")
-    total = F.lit(float(max(2, rows.select("mark").distinct().count())))
-    spoken = rows.select("mark", F.explode(_terms(F.col("text"))).alias("term")).join(
-        pairs.select("term").distinct(), "term"
+    counts = [F.sum("copies"), F.count(F.lit(1))]
+    mentions = texts.select("mark", "copies", F.explode("entities").alias("entity"))
+    entities = mentions.groupBy("entity").agg(counts[0].alias("n_entity"), counts[1].alias("n_texts"))
+    entities = entities.where(F.col("n_texts") >= support).select("entity", "n_entity")
+    held = texts.select("copies", "terms", F.explode("entities").alias("entity")).join(entities, "entity")
+    pairs = (
+        held.select("copies", "entity", "n_entity", F.explode("terms").alias("term"))
+        .groupBy("entity", "n_entity", "term")
+        .agg(counts[0].alias("n_pair"), counts[1].alias("n_texts"))
+        .where(F.col("n_texts") >= support)
+    )
+    total = F.lit(float(max(2, documents.count())))
+    # Counted before joining, so that a word of every text is one row, not one per text.
+    spread = documents.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_term")
     )
-    spread = spoken.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     pmi = F.ln(F.col("n_pair") * total / (F.col("n_entity") * F.col("n_term")))
     return pairs.join(spread, "term").select("entity", "term", (pmi / F.ln(total / F.col("n_entity"))).alias("disclosure"))
 
 
+def disclosures(documents: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(entity, term, disclosure) of the pairs with enough support; statistics over all documents."""
+    return _disclosures(documents, keep(_holders(documents), "pii"), support)
+
+
 def _given_away(documents: DataFrame, support: int) -> DataFrame:
     """(found_id, found_mark, found_terms): the terms to treat in each document that has any."""
-    strong = keep(disclosures(documents, support).where(F.col("disclosure") >= GENERALISE), "pii")
-    spans = base_spans(F.coalesce("text", F.lit("")))
-    holders = documents.select(
-        F.col("doc_id").cast("long").alias("found_id"), F.xxhash64("text").alias("found_mark"),
-        F.explode(F.array_distinct(F.transform(spans, _entity))).alias("entity"),
-    ).distinct()
-    per_term = holders.join(strong, "entity").groupBy("found_id", "found_mark", "term").agg(F.max("disclosure").alias("disclosure"))
+    holders = keep(_holders(documents), "pii")
+    strong = keep(_disclosures(documents, holders, support).where(F.col("disclosure") >= GENERALISE), "pii")
+    mentions = holders.select("found_id", F.col("mark").alias("found_mark"), F.explode("entities").alias("entity")).distinct()
+    per_term = mentions.join(strong, "entity").groupBy("found_id", "found_mark", "term").agg(F.max("disclosure").alias("disclosure"))
     found = per_term.groupBy("found_id", "found_mark").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("found_terms")
     )
