@@ -39,7 +39,7 @@ MARK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _DEFINED, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
 #: Words and pairs of pieces a worker remembers, and the longest word.
-_WORDS, _PAIRS, _LONG = 300_000, 500_000, 48
+_WORDS, _PAIRS, _LONG = 250_000, 300_000, 48
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:

@@ -173,10 +173,10 @@ def _term_spans(text: Column, terms: Column, base: Column) -> Column:
 
 def detect(documents: DataFrame, base: str, added: str, support: int = SUPPORT) -> DataFrame:
     """The documents with two more columns: the spans found by pattern and those the statistics add."""
-    found = _given_away(documents, support)
-    same = documents["doc_id"].cast("long").eqNullSafe(found.found_id) & (F.xxhash64(documents["text"]) == found.found_mark)
-    terms = own_column(documents, "_terms")
-    joined = documents.join(found.withColumnRenamed("found_terms", terms), same, "left").drop("found_id", "found_mark")
+    ident, mark, terms = (own_column(documents, n) for n in ("_id", "_mark", "_terms"))
+    found = _given_away(documents, support).toDF(ident, mark, terms)
+    same = documents["doc_id"].cast("long").eqNullSafe(found[ident]) & (F.xxhash64(documents["text"]) == found[mark])
+    joined = documents.join(found, same, "left").drop(ident, mark)
     text = F.coalesce("text", F.lit(""))
     joined = joined.withColumn(base, base_spans(text))
     return joined.withColumn(added, _term_spans(text, F.col(terms), F.col(base))).drop(terms)

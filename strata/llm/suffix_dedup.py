@@ -269,12 +269,10 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def _with_ranges(documents: DataFrame, length: int) -> tuple[DataFrame, str, str]:
     """The documents with the ranges of each row, and the names of the two added columns."""
-    found = keep(repeated_starts(documents, length), "suffix").withColumnRenamed("mark", "found_mark")
-    found = found.withColumnRenamed("doc_id", "found_id")
-    ranges, body = own_column(documents, "_ranges"), own_column(documents, "_body")
-    found = found.withColumnRenamed("ranges", ranges)
-    same = documents["doc_id"].cast("long").eqNullSafe(found.found_id) & (F.xxhash64(documents["text"]) == found.found_mark)
-    joined = documents.join(found, same, "left").drop("found_id", "found_mark")
+    ranges, body, ident, mark = (own_column(documents, n) for n in ("_ranges", "_body", "_id", "_mark"))
+    found = keep(repeated_starts(documents, length), "suffix").toDF(ident, mark, ranges)
+    same = documents["doc_id"].cast("long").eqNullSafe(found[ident]) & (F.xxhash64(documents["text"]) == found[mark])
+    joined = documents.join(found, same, "left").drop(ident, mark)
     return joined.withColumn(body, F.col("text").cast("binary")), ranges, body
 
 
