@@ -9,7 +9,8 @@ until the leaves visited hold ``RECALL`` of them. A search that has met fewer ve
 return goes on, to the last leaf if need be.
 
 Equal vectors are one entry; of their ids the smallest k + 1 suffice for any answer, and a hot vector is reduced
-to them below the shuffle. Leaves are searched in blocks of vectors and blocks of queries, so that neither a
+to them below the shuffle. A query goes once to each region of neighbouring leaves with the list of those it visits,
+and brings back k + 1 vectors. Regions are searched in blocks of vectors and blocks of queries, so that neither a
 crowded leaf nor one that many queries visit falls to one task. The tree and the leaf sizes, bounded by
 the sample, are all that goes to the driver and to the tasks.
 
@@ -21,6 +22,7 @@ the same id and vector are one. An empty table gives no rows. Only vec_id and em
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,11 +37,13 @@ from strata.llm.common import keep
 K = 10
 SAMPLE = 40_000
 BRANCH = 8
-LEAF = 32
+LEAF = 128
 PROBES = 256
-RECALL = 0.97
+RECALL = 0.95
+#: Neighbouring leaves are searched together, in this many regions at most.
+REGIONS = 32
 #: Vectors and queries that are compared in one piece.
-VECTOR_BLOCK = 4_096
+VECTOR_BLOCK = 8_192
 QUERY_BLOCK = 512
 
 
@@ -88,6 +92,7 @@ class Tree:
 
     def visits(self, query: np.ndarray) -> Iterator[int]:
         """All leaves, the best bin first."""
+        near = ((np.stack(self.centres) - query) ** 2).sum(axis=1).tolist()
         queue = [(0.0, 0)]
         while queue:
             _, node = heapq.heappop(queue)
@@ -95,7 +100,7 @@ class Tree:
                 yield self.leaf[node]
                 continue
             for child in self.children[node]:
-                heapq.heappush(queue, (float(((self.centres[child] - query) ** 2).sum()), child))
+                heapq.heappush(queue, (near[child], child))
 
 
 def grow(sample: np.ndarray, branch: int = BRANCH, leaf: int = LEAF, seed: int = 0) -> Tree:
@@ -204,46 +209,61 @@ def search(
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            take, leaves = [], []
+            take, regions, leaves = [], [], []
             for i, query in enumerate(_matrix(batch.column("embedding"), width)):
-                met = 0
+                met, wanted = 0, defaultdict(list)
                 for n, leaf in enumerate(tree.visits(query)):
                     if n >= visits and met > k:
                         break
                     met += held[leaf]
-                    take.append(i)
-                    leaves.append(leaf)
+                    wanted[leaf // per_region].append(leaf)
+                take += [i] * len(wanted)
+                regions += list(wanted)
+                leaves += list(wanted.values())
             rows = batch.take(pa.array(take, pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column("query_id"), rows.column("query"), pa.array(leaves, pa.int32())], ["query_id", "query", "leaf"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("query_id"), rows.column("embedding"), pa.array(regions, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))],
+                ["query_id", "query", "region", "leaves"],
+            )
 
+    per_region = -(-tree.n_leaves // REGIONS)
+    dealt = dealt.withColumn("region", F.floor(F.col("leaf") / per_region).cast("int"))
     asked = usable(queries).where(F.size("embedding") == width).dropDuplicates(["vec_id", "embedding"])
-    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), "embedding")
-    wanted = keep(asked.mapInArrow(probe, "query_id long, query array<double>, leaf int"), "ann")
-    # Blocks per leaf; both tables have one row per leaf at most, which the sample bounds.
+    asked = asked.select(F.col("vec_id").alias("query_id"), "embedding")
+    wanted = keep(asked.mapInArrow(probe, "query_id long, query array<double>, region int, leaves array<int>"), "ann")
+    # Blocks per region: one row per region.
     blocks = F.broadcast(
-        dealt.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / VECTOR_BLOCK).cast("int").alias("n_blocks"))
-        .join(wanted.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("n_asks")), "leaf")
+        dealt.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / VECTOR_BLOCK).cast("int").alias("n_blocks"))
+        .join(wanted.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("n_asks")), "region")
     )
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = dealt.join(blocks, "leaf").select(
-        "leaf", F.pmod(F.xxhash64("entry"), "n_blocks").cast("int").alias("block"), every("n_asks").alias("ask"), "entry", "embedding"
+    left = dealt.join(blocks, "region").select(
+        "region", F.pmod(F.xxhash64("entry"), "n_blocks").cast("int").alias("block"), every("n_asks").alias("ask"), "leaf", "entry", "embedding"
     )
-    right = wanted.join(blocks, "leaf").select(
-        "leaf", every("n_blocks").alias("block"), F.pmod(F.xxhash64("query_id"), "n_asks").cast("int").alias("ask"), "query_id", "query"
+    right = wanted.join(blocks, "region").select(
+        "region", every("n_blocks").alias("block"), F.pmod(F.xxhash64("query_id"), "n_asks").cast("int").alias("ask"), "query_id", "query", "leaves"
     )
 
     def compare(found: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if found.empty or asks.empty:
             return pd.DataFrame({"query_id": [], "entry": [], "score": []})
-        entry, at = found["entry"].to_numpy(), np.stack(found["embedding"].to_numpy())
-        out = []
-        for query_id, query in zip(asks["query_id"], asks["query"]):
-            score = np.sqrt(((at - query) ** 2).sum(axis=1))
-            near = np.lexsort((entry, score))[: k + 1]
-            out.append(pd.DataFrame({"query_id": query_id, "entry": entry[near], "score": score[near]}))
-        return pd.concat(out, ignore_index=True)
-
-    on = ["leaf", "block", "ask"]
+        entry, leaf, at = found["entry"].to_numpy(), found["leaf"].to_numpy(), np.stack(found["embedding"].to_numpy())
+        square, out = (at**2).sum(axis=1), []
+        for start in range(0, len(asks), 64):
+            part = asks.iloc[start : start + 64]
+            rough = square - 2 * np.stack(part["query"].to_numpy()) @ at.T
+            for near, query_id, query, leaves in zip(rough, part["query_id"], part["query"], part["leaves"]):
+                here = np.flatnonzero(np.isin(leaf, leaves))
+                if len(here) > k + 1:  # the rough distance only leaves out what is clearly farther
+                    values = near[here]
+                    limit = np.partition(values, k)[k]
+                    here = here[values <= limit + 1e-9 * (1 + abs(limit) + (query**2).sum())]
+                score = np.sqrt(((at[here] - query) ** 2).sum(axis=1))
+                best = np.lexsort((entry[here], score))[: k + 1]
+                out.append((np.full(len(best), query_id), entry[here][best], score[best]))
+        return pd.DataFrame(dict(zip(("query_id", "entry", "score"), map(np.concatenate, zip(*out)))))
+
+    on = ["region", "block", "ask"]
     found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(compare, "query_id long, entry long, score double")
     nearest = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "entry"))
     found = found.withColumn("place", nearest).where(F.col("place") <= k + 1)

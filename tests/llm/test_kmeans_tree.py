@@ -39,7 +39,7 @@ def test_recall_against_brute_force(spark):
 def test_best_bin_first_visits_every_leaf_once():
     rng = np.random.default_rng(0)
     points = rng.normal(size=(700, 5))
-    tree = kmeans_tree.grow(points)
+    tree = kmeans_tree.grow(points, leaf=16)
     visits = list(tree.visits(points[3]))
     assert sorted(visits) == list(range(tree.n_leaves)) and tree.n_leaves > 20
     assert kmeans_tree.grow(np.ones((500, 3))).n_leaves == 1
