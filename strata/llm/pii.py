@@ -3,17 +3,25 @@
 Addresses, card and phone numbers found by pattern are the protected entities. A term (a word of letters
 and digits) discloses an entity as far as seeing the term tells that the entity is there. Over all
 documents, with PMI(e; t) = ln(p(e, t) / (p(e) p(t))) and the entity's information IC(e) = -ln p(e),
-the disclosure is PMI / IC: 0 for an independent term, 1 for one that occurs with the entity only. Pairs need
-``SUPPORT`` distinct texts, so that a rare word of one document and its copies is not taken for a sign. In the
+the disclosure is PMI / IC: 0 for an independent term, 1 for one that occurs with the entity only. In the
 documents that mention the entity a term of ``REMOVE`` or more is removed, one of ``GENERALISE`` or more
 is replaced by a general word.
 
+A pair seen in ``SUPPORT`` distinct texts or more is measured as it stands. Below that p(e | t) is discounted by
+one text, to (k - 1) / k of what was counted, where k counts texts that are no near copies of each other (they
+share no band of a sketch of their three-word runs, directly or by others): the rare words of one document and
+its copies are no sign, those of two are a weak one. A value that occurs once is judged by its group, which
+its label hides as well: mail domain, first two parts of an IP, first six digits of a card, a phone number
+without its last seven digits. A group's statistics are those of all its values. With k = 1 a value backs off to
+p(group | t) p(e | group), so its disclosure PMI(group; t) / IC(e) is never above that of its group.
+
 All of it is DataFrame functions. Positions come from splitting a text by a pattern: the lengths of the gaps
 and of the matches add up to them. The patterns are possessive and start only where a match can, so no
 text makes them back up.
 
 Nulls and odd rows: a null text is empty here and stays null when sanitised. Exact copies and repeated rows count
-as documents but not as further support; every row gets its own result. An empty table gives no rows. Columns other than doc_id
+as documents but not as further support; every row gets its own result. A value alone in its group and in one
+text (or its copies) has no second text to tell a sign from chance by; of it only the base spans are replaced. An empty table gives no rows. Columns other than doc_id
 and text do not matter.
 """
 
@@ -22,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep, own_column
+from strata.llm.common import components, keep, own_column
 
 SUPPORT = 5
 GENERALISE = 0.9
@@ -38,6 +46,8 @@ PATTERNS = {
 _HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 _LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "remove": ""}
 _TERM = r"[\p{L}\p{N}]++"
+#: Bands of a sketch and smallest hashes in each: copies with 3/4 of their runs in common meet with 96 %.
+_BANDS, _ROWS = 6, 3
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -102,54 +112,116 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
+def _group(entity: Column) -> Column:
+    """The group of an entity: what its value shares with others of its kind."""
+    kind, value = F.substring_index(entity, ":", 1), F.regexp_replace(entity, "^[a-z]+:", "")
+    part = (
+        F.when(kind == "email", F.substring_index(value, "@", -1))
+        .when(kind == "ip", F.substring_index(value, ".", 2))
+        .when(kind == "card", F.substring(value, 1, 6))
+        .otherwise(F.regexp_replace(value, "[0-9]{7}$", ""))
+    )
+    return F.concat(kind, F.lit("/"), part)
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+
+
 def _terms(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
+    return F.array_distinct(_words(text))
+
+
+def _sketch(text: Column) -> Column:
+    """Hashes that near copies have in common: smallest hashes of three-word runs, in bands."""
+    runs = lambda w: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - 2)), lambda i: F.xxhash64(F.slice(w, i, F.lit(3)))
+    )
+    least = lambda h, at: F.array_min(F.transform(h, lambda x: F.xxhash64(x.bitwiseXOR(F.lit(at)))))
+    bands = lambda h: F.array(
+        *[F.xxhash64(F.lit(b), *[least(h, b * _ROWS + i) for i in range(_ROWS)]) for b in range(_BANDS)]
+    )
+    # An array of one binds what is used more than once.
+    hashes = F.element_at(F.transform(F.array(_words(text)), runs), 1)
+    return F.element_at(F.transform(F.array(hashes), bands), 1)
 
 
 def _holders(documents: DataFrame) -> DataFrame:
-    """(found_id, mark, entities, terms) of the documents that mention an entity; ``mark`` is a hash of the text."""
+    """(found_id, mark, entities, terms, sketch) of the documents that mention an entity; ``mark`` is a hash of the text."""
     text = F.coalesce("text", F.lit(""))
     rows = documents.select(
         F.col("doc_id").cast("long").alias("found_id"), F.xxhash64("text").alias("mark"), text.alias("text"),
         F.array_distinct(F.transform(base_spans(text), _entity)).alias("entities"),
     )
-    return rows.where(F.size("entities") > 0).select("found_id", "mark", "entities", _terms(F.col("text")).alias("terms"))
+    return rows.where(F.size("entities") > 0).select(
+        "found_id", "mark", "entities", _terms(F.col("text")).alias("terms"), _sketch(F.col("text")).alias("sketch")
+    )
 
 
-def _disclosures(documents: DataFrame, holders: DataFrame, support: int) -> DataFrame:
+def _texts(holders: DataFrame) -> DataFrame:
+    """(mark, copies, protected, terms, family) per distinct text: its entities and their groups; near copies are a family."""
     texts = holders.groupBy("mark").agg(
-        F.first("entities").alias("entities"), F.first("terms").alias("terms"), F.count(F.lit(1)).alias("copies")
+        *[F.first(c).alias(c) for c in ("entities", "terms", "sketch")], F.count(F.lit(1)).alias("copies")
     )
-    counts = [F.sum("copies"), F.count(F.lit(1))]
-    mentions = texts.select("mark", "copies", F.explode("entities").alias("entity"))
-    entities = mentions.groupBy("entity").agg(counts[0].alias("n_entity"), counts[1].alias("n_texts"))
-    entities = entities.where(F.col("n_texts") >= support).select("entity", "n_entity")
-    held = texts.select("copies", "terms", F.explode("entities").alias("entity")).join(entities, "entity")
-    pairs = (
-        held.select("copies", "entity", "n_entity", F.explode("terms").alias("term"))
-        .groupBy("entity", "n_entity", "term")
-        .agg(counts[0].alias("n_pair"), counts[1].alias("n_texts"))
-        .where(F.col("n_texts") >= support)
+    texts = keep(texts, "pii")
+    bands = texts.select("mark", F.explode("sketch").alias("band"))
+    least = bands.groupBy("band").agg(F.min("mark").alias("least"))
+    families = components(bands.join(least, "band").select(F.col("mark").alias("a"), F.col("least").alias("b")), "pii")
+    protected = F.array_distinct(F.concat("entities", F.transform("entities", _group)))
+    return texts.join(families, texts["mark"] == families["node"], "left").select(
+        "mark", "copies", protected.alias("protected"), "terms", F.coalesce("root", "mark").alias("family")
     )
+
+
+def _pairs(documents: DataFrame, holders: DataFrame, support: int) -> DataFrame:
+    """(entity, term, measured, estimated) of values and groups; ``measured`` is null below ``support`` and for groups."""
+    texts = keep(_texts(holders), "pii")
+    entity = F.explode("protected").alias("entity")
+    # By family first: a family is one text for the estimate.
+    counts = lambda rows, *by: (
+        rows.groupBy(*by, "family").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("texts"))
+        .groupBy(*by).agg(F.sum("copies").alias("n"), F.sum("texts").alias("n_texts"), F.count(F.lit(1)).alias("k"))
+    )
+    enough = (F.col("k") >= 2) | (F.col("n_texts") >= support)
+    entities = counts(texts.select("copies", "family", entity), "entity").where(enough)
+    entities = entities.select("entity", F.col("n").alias("n_entity"))
+    held = texts.select("copies", "family", "terms", entity).join(entities, "entity")
+    pairs = counts(held.select("copies", "family", "entity", "n_entity", F.explode("terms").alias("term")), "entity", "n_entity", "term")
     total = F.lit(float(max(2, documents.count())))
     # Counted before joining, so that a word of every text is one row, not one per text.
     spread = documents.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_term")
     )
-    pmi = F.ln(F.col("n_pair") * total / (F.col("n_entity") * F.col("n_term")))
-    return pairs.join(spread, "term").select("entity", "term", (pmi / F.ln(total / F.col("n_entity"))).alias("disclosure"))
+    pmi, information = F.ln(F.col("n") * total / (F.col("n_entity") * F.col("n_term"))), F.nullif(F.ln(total / F.col("n_entity")), F.lit(0.0))
+    is_value = F.substring_index("entity", "/", 1).contains(":")
+    measured = F.when(is_value & (F.col("n_texts") >= support), pmi / information)
+    estimated = F.when(F.col("k") >= 2, (pmi + F.ln((F.col("k") - 1) / F.col("k"))) / information)
+    return pairs.where(enough).join(spread, "term").select(
+        "entity", "term", measured.alias("measured"), estimated.alias("estimated")
+    )
 
 
 def disclosures(documents: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(entity, term, disclosure) of the pairs with enough support; statistics over all documents."""
-    return _disclosures(documents, keep(_holders(documents), "pii"), support)
+    """(entity, term, disclosure) of the pairs measured as they stand; statistics over all documents."""
+    pairs = _pairs(documents, keep(_holders(documents), "pii"), support).where("measured IS NOT NULL")
+    return pairs.select("entity", "term", F.col("measured").alias("disclosure"))
+
+
+def estimates(documents: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(entity, term, disclosure) of all values and groups that are judged: measured, or else estimated."""
+    return _estimates(documents, keep(_holders(documents), "pii"), support)
+
+
+def _estimates(documents: DataFrame, holders: DataFrame, support: int) -> DataFrame:
+    return _pairs(documents, holders, support).select("entity", "term", F.coalesce("measured", "estimated").alias("disclosure"))
 
 
 def _given_away(documents: DataFrame, support: int) -> DataFrame:
     """(found_id, found_mark, found_terms): the terms to treat in each document that has any."""
     holders = keep(_holders(documents), "pii")
-    strong = keep(_disclosures(documents, holders, support).where(F.col("disclosure") >= GENERALISE), "pii")
-    mentions = holders.select("found_id", F.col("mark").alias("found_mark"), F.explode("entities").alias("entity")).distinct()
+    strong = keep(_estimates(documents, holders, support).where(F.col("disclosure") >= GENERALISE), "pii")
+    protected = F.array_distinct(F.concat("entities", F.transform("entities", _group)))
+    mentions = holders.select("found_id", F.col("mark").alias("found_mark"), F.explode(protected).alias("entity")).distinct()
     per_term = mentions.join(strong, "entity").groupBy("found_id", "found_mark", "term").agg(F.max("disclosure").alias("disclosure"))
     found = per_term.groupBy("found_id", "found_mark").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("found_terms")

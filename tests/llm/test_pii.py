@@ -106,3 +106,32 @@ def test_whole_table_matches_brute_force(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(texts).encode()).hexdigest()
         assert (r.spans or "").startswith(",".join(texts))
         assert bool(strong) or r.spans == ",".join(texts)
+
+
+def test_terms_of_rare_entities_are_treated(spark):
+    rng = random.Random(4)
+    filler = lambda n=40: " ".join("".join(rng.choice("abcdefghij") for _ in range(3)) for _ in range(n))
+    texts = [filler() for _ in range(900)]
+    texts += [f"{filler()} Quixote wrote {filler()} don@mancha.org {filler()}" for _ in range(3)]  # one value in three texts
+    texts += [f"{filler()} Acmecorp {filler()} u{i}@acme.example {filler()}" for i in range(4)]  # a domain, each value once
+    texts += [f"{filler()} Branchbank {filler()} 404189{n} {filler()}" for n in ("4974608795", "0000000007", "0000000015")]
+    alone = f"{filler()} Hapaxword {filler()} one@single.net {filler()}"
+    copied = f"{filler()} Copyword {filler()} two@copied.net {filler()}"
+    texts += [alone] + [copied] * 2 + [f"{copied} edit{i}" for i in range(3)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert pii.disclosures(frame).count() == 0  # none has five texts
+    found = {(r.entity, r.term): r.disclosure for r in pii.estimates(frame).collect()}
+    n = len(texts)
+    assert abs(found["email:don@mancha.org", "quixote"] - (1 + math.log(2 / 3) / math.log(n / 3))) < 1e-9
+    assert abs(found["email/acme.example", "acmecorp"] - (1 + math.log(3 / 4) / math.log(n / 4))) < 1e-9
+    assert ("card/404189", "branchbank") in found
+    assert not {t for _, t in found} & {"hapaxword", "copyword"}
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
+    assert not any(w in t for t in clean.values() for w in ("Quixote", "Acmecorp", "Branchbank", "@", "404189"))
+    assert sum("[TERM]" in t for t in clean.values()) == 10
+    assert all(w in clean[d] for d, t in enumerate(texts) for w in ("Hapaxword", "Copyword") if w in t)
+
+
+def test_an_entity_of_every_document_tells_nothing(spark):
+    frame = spark.createDataFrame([(i, f"word{i} same x@y.zz") for i in range(6)], "doc_id long, text string")
+    assert {r.text for r in pii.sanitise(frame).collect()} == {f"word{i} same [EMAIL]" for i in range(6)}
