@@ -5,16 +5,19 @@ are neighbours, and a text with very many copies is still cut where a boundary h
 splitters are found without sorting: a histogram counts the exact bytes below each of 4,096 candidate keys over
 all partitions; for every boundary the cell it falls into is kept and counted again in 4,096 finer
 cells, until the boundary is within the tolerance or its cell has one key. Only cell sums come to the
-driver, at most 4,096 for each boundary and round. Then every row knows its shard and moves once.
+driver, at most 4,096 for each boundary and round. The histogram reads sizes and keys only. Then every document
+knows its shard and moves once, with its text and all its columns, to the files of its shard. The digest of the
+query is read back from these files.
 
 Law ``bytes``: sizes are near equal. A row's size is the UTF-8 length of its text plus 8.
 
 A slot is the place of a row within its shard, counted from 0. Shards are cut into sections by a hash of the id,
-sections are numbered on their own and start where those before them end, so no task sees a whole shard.
+sections are numbered on their own and start where those before them end, so no task sees a whole shard. Slots say the
+order of a shard's documents; its sections are separate files.
 
 Nulls and odd rows: a null text counts 8 bytes and has the checksum of the empty text. Null ids and repeated
-rows are rows like any other. An empty table gives no rows; fewer rows than shards leave shards empty. Only
-doc_id and text are read.
+rows are rows like any other. An empty table gives no rows; fewer rows than shards leave shards empty. Columns
+other than doc_id and text are carried along, also those named like one of the operator's.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep
+from strata.llm.common import keep, own_column, quoted
+from strata.session import scratch_dir
 
 SHARDS = 24
 #: How far a boundary may be off, as a share of a shard's bytes.
@@ -96,26 +100,56 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     return [b.settled for b in found]
 
 
-def shard(documents: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, section: int = SECTION) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per document."""
+def placed(documents: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, section: int = SECTION) -> tuple[DataFrame, str, str]:
+    """The documents with all their columns and two more, and the names of these: shard and slot."""
     rows = keep(keyed(documents), "sharding")
     keys = splitters(rows, shards, tolerance)
-    reached = [(F.col("sort_key") >= k).cast("int") for k in keys]
-    number = reached[0] if reached else F.lit(0)
-    for one in reached[1:]:
-        number = number + one
     n_sections = max(1, -(-rows.count() // (shards * section)))
-    placed = rows.select(
-        "*", number.alias("shard"), F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_sections)).alias("section")
-    )
-    placed = keep(placed, "sharding")
-    ahead = Window.partitionBy("shard").orderBy("section").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("shard", "section").count().select(
-        "shard", "section", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("start")
+
+    def place(key: Column, doc_id: Column, checksum: Column) -> tuple[Column, Column]:
+        number = F.lit(0)
+        for k in keys:
+            number = number + (key >= k).cast("int")
+        return number, F.pmod(F.xxhash64(doc_id, checksum), F.lit(n_sections))
+
+    number, part = place(F.col("sort_key"), F.col("doc_id"), F.col("text_crc32"))
+    ahead = Window.partitionBy("start_shard").orderBy("start_section").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(number.alias("start_shard"), part.alias("start_section")).count().select(
+        "start_shard", "start_section", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("start")
     )
-    within = F.row_number().over(Window.partitionBy("shard", "section").orderBy("sort_key", "doc_id"))
-    numbered = placed.withColumn("within", within)
-    return numbered.join(starts, ["shard", "section"]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("start") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    shard_at, slot_at, section_at, key_at = (own_column(documents, n) for n in ("shard", "slot", "_section", "_sort_key"))
+    own = [F.col(quoted(c)) for c in documents.columns]
+    text, doc_id = F.coalesce("text", F.lit("")), F.col("doc_id").cast("long")
+    whole = documents.select(*own, F.concat(_hash_digits(text), _hash_digits(F.col("doc_id"))).alias(key_at))
+    number, part = place(F.col(key_at), doc_id, F.crc32(text))
+    whole = whole.select("*", number.alias(shard_at), part.alias(section_at))
+    # The one exchange of the documents is that of this window; the starts are a few rows per shard.
+    within = F.row_number().over(Window.partitionBy(shard_at, section_at).orderBy(key_at, doc_id))
+    slot = own_column(whole, "_within")
+    numbered = whole.withColumn(slot, within)
+    starts = starts.toDF(*(own_column(numbered, c) for c in starts.columns))
+    at_shard, at_section, start = starts.columns
+    joined = numbered.join(starts, (F.col(shard_at) == F.col(at_shard)) & (F.col(section_at) == F.col(at_section)))
+    out = joined.select(*own, F.col(shard_at), (F.col(start) + F.col(slot) - 1).cast("long").alias(slot_at))
+    return out, shard_at, slot_at
+
+
+def write_shards(
+    documents: DataFrame, path: str, shards: int = SHARDS, tolerance: float = TOLERANCE, section: int = SECTION
+) -> tuple[DataFrame, str, str]:
+    """Write the documents below ``path``, a folder of Parquet files per shard; the written rows, as ``placed`` gives them."""
+    out, shard_at, slot_at = placed(documents, shards, tolerance, section)
+    out.write.partitionBy(shard_at).parquet(path)
+    return documents.sparkSession.read.schema(out.schema).parquet(path), shard_at, slot_at
+
+
+def shard(documents: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, section: int = SECTION) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per document, read from the written shards."""
+    path = scratch_dir(documents.sparkSession, "shards")
+    written, shard_at, slot_at = write_shards(documents, path, shards, tolerance, section)
+    text = F.coalesce("text", F.lit(""))
+    return written.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), F.col(shard_at).alias("shard"),
+        F.col(slot_at).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )

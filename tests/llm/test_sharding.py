@@ -47,3 +47,15 @@ def test_odd_rows(spark):
     checked(sharding.shard(frame).collect(), [r[:2] for r in rows], 24)
     assert sharding.shard(frame.limit(0)).count() == 0
     assert {r.shard for r in sharding.shard(frame, 1).collect()} == {0}
+
+
+def test_shards_are_written_with_their_documents(spark, tmp_path):
+    rows = [(i, f"text {i} " * (i % 30), "n" * (i % 3), i, 7) for i in range(600)] + [(5, None, None, None, None), (None, "é", "x", 1, 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, shard long, SLOT int")
+    path = str(tmp_path / "shards")
+    written, shard_at, slot_at = sharding.write_shards(frame, path, 4, section=50)
+    assert sorted(map(tuple, written.select("doc_id", "text", "`a.b`", "shard", "SLOT").collect()), key=str) == sorted(rows, key=str)
+    assert len(list((tmp_path / "shards").glob(f"{shard_at}=*"))) == 4
+    digest = {(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in sharding.shard(frame, 4, section=50).collect()}
+    own = {(r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode()), r[shard_at], r[slot_at]) for r in written.collect()}
+    assert digest == own and len(own) == len(rows)
