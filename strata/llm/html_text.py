@@ -1,7 +1,7 @@
 """Main text of web pages: gradient-boosted trees over DOM nodes, decoded from the root down.
 
 A page is read into a tree of block elements; inline markup only adds to the text of its block. Scripts, styles,
-comments and controls are markup and never text. Each node has features: kind of element, meaning of its class, id
+comments and controls are markup and never text; the text of math, object, audio and video is text. Each node has features: kind of element, meaning of its class, id
 and role words, the same for its ancestors, depth, text and link density of its subtree, and how it compares with
 its siblings and the page. Boosted trees give the probability that a node holds main text. The
 decoder picks the most likely labelling in which a node is kept only if its parent is kept, by one
@@ -13,7 +13,7 @@ none, in which every node's label is known. The fit is small and runs on the dri
 where they are read, and nothing is shuffled.
 
 Nulls and odd rows: a null or empty page, and one without text, gives an empty string. Broken and unclosed
-markup is closed where the next block requires it. Repeated rows get a row each. An empty table gives no rows.
+markup is closed where the next block requires it; only a script or style left open runs to the end of the page. Repeated rows get a row each. An empty table gives no rows.
 Only page_id, url and html are read.
 """
 
@@ -43,7 +43,8 @@ _GROUPS = {
 _TAG_GROUP = {tag: group for group, tags in _GROUPS.items() for tag in tags.split()}
 _GROUP_INDEX = {group: i for i, group in enumerate(_GROUPS)}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = "script style noscript template title textarea select button iframe svg math object audio video canvas head"
+_RAW = "script style noscript template title textarea select button iframe svg canvas"
+_SELF_CLOSED = {"svg", "iframe"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 # Words in class, id and role that tell what an element is for.
 _MEANINGS = {
@@ -65,10 +66,15 @@ for _i, (_, _words) in enumerate(_MEANINGS.items()):
 _N_GROUPS, _N_MEANINGS = len(_GROUPS), len(_MEANINGS)
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(_RAW.split()) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(_RAW.split()) + r")(?=[\s/>])[^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
+# Where a raw element ends; a second button or select says that the first was left open.
+_RAW_ENDS = {
+    t: re.compile(rf"</{t}\s*>" + (rf"|<{t}(?=[\s/>])" if t in ("button", "select") else ""), re.I) for t in _RAW.split()
+}
+_BLOCK_TAG = re.compile(r"</?(?:" + "|".join(_TAG_GROUP) + r")(?=[\s/>])", re.I)
 _ATTR = re.compile(r"\b(class|id|role|data-keep)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME_WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _INLINE_BREAK = {"br", "hr", "img", "wbr", "input"}
@@ -124,10 +130,25 @@ def _meaning(attrs: str) -> tuple[int, str | None]:
     return found, keep
 
 
+def _raw_end(source: str, at: int, tag: str, missing: set[str]) -> int:
+    """Where the raw element ends whose content starts at ``at``; ``missing`` collects the tags without a further end."""
+    if tag not in missing:
+        end = _RAW_ENDS[tag].search(source, at)
+        if end and end[0][1] == "/":
+            return end.end()
+        if not end:
+            missing.add(tag)
+    if tag in ("script", "style"):
+        return len(source)  # tags in it are code
+    block = _BLOCK_TAG.search(source, at)
+    return block.start() if block else len(source)
+
+
 def parse(source: str) -> tuple[Node, list[Node]]:
     """The root and all nodes in page order, the root first. Markup of any quality gives a tree."""
     root = node = Node("body", None, 0)
     nodes, at, anchors = [root], 0, 0
+    missing: set[str] = set()
 
     def say(raw: str) -> None:
         nonlocal node
@@ -136,10 +157,15 @@ def parse(source: str) -> tuple[Node, list[Node]]:
         if anchors:
             node.links += len(text.strip())
 
-    for token in _TOKEN.finditer(source):
+    while token := _TOKEN.search(source, at):
         if token.start() > at:
             say(source[at : token.start()])
         at = token.end()
+        if token["raw"]:
+            raw = token["raw"].lower()
+            if raw not in _SELF_CLOSED or not token[0].endswith("/>"):
+                at = _raw_end(source, at, raw, missing)
+            continue
         tag = token["tag"]
         if tag is None:
             continue

@@ -70,6 +70,19 @@ def test_parsing_of_broken_markup():
     assert text("<div>" * 5_000 + "deep") == "deep"
 
 
+def test_raw_elements_left_open_or_self_closed_keep_the_page():
+    text = lambda s: "\n".join(H.parse(s)[0].blocks())
+    assert text("<head><title>x</title><body><article><p>Body") == "Body"
+    assert text("<head><title>x<body><p>Body") == "Body"
+    assert text("<head><title>x</title><script>'<p>no'</script><p>Body</p>") == "Body"
+    assert text("<p>One <svg/> two.</p><p>Three.") == "One two.\nThree."
+    assert text("<p>One <svg><text>no</text></svg> two <iframe src='x' /> three") == "One two three"
+    assert text("<head-line>Kept</head-line><button-group>too</button-group><p>Three.") == "Kepttoo\nThree."
+    assert text("<p>If <math><mi>x</mi></math>, <object>one</object> <audio>two</audio> <video>three</video>.") == "If x, one two three."
+    assert text("<button>Go<p>Body</p><button>x</button><p>End") == "Body\nEnd"
+    assert text("<button>Go <p>Body" * 2_000) == "\n".join(["Body"] * 2_000)
+
+
 def test_odd_rows(spark):
     some = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(20).collect()]
     rows = [(i, "u", h, "x") for i, h in enumerate(some)] + [(90, None, None, None), (91, "u", "", None), (None, "u", "<nav><a href=/>x</a></nav>", None)]
