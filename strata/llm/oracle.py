@@ -45,4 +45,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
-ORACLE: dict[str, str] = {"op6_line_frequency": _LINE_FREQUENCY}
+_EXACT_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+occurrences AS (
+  SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
+  FROM words, range(1, 4) AS sizes(k), unnest(range(1, len(ws) - k + 2)) AS starts(i)
+),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM occurrences GROUP BY ALL),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.n AS l, r.n AS r,
+         (1000000 * c.a::HUGEINT * c.a::HUGEINT) // (l.n::HUGEINT * r.n::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.ws, 1, cut), ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.ws, cut + 1, c.k), ' ')
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+covered AS (
+  SELECT DISTINCT s.lang, s.phrase
+  FROM candidates s
+  JOIN (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase
+        FROM candidates WHERE k = 3) b ON b.lang = s.lang AND b.phrase = s.phrase
+  WHERE s.k = 2 AND 100 * b.a >= 50 * s.a
+),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored s ANTI JOIN covered USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, t.n, score::BIGINT AS score
+FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_line_frequency": _LINE_FREQUENCY,
+    "op11_exact_dedup": _EXACT_DEDUP,
+    "op13_phrases": _PHRASES,
+}

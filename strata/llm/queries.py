@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, kmeans_tree, line_rules, packing, piece_fst, pii, sharding, simhash, suffix_dedup, toxicity
+from strata.llm import (
+    exact_dedup,
+    html_text,
+    kmeans_tree,
+    line_rules,
+    packing,
+    phrases,
+    piece_fst,
+    pii,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    whitening,
+)
 from strata.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +101,19 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_fst.tokenise(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@registered
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
