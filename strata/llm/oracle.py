@@ -60,14 +60,22 @@ WITH pieces AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ),
-words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+words AS (
+  SELECT lang, piece_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces)
+),
+neighbours AS (
+  SELECT lang, w, lead(w) OVER later AS w2, lead(w, 2) OVER later AS w3
+  FROM words WINDOW later AS (PARTITION BY piece_id ORDER BY i)
+),
 occurrences AS (
-  SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
-  FROM words, range(1, 4) AS sizes(k), unnest(range(1, len(ws) - k + 2)) AS starts(i)
+  SELECT lang, 1 AS k, w AS phrase FROM neighbours
+  UNION ALL SELECT lang, 2, w || ' ' || w2 FROM neighbours WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM neighbours WHERE w3 IS NOT NULL
 ),
-f AS (SELECT lang, k, phrase, count(*) AS n FROM occurrences GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS n FROM occurrences GROUP BY ALL),
 totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
-candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+candidates AS MATERIALIZED (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
 cuts AS (
   SELECT c.lang, c.phrase, c.a, cut, l.n AS l, r.n AS r,
          (1000000 * c.a::HUGEINT * c.a::HUGEINT) // (l.n::HUGEINT * r.n::HUGEINT) AS score
