@@ -12,9 +12,11 @@ Texts are equal when they are the same bytes after every run of ``[\\x20\\x09-\\
 3. *Merge.* The filters of a section meet in one task and are merged by their sorted remainders; counts add up.
    The number of sections grows with the rows, so that a section holds about ``SECTION`` fingerprints however large the
    corpus is. A fingerprint held by a third of all rows is one entry per task.
-4. *Verification.* Only documents whose fingerprint has a count above one are looked at again: they are grouped
-   by fingerprint and by the bytes of the text themselves, combined in each task before anything moves. Different
-   texts with one fingerprint end in different groups.
+4. *Routing.* Fingerprints with a count above one set a bit in a table of ``TABLE`` bits (16 MB, whatever the input), which
+   every task gets. A document without its bit is single and its text goes nowhere.
+5. *Verification.* The others are grouped by fingerprint and by the bytes of the text themselves, combined in each
+   task before anything moves. Different texts with one fingerprint, or with one bit, end in different groups, so
+   a full table costs time but no correctness.
 
 Odd rows: a null text counts as empty. Of equal texts the row with the smallest doc_id stays, null ids
 last; of several rows with that id exactly one stays. Repeated rows are members of their group like any other. Very
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ SECTION = 1 << 22
 FILTER = 1 << 21
 #: Part of the slots of a new filter that may be in use.
 LOAD = 0.9
+#: Bits of the table of repeated fingerprints.
+TABLE = 1 << 27
 #: Bits of a fingerprint. Fewer make more false matches for the verification, never a wrong result.
 BITS = 64
 _U = np.uint64
@@ -216,8 +221,23 @@ def _fingerprint(body: Column, bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(body), 64 - bits)
 
 
-def _classes(documents: DataFrame, bits: int, section: int) -> tuple[DataFrame, DataFrame]:
-    """Keys of all rows, and (fp, sha, keep_id, group_size) of every text that occurs more than once."""
+def _bit(fp: Column) -> Column:
+    return F.pmod(fp, F.lit(TABLE)) + 1
+
+
+def _routed(frame: DataFrame, table: DataFrame, fp: str, name: str, how: str = "inner") -> DataFrame:
+    """The rows, with whether the bit of their fingerprint is set; the table has at most TABLE / 32,768 rows."""
+    bucket, bits = own_column(frame, "_bucket"), own_column(frame, "_bits")
+    table = F.broadcast(table.toDF(bucket, bits))
+    position = F.bitmap_bit_position(_bit(F.col(fp)))
+    byte = F.conv(F.hex(F.substring(F.col(bits), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    found = frame.join(table, F.bitmap_bucket_number(_bit(F.col(fp))) == table[bucket], how)
+    likely = F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))
+    return found.withColumn(name, likely).drop(bucket, bits)
+
+
+def _classes(documents: DataFrame, bits: int, section: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Keys of all rows, (fp, sha, keep_id, group_size) of every text that occurs more than once, and the bit table."""
     body = normalised(F.col("text"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
     texts = texts.withColumn("fp", _fingerprint(F.col("body"), bits))
@@ -227,20 +247,26 @@ def _classes(documents: DataFrame, bits: int, section: int) -> tuple[DataFrame,
     )
     cut = min(bits - 1, section_bits(keys.count(), section))
     sections = keep(merged(filters(keys, cut, bits), cut, bits), "exact")
-    repeated = counts(sections, cut, 2, bits).select("fp")
+    bit = _bit(F.col("fp"))
+    repeated = counts(sections, cut, 2, bits)
+    table = repeated.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    table = keep(table, "exact")
     classes = (
-        texts.join(repeated, "fp", "left_semi")
+        _routed(texts, table, "fp", "likely")
+        .where("likely")
         .groupBy("fp", "body")
         .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
         .select("fp", F.sha2("body", 256).alias("sha"), "keep_id", "group_size")
     )
-    return keys, keep(classes, "exact")
+    return keys, keep(classes, "exact"), table
 
 
 def report(documents: DataFrame, bits: int = BITS, section: int = SECTION) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of ``documents`` (doc_id, text)."""
-    keys, classes = _classes(documents, bits, section)
+    keys, classes, _ = _classes(documents, bits, section)
     # Several rows may have the smallest id; the first of them stays.
     first = (
         keys.join(classes, ["fp", "sha"])
@@ -260,15 +286,18 @@ def report(documents: DataFrame, bits: int = BITS, section: int = SECTION) -> Da
 
 def deduplicate(documents: DataFrame, bits: int = BITS, section: int = SECTION) -> DataFrame:
     """The documents that stay, with all their columns."""
-    _, classes = _classes(documents, bits, section)
-    fp, sha, ident = (own_column(documents, c) for c in ("_fp", "_sha", "_ident"))
+    _, classes, table = _classes(documents, bits, section)
+    fp, sha, ident, likely = (own_column(documents, c) for c in ("_fp", "_sha", "_ident", "_likely"))
     body = normalised(F.col("text"))
     marked = documents.select(
         "*", _fingerprint(body, bits).alias(fp), F.sha2(body, 256).alias(sha), F.col("doc_id").cast("long").alias(ident)
     )
+    marked = _routed(marked, table, fp, likely, "left")
     classes = classes.select(F.col("fp").alias(fp), F.col("sha").alias(sha), F.col("keep_id").alias(ident))
-    single = marked.join(classes.select(fp, sha), [fp, sha], "left_anti")
-    same = [marked[c].eqNullSafe(classes[c]) for c in (fp, sha, ident)]
-    stays = marked.join(classes, same, "left_semi").dropDuplicates([fp, sha, ident])
+    routed = marked.where(F.col(likely))
+    single = routed.join(classes.select(fp, sha), [fp, sha], "left_anti")
+    same = [routed[c].eqNullSafe(classes[c]) for c in (fp, sha, ident)]
+    stays = routed.join(classes, same, "left_semi").dropDuplicates([fp, sha, ident])
     columns = [quoted(c) for c in documents.columns]
-    return single.select(*columns).unionByName(stays.select(*columns))
+    every = (f.select(*columns) for f in (marked.where(~F.col(likely)), single, stays))
+    return reduce(DataFrame.unionByName, every)
