@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Sequence
 from dataclasses import dataclass, field, replace
+from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -93,6 +94,8 @@ class Governance:
     tag_masks: tuple[TagMask, ...] = ()
     column_tags: tuple[ColumnTag, ...] = ()
     append_only: frozenset[str] = frozenset()
+    # How an append-only table that is stored in batches is read as of a moment.
+    history: dict[str, Callable[[datetime], DataFrame]] = field(default_factory=dict)
 
     def may_read(self, table: str, principal: Principal) -> bool:
         schema = table.split(".")[0]
@@ -173,6 +176,8 @@ class Governance:
         reason = self.protection(table) or (None if table in self.append_only else "not append-only")
         if reason:
             raise AsOfRefused(reason)
+        if table in self.history:
+            return self.history[table](moment)
         return self.tables[table]().filter(F.col(at) <= F.lit(moment))
 
     def effect(self, table: str, principal: Principal) -> Hashable:

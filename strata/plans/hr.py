@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 from strata.functions.masks import Mask, keep_domain, redacted, to_null
 from strata.functions.text import base_name, decoded
 from strata.operators import contracts, quality
-from strata.operators.current import RECENCY, current_rows, merge_current
-from strata.operators.headcount import headcount_by_department
-from strata.operators.ingest import REPLACE, bronze, ingest, ledger, log_build, progress
+from strata.operators.current import RECENCY, current_rows
+from strata.operators.headcount import build_headcount
+from strata.operators.ingest import REPLACE, as_of_batches, bronze, ingest, ledger, log_build, progress
 from strata.operators.metrics import Lookup, MetricView
 from strata.operators.policy import (
     ANALYSTS,
@@ -33,13 +33,12 @@ from strata.operators.policy import (
     TagMask,
 )
 from strata.operators.register import Metadata, stewardship_register
+from strata.operators.upsert import Keyed, Snapshot, bucket_count
 from strata.sources.feeds import Feed
 from strata.sources.landing import (
-    empty_files,
     file_md5,
     header_lines,
     landing_files,
-    present_files,
     spread,
 )
 from strata.sources.target import Target
@@ -128,10 +127,19 @@ GOLD_COMMENTS = {
 }
 
 
-def silver(rows: DataFrame, feed: Feed) -> DataFrame:
-    """The current row per key, with the provenance that makes the choice auditable."""
+def silver_columns(rows: DataFrame, feed: Feed) -> DataFrame:
+    """What silver keeps of bronze: the feed's columns, and the provenance that makes the choice auditable."""
     keep = [c for c in feed.column_names if c not in NOT_IN_SILVER]
-    return current_rows(rows.select(*keep, *SILVER_PROVENANCE), feed.key, RECENCY)
+    return rows.select(*keep, *SILVER_PROVENANCE)
+
+
+def silver(rows: DataFrame, feed: Feed) -> DataFrame:
+    """The current row per key."""
+    return current_rows(silver_columns(rows, feed), feed.key, RECENCY)
+
+
+def silver_table(target: Target, table: str, feed: Feed) -> Keyed:
+    return Keyed(target, "silver", table, (feed.key,), RECENCY)
 
 
 def build(
@@ -145,8 +153,8 @@ def build(
 ) -> None:
     """Landing to gold. Gold reads silver as ``pipeline``, who has to be exempt from the masks.
 
-    Silver is merged with the batches that are new to it, which gives the same rows as
-    reducing all of bronze again; a first build and a full refresh do the latter.
+    Silver is merged with the batches that are new to it, bucket by bucket, and gold with the buckets that
+    changed, which gives the same rows as building all again; a first build and a full refresh do the latter.
     """
     target.setup()
 
@@ -155,15 +163,18 @@ def build(
 
     def reduce_to_current(table: str, feed: Feed) -> None:
         done = progress(target, feed, table)
-        whole = silver(bronze(target, feed), feed)
-        if done.merged is None or target.table("silver", table).columns != whole.columns:
-            rows = whole
+        keyed, whole = silver_table(target, table, feed), silver_columns(bronze(target, feed), feed)
+        shown = keyed.snapshot()
+        notes = {} if done.last is None else {"merged": str(done.last)}
+        if done.merged is None or shown is None or target.table("silver", table).columns != whole.columns:
+            keyed.start(whole, notes, bucket_count(whole.count()))
         elif done.merged == done.last:
             return
         else:
-            fresh = bronze(target, feed, after_batch=done.merged)
-            rows = merge_current(target.table("silver", table), fresh, feed.key)
-        target.rebuild("silver", table, rows)
+            # Versions that neither silver nor gold shows have had their readers since the build before.
+            noted = target.properties("gold", GOLD_HEADCOUNT).get("people") if table == SILVER_EMPLOYEE else None
+            keyed.forget([shown, *([Snapshot.read(noted)] if noted else [])])
+            keyed.merge(silver_columns(bronze(target, feed, after_batch=done.merged), feed), notes)
         log_build(target, table, REPLACE, done.last)
 
     # Tables of one layer do not depend on each other: their jobs are submitted together.
@@ -172,11 +183,17 @@ def build(
         list(pool.map(reduce_to_current, (SILVER_EMPLOYEE, SILVER_DEPARTMENT), (EMPLOYEE, DEPARTMENT)))
     policies = governance or hr_governance(target)
     caller = pipeline or PIPELINE
-    gold = headcount_by_department(
-        policies.secured(f"silver.{SILVER_EMPLOYEE}", caller),
+    people, name = silver_table(target, SILVER_EMPLOYEE, EMPLOYEE), f"silver.{SILVER_EMPLOYEE}"
+    allowed, only, exempt = policies.effect(name, caller)
+    build_headcount(
+        target,
+        GOLD_HEADCOUNT,
+        people,
         policies.secured(f"silver.{SILVER_DEPARTMENT}", caller),
+        secured=lambda rows: policies.with_tables(**{name: lambda: rows}).secured(name, caller),
+        seen_as=f"{only} {sorted(exempt)}",
+        comments=GOLD_COMMENTS,
     )
-    target.rebuild("gold", GOLD_HEADCOUNT, gold, GOLD_COMMENTS)
     target.describe("gold", GOLD_HEADCOUNT, "People and cost per department, currently employed staff only.")
     log_build(target, GOLD_HEADCOUNT, REPLACE)
 
@@ -298,6 +315,7 @@ def hr_governance(target: Target, principals: tuple[Principal, ...] = ROSTER) ->
         },
         row_filters={f"gold.{GOLD_HEADCOUNT}": FILTER_DEPT},
         append_only=frozenset(f"{layer}.{table}" for layer, table in names if layer == "bronze"),
+        history={f"bronze.{f.table}": partial(as_of_batches, target, f) for f in FEEDS},
         tag_masks=(BY_TAG,),
         column_tags=tuple(
             ColumnTag(schema, table, column, tag, value)
@@ -485,9 +503,7 @@ def delivered(target: Target, feed: Feed, landing: str, since: datetime | None)
     """A feed's files: all below its folder, as ingest reads it, or those the ledger listed from ``since`` on."""
     if since is None:
         folder = f"{landing.rstrip('/')}/{feed.name}"
-        return present_files(
-            landing_files(target.spark, folder, feed.glob), empty_files(target.spark, folder, feed.glob)
-        )
+        return landing_files(target.spark, folder, feed.glob)
     listed = ledger(target, feed).filter(F.col("listed_at") >= F.lit(since))
     named = listed.select("_file_path", decoded(base_name(F.col("_file_path"))).alias("file_name"))
     return spread(named, "_file_path")
@@ -505,7 +521,7 @@ def checks(target: Target, landing: str, since: datetime | None = None) -> DataF
     sidecars = list(built.sidecars.values())
     all_sidecars = _union(sidecars)
     employee = built.data[EMPLOYEE.table]
-    files = present_files(landing_files(spark, landing, "*.csv"), empty_files(spark, landing, "*.csv"))
+    files = landing_files(spark, landing, "*.csv")
     opened = {f.name: delivered(target, f, landing, since) for f in FEEDS}
     actual = _union([file_md5(f) for f in opened.values()])
     headers = _union([contracts.headers(header_lines(opened[f.name]), f) for f in FEEDS])

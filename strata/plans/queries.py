@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from strata.functions.text import path_date, stable_id
 from strata.operators import contracts, layout, policy, quality, register
 from strata.operators.current import current_rows
-from strata.operators.ingest import bronze, build_log, ingest, unloaded
+from strata.operators.ingest import as_of_batches, bronze, build_log, ingest, unloaded
 from strata.operators.metrics import HEADCOUNTS, layer_equals_table, measures_distinct
 from strata.plans import star
 from strata.plans.star import ANALYST, BIZ, ORDERS, ROSTER, STEWARD, WORKFORCE, table
 from strata.session import scratch_dir, ship
-from strata.sources.landing import deliver, empty_files, file_md5, landing_files, present_files, settled
+from strata.sources.landing import deliver, file_md5, landing_files, settled
 from strata.sources.target import Target
 from strata.streaming.arrivals import watch
 
@@ -116,6 +116,7 @@ def asof_batches(spark, d):
         access_map=lambda: None,
         grants=(policy.Grant(STEWARD.name, "SELECT", "bronze"),),
         append_only=frozenset({name}),
+        history={name: lambda at: as_of_batches(target, ORDERS, at)},
     )
     then = rules.as_of(name, STEWARD, moment).select("o_orderkey", F.lit(1).alias("then"))
     now = rules.read(name, STEWARD).select("o_orderkey", "_file_date")
@@ -144,7 +145,7 @@ def delivery_contract(spark, d):
     for feed in (ORDERS, sidecar):
         ingest(target, feed, landing)
     rows, declared = bronze(target, ORDERS), bronze(target, sidecar)
-    files = present_files(landing_files(spark, landing, ORDERS.glob), empty_files(spark, landing, ORDERS.glob))
+    files = landing_files(spark, landing, ORDERS.glob)
     checks = quality.results(
         [
             quality.tally("presence", contracts.presence(files, [declared]), files),

@@ -7,14 +7,17 @@ import fnmatch
 import hashlib
 import re
 import uuid
+from collections import deque
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.text import decoded, path_date
+from strata.session import scratch_dir
 from strata.sources.feeds import RESCUED, Feed
 
 _CHUNK = 4 * 1024 * 1024
@@ -58,23 +61,82 @@ def read_landing(spark: SparkSession, feed: Feed, paths: str | list[str]) -> Dat
     return rows.select("*", *provenance(feed.date_pattern))
 
 
-def landing_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """One row per delivered object; no file is opened."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load(root)
+_LISTED = "path string, _file_path string, file_name string, _file_last_modified timestamp, length bigint, directory boolean"
+# Entries a task lists before it hands the directories it has left back, to be spread over all tasks.
+LISTED_PER_TASK = 10_000
+# Characters that file metadata leaves as they are.
+_PLAIN = "/+=,;@&$!()"
+
+
+def _list(batches: Iterator[pa.RecordBatch], glob: str, per_task: int) -> Iterator[pa.RecordBatch]:
+    """Work off directories: matching files come out, and the directories there was no room for."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    names = [n.split(" ")[0] for n in _LISTED.split(", ")]
+    seen = 0
+    for batch in batches:
+        waiting = deque(zip(batch["path"].to_pylist(), batch["_file_path"].to_pylist()))
+        while waiting:
+            plain, uri = waiting.popleft()
+            if seen > per_task:
+                rows = [(plain, uri, "", None, 0, True)]
+            else:
+                filesystem, path = _open(uri)
+                rows = []
+                for info in filesystem.get_file_info(fs.FileSelector(path)):
+                    seen += 1
+                    name = info.base_name
+                    if name[0] in "._":
+                        continue
+                    place = (f"{plain.rstrip('/')}/{name}", f"{uri.rstrip('/')}/{quote(name, safe=_PLAIN)}")
+                    if info.type == fs.FileType.Directory:
+                        waiting.append(place)
+                    elif info.type == fs.FileType.File and fnmatch.fnmatchcase(name, glob):
+                        # File metadata knows milliseconds.
+                        rows.append((*place, name, info.mtime_ns // 1_000_000 * 1_000, info.size, False))
+            if rows:
+                types = [pa.string(), pa.string(), pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+
+def landing_files(spark: SparkSession, root: str, glob: str = "*", per_task: int = LISTED_PER_TASK) -> DataFrame:
+    """One row per delivered object below ``root``, at any depth, the empty ones included; no file is opened.
+
+    Directories are a frontier that tasks work off until nothing is left of it. The driver knows the root and how
+    many directories a round left over; what was found is in the shared scratch folder.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    # File metadata names local files with one slash.
+    short = lambda text: re.sub(r"^file:/+", "file:/", text)
+    start = (short(re.sub(r"^file:/+", "file:/", unquote(uri.toString()))), short(uri.toString()))
+    frontier = spark.createDataFrame([start], "path string, _file_path string")
+    rounds = []
+    while True:
+        listed = spread(frontier, "_file_path") if rounds else frontier
+        place = scratch_dir(spark, "listing")
+        listed.mapInArrow(partial(_list, glob=glob, per_task=per_task), _LISTED).write.parquet(place)
+        found = spark.read.schema(_LISTED).parquet(place)
+        rounds.append(found.where("NOT directory").drop("directory"))
+        frontier = found.where("directory").select("path", "_file_path")
+        if frontier.isEmpty():
+            return reduce(DataFrame.unionByName, rounds)
+
+
+def same_version(a: DataFrame, b: DataFrame) -> Column:
+    """Whether two listings mean one version of a file: its path and its modification time.
+
+    Some clients report whole seconds; such a time stands for any within the second.
+    """
+    one, other = a["_file_last_modified"], b["_file_last_modified"]
+    second = lambda t: F.date_trunc("second", t)
+    return (
+        (a["_file_path"] == b["_file_path"])
+        & (second(one) == second(other))
+        & ((one == other) | (one == second(one)) | (other == second(other)))
     )
-    meta = F.col("_metadata")
-    columns = [
-        F.col("path"),
-        meta["file_path"].alias("_file_path"),
-        decoded(meta["file_name"]).alias("file_name"),
-        F.col("modificationTime").alias("_file_last_modified"),
-        F.col("length"),
-    ]
-    return files.select(*columns)
 
 
 def settled(files: DataFrame, as_of: Column, quiet_seconds: int) -> DataFrame:
@@ -92,6 +154,15 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def look_at(uri: str) -> tuple[float, int] | None:
+    """Modification time (seconds, to the millisecond) and size of a file as it is now; None if it is gone."""
+    from pyarrow import fs
+
+    filesystem, path = _open(uri)
+    info = filesystem.get_file_info(path)
+    return (info.mtime_ns // 1_000_000 / 1_000, info.size) if info.type == fs.FileType.File else None
+
+
 def _stream_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = []
@@ -134,56 +205,6 @@ def header_lines(files: DataFrame) -> DataFrame:
     return named.mapInArrow(_first_line, "_file_path string, file_name string, header string")
 
 
-# Levels of directories between the landing root and the files: feed, delivery and date.
-LEVELS = 3
-
-
-def _list(batches: Iterator[pa.RecordBatch], glob: str, recursive: bool) -> Iterator[pa.RecordBatch]:
-    """Replace every directory by its subdirectories and its matching zero-byte objects."""
-    from urllib.parse import quote
-
-    from pyarrow import fs
-
-    for batch in batches:
-        paths, names, empty = [], [], []
-        for uri, name, done in zip(*(c.to_pylist() for c in batch.columns)):
-            if done:
-                listed = [(uri, name, True)]
-            else:
-                filesystem, path = _open(uri)
-                listed = []
-                for info in filesystem.get_file_info(fs.FileSelector(path, recursive=recursive)):
-                    below = info.path[len(path) :].strip("/")
-                    hidden = any(part[0] in "._" for part in below.split("/"))
-                    is_file = info.type == fs.FileType.File
-                    wanted = not is_file or (info.size == 0 and fnmatch.fnmatchcase(info.base_name, glob))
-                    if wanted and not hidden:
-                        full = f"{uri.rstrip('/')}/{quote(below, safe='/+=,;@&$!()')}"
-                        listed.append((full, info.base_name, is_file))
-            for found, column in zip(zip(*listed), (paths, names, empty)):
-                column.extend(found)
-        arrays = [pa.array(paths, pa.string()), pa.array(names, pa.string()), pa.array(empty, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(arrays, ["_file_path", "file_name", "empty"])
-
-
-def empty_files(spark: SparkSession, root: str, glob: str = "*", levels: int = LEVELS) -> DataFrame:
-    """Zero-byte objects, which a binary scan skips.
-
-    Tasks list the directories level by level, and whole trees below the last level; the
-    driver knows the root only.
-    """
-    schema = "_file_path string, file_name string, empty boolean"
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
-    # File metadata names local files with one slash.
-    found = spark.createDataFrame([(re.sub(r"^file:/+", "file:/", uri), "", False)], schema)
-    for level in range(levels + 1):
-        if level:
-            found = spread(found, "_file_path")
-        found = found.mapInArrow(partial(_list, glob=glob, recursive=level == levels), schema)
-    return found.filter("empty").select("_file_path", "file_name")
-
-
 def spread(names: DataFrame, column: str) -> DataFrame:
     """One row stands for much work: keep such rows apart.
 
@@ -194,12 +215,6 @@ def spread(names: DataFrame, column: str) -> DataFrame:
     return names.repartition(max(shuffle, spark.sparkContext.defaultParallelism), column)
 
 
-def present_files(objects: DataFrame, empty: DataFrame) -> DataFrame:
-    """Every delivered object's path and name, the empty ones included."""
-    columns = ["_file_path", "file_name"]
-    return objects.select(*columns).unionByName(empty.select(*columns))
-
-
 def deliver(
     rows: DataFrame,
     root: str,
@@ -230,8 +245,7 @@ def deliver(
         .groupBy("_file_path")
         .agg(F.count(F.lit(1)).alias("record_count"), F.first("_file_date").alias("business_date"))
     )
-    files = present_files(landing_files(spark, target, feed.glob), empty_files(spark, target, feed.glob, levels=1))
-    digests = file_md5(files)
+    digests = file_md5(landing_files(spark, target, feed.glob))
     (
         digests.join(counts, "_file_path", "left")
         .select(

@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -139,15 +140,23 @@ def test_failed_rebuild_keeps_the_old_table(target, spark):
     assert target.table("silver", "kept").count() == 3
 
 
-def test_a_dead_swap_is_finished_or_undone(target, spark):
+def test_a_dead_rebuild_is_not_seen_and_swept(target, spark):
     target.rebuild("silver", "kept", spark.range(3))
-    old, staging = target.name("silver", "kept__old"), target.name("silver", "kept__next")
-    spark.sql(f"ALTER TABLE {target.name('silver', 'kept')} RENAME TO {old}")  # died between two renames
-    spark.range(9).write.saveAsTable(staging)
-    target.recover("silver", "kept")
+    # Died between writing the generation and publishing it; another left a folder and no table.
+    spark.range(9).write.saveAsTable(target.name("silver", "kept__g1"))
+    spark.range(9).write.parquet(f"{target.root}/silver/kept__g2")
     assert target.table("silver", "kept").count() == 3
-    assert not target.exists("silver", "kept__old") and not target.exists("silver", "kept__next")
     assert target.rebuild("silver", "kept", spark.range(4)).count() == 4
+    assert target.generations("silver", "kept") == [0, 3]  # the one before may still have readers
+    assert target.rebuild("silver", "kept", spark.range(5)).count() == 5
+    assert target.generations("silver", "kept") == [3, 4]
+
+
+def test_long_notes_and_comments_survive(target, spark):
+    note = json.dumps([f"it's \\ {i}" for i in range(2_000)])
+    target.rebuild("gold", "noted", spark.range(1), {"id": "the key's \\ comment"}, {"long": note, "none": ""})
+    assert target.properties("gold", "noted") == {"generation": "0", "long": note, "none": ""}
+    assert [c.description for c in spark.catalog.listColumns(target.name("gold", "noted"))] == ["the key's \\ comment"]
 
 
 def test_failed_refresh_keeps_table_and_ledger(target, landing):
@@ -157,7 +166,7 @@ def test_failed_refresh_keeps_table_and_ledger(target, landing):
     with pytest.raises(Exception):
         ingest(target, hr.DEPARTMENT, str(landing), full_refresh=True)
     assert target.table("bronze", hr.DEPARTMENT.table).count() == 1
-    assert target.table("governance", f"file_ledger_{hr.DEPARTMENT.table}").count() == 1
+    assert ledger(target, hr.DEPARTMENT).count() == 1
 
 
 def test_checks_see_files_at_any_depth_and_count_what_they_opened(target, landing):

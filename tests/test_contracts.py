@@ -9,7 +9,7 @@ from strata.operators import contracts
 from strata.operators.ingest import bronze, ingest
 from strata.plans import hr
 from strata.plans.hr import CHANGES, DEPARTMENT, EMPLOYEE
-from strata.sources.landing import empty_files, file_md5, header_lines, landing_files, present_files
+from strata.sources.landing import file_md5, header_lines, landing_files
 
 DAY, NEXT = "2025-01-31", "2025-02-28"
 
@@ -21,12 +21,8 @@ def load(target, landing, *feeds):
     return [(bronze(target, f), bronze(target, f.sidecar())) for f in feeds]
 
 
-def scans(spark, landing):
-    return landing_files(spark, str(landing), "*.csv"), empty_files(spark, str(landing), "*.csv")
-
-
 def present(spark, landing):
-    return present_files(*scans(spark, landing))
+    return landing_files(spark, str(landing), "*.csv")
 
 
 def test_presence_in_both_directions(target, landing):

@@ -9,8 +9,8 @@ from fixtures import FEEDS, change, department, drop, employee
 from strata.operators import contracts, ingest as ingest_module
 from strata.operators.ingest import Loaded, bronze, build_log, ingest, ledger, unloaded
 from strata.plans.hr import CHANGES, DEPARTMENT, EMPLOYEE
-from strata.sources.landing import empty_files, landing_files, present_files, settled
-from strata.sources.target import review_target
+from strata.sources.landing import landing_files, settled
+from strata.sources.target import Target, review_target
 
 DAY = "2025-01-31"
 PROVENANCE_TYPES = {
@@ -24,10 +24,6 @@ PROVENANCE_TYPES = {
 }
 
 
-def scans(spark, landing):
-    return landing_files(spark, str(landing), "*.csv"), empty_files(spark, str(landing), "*.csv")
-
-
 def test_typed_projection_of_every_feed(target, landing):
     drop(landing, "employee", DAY, "e", [employee(7, DAY, manager_id="", salary_annual="123.40")])
     drop(landing, "department", DAY, "d", [department(1, DAY, parent_dept_id=9, is_active="false")])
@@ -83,7 +79,7 @@ def test_names_with_special_characters(target, landing):
     assert ingest(target, DEPARTMENT, str(landing)).files == 1
     assert bronze(target, DEPARTMENT).first()._file_name == "a b+c [1] 50%.csv"
     ingest(target, DEPARTMENT.sidecar(), str(landing))
-    files = present_files(*scans(target.spark, landing))
+    files = landing_files(target.spark, str(landing), "*.csv")
     assert contracts.presence(files, [bronze(target, DEPARTMENT.sidecar())]).count() == 0
 
 
@@ -117,7 +113,7 @@ def test_many_batches_and_a_run_that_died(target, landing, monkeypatch):
         raise RuntimeError("executor gone")
 
     # Dies after the first batch's rows are written and before they are recorded.
-    monkeypatch.setattr(ingest_module, "log_build", die)
+    monkeypatch.setattr(ingest_module, "log_batch", die)
     with pytest.raises(RuntimeError):
         ingest(target, DEPARTMENT, str(landing), files_per_batch=2)
     monkeypatch.undo()
@@ -181,23 +177,125 @@ def test_drift_is_captured(target, landing):
     assert {r._file_name for r in found.collect()} == {"extra.csv", "short.csv"}
 
 
-def test_empty_objects_are_present(spark, landing):
+@pytest.mark.parametrize("per_task", [10_000, 1])
+def test_listing_sees_every_object_at_any_depth_once(spark, landing, per_task):
     drop(landing, "department", DAY, "zero", [], raw="", sidecar=False)
-    drop(landing, "department", DAY, "full", [department(1, DAY)], sidecar=False)
-    assert [r.file_name for r in empty_files(spark, str(landing), "*.csv").collect()] == ["zero.csv"]
-    assert {r.file_name for r in present_files(*scans(spark, landing)).collect()} == {"zero.csv", "full.csv"}
-    # At any depth, from any root, each once; hidden directories do not count.
-    for place in ("", "department", "department/2025-02-01/a b/deep", "department/2025-02-01/_temporary"):
+    full = drop(landing, "department", DAY, "full", [department(1, DAY)], sidecar=False)
+    # From any root, with as little as one entry per task and round; hidden objects do not count.
+    for place in ("", "department", "department/2025-02-01/a b/1/2/3/4/5/deep", "department/2025-02-01/_temporary"):
         folder = landing / place
         folder.mkdir(parents=True, exist_ok=True)
         (folder / "e+1.csv").touch()
-    found = sorted(r._file_path for r in empty_files(spark, str(landing), "*.csv").collect())
+    (landing / "department" / ".hidden.csv").touch()
+    (landing / "department" / "other.txt").touch()
+    rows = landing_files(spark, str(landing), "*.csv", per_task).collect()
     base = f"file:{landing}"
-    assert found == sorted([
-        f"{base}/department/{DAY}/zero.csv", f"{base}/e+1.csv", f"{base}/department/e+1.csv",
-        f"{base}/department/2025-02-01/a%20b/deep/e+1.csv",
+    assert sorted(r._file_path for r in rows) == sorted([
+        f"{base}/department/{DAY}/zero.csv", f"{base}/department/{DAY}/full.csv", f"{base}/e+1.csv",
+        f"{base}/department/e+1.csv", f"{base}/department/2025-02-01/a%20b/1/2/3/4/5/deep/e+1.csv",
     ])
-    assert empty_files(spark, str(landing / "department"), "*.csv", levels=1).count() == 3
+    assert {r.file_name for r in rows if r.length} == {"full.csv"}
+    # Paths, times and sizes are those Spark reports for what it reads.
+    meta = spark.read.text(str(full)).select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size")
+    listed = next(r for r in rows if r.length)
+    assert tuple(meta.first()) == (listed._file_path, listed._file_last_modified, listed.length)
+    assert landing_files(spark, str(landing / "department"), "*.none", per_task).count() == 0
+
+
+def test_times_in_whole_seconds_mean_the_same_version(spark):
+    schema = "_file_path string, _file_last_modified timestamp"
+    seen = spark.createDataFrame([("a", datetime(2025, 1, 1, 1, 1, 1)), ("b", datetime(2025, 1, 1, 1, 1, 1, 5_000))], schema)
+    files = spark.createDataFrame([(p, datetime(2025, 1, 1, 1, 1, s, ms)) for p, s, ms in (
+        ("a", 1, 7_000), ("a", 2, 0), ("b", 1, 0), ("b", 1, 7_000))], schema)
+    left = sorted((r._file_path, r._file_last_modified.second, r._file_last_modified.microsecond) for r in unloaded(files, seen).collect())
+    assert left == [("a", 2, 0), ("b", 1, 7_000)]
+
+
+STEPS = ("create", "put_batch", "append", "publish", "sweep")
+
+
+def test_a_refresh_that_dies_after_any_step_loses_nothing(spark, landing, tmp_path, monkeypatch):
+    drop(landing, "department", DAY, "a", [department(1, DAY)])
+    drop(landing, "department", DAY, "b", [department(2, DAY)])
+
+    class Died(Exception):
+        pass
+
+    for step in range(40):
+        target = Target(spark, str(tmp_path / f"built{step}"), f"die{step}_").setup()
+        ingest(target, DEPARTMENT, str(landing))
+        left = [step]
+
+        def dying(method):
+            def run(*args, **kwargs):
+                out = method(*args, **kwargs)
+                left[0] -= 1
+                if left[0] < 0:
+                    raise Died
+                return out
+
+            return run
+
+        for name in STEPS:
+            monkeypatch.setattr(Target, name, dying(getattr(Target, name)))
+        try:
+            ingest(target, DEPARTMENT, str(landing), full_refresh=True)
+            finished = True
+        except Died:
+            finished = False
+        monkeypatch.undo()
+        late = drop(landing, "department", DAY, f"late{step}", [department(100 + step, DAY)])
+        ingest(target, DEPARTMENT, str(landing))
+        want = sorted(path.stem for path in (landing / "department" / DAY).glob("*.csv"))
+        got = sorted(r._file_name.removesuffix(".csv") for r in bronze(target, DEPARTMENT).collect())
+        assert got == want, (step, late)
+        assert ingest(target, DEPARTMENT, str(landing)) == Loaded(0, 0)
+        for layer in ("bronze", "governance"):
+            names = [t.name for t in spark.catalog.listTables(f"{target.prefix}{layer}")]
+            assert len([n for n in names if "__g" in n]) == (1 if layer == "bronze" else 2)
+        if finished:
+            break
+    assert finished and step > 5
+
+
+def test_ledger_reads_the_dates_it_needs_and_stays_small(target, landing, monkeypatch):
+    monkeypatch.setattr(ingest_module, "PARTS_PER_DATE", 3)
+    monkeypatch.setattr(ingest_module.compact, "__defaults__", (3,))
+    days = [f"2025-01-{d:02d}" for d in range(1, 4)]
+    for run in range(7):
+        for day in days[: 1 + run % 3]:
+            drop(landing, "department", day, f"d{run}", [department(run, day)])
+        assert ingest(target, DEPARTMENT, str(landing)).batches == 1
+    held = ledger(target, DEPARTMENT)
+    assert held.count() == held.select("_file_path").distinct().count() == bronze(target, DEPARTMENT).count()
+    assert held.groupBy("file_date").agg({"part": "approx_count_distinct"}).agg({"approx_count_distinct(part)": "max"}).first()[0] <= 4
+    assert ingest(target, DEPARTMENT, str(landing)) == Loaded(0, 0)
+    store = ingest_module.current(target, DEPARTMENT)
+    files = target.spark.createDataFrame([(f"file:/x/{days[0]}/new.csv", date(2025, 1, 1))], "_file_path string, file_date date")
+    from pyspark.sql import functions as F
+
+    seen = target.table("governance", store.ledger).where(ingest_module._of_dates(files, F.col("file_date")))
+    mode = target.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = seen._jdf.queryExecution().explainString(mode)
+    assert "file_date" in plan.split("PartitionFilters: [")[1].split("\n")[0]
+    assert {r.file_date for r in seen.collect()} == {date(2025, 1, 1)}
+
+
+def test_bronze_as_of_reads_the_batches_of_then(target, landing):
+    moments = []
+    for run in range(3):
+        drop(landing, "department", DAY, f"d{run}", [department(run, DAY)])
+        ingest(target, DEPARTMENT, str(landing))
+        moments.append(build_log(target, DEPARTMENT.table).agg({"logged_at": "max"}).first()[0])
+    for run, moment in enumerate(moments):
+        then = ingest_module.as_of_batches(target, DEPARTMENT, moment)
+        assert sorted(r.dept_id for r in then.collect()) == list(range(run + 1))
+    assert "_batch_id" in then._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert ingest_module.as_of_batches(target, DEPARTMENT, datetime(2000, 1, 1)).count() == 0
+    ingest(target, DEPARTMENT, str(landing), full_refresh=True)
+    with pytest.raises(ingest_module.RewrittenSince):
+        ingest_module.as_of_batches(target, DEPARTMENT, moments[0])
+    assert ingest_module.as_of_batches(target, DEPARTMENT, datetime(2100, 1, 1)).count() == 3
 
 
 def test_review_copy_is_isolated(target, landing, tmp_path):

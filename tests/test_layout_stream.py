@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -69,3 +70,36 @@ def test_arrival_stream(target, landing, tmp_path):
     assert bronze(target, DEPARTMENT).count() == 2
     assert catch_up(target, DEPARTMENT, str(landing), state).files == 1
     assert sorted(r.dept_id for r in bronze(target, DEPARTMENT).collect()) == [1, 1, 2]
+
+
+def until(condition, seconds=90):
+    for _ in range(seconds * 4):
+        if condition():
+            return True
+        time.sleep(0.25)
+    return False
+
+
+def test_a_file_that_grows_is_loaded_by_the_stream_alone_and_once(target, landing, tmp_path):
+    drop(landing, "department", "2025-01-31", "old", [department(1, "2025-01-31")], mtime=1_700_000_000)
+    grows = drop(landing, "department", "2025-01-31", "grows", [department(2, "2025-01-31")])
+    gone = drop(landing, "department", "2025-01-31", "gone", [department(9, "2025-01-31")])
+    lines = grows.read_text()
+    loaded = lambda: sorted(r.dept_id for r in bronze(target, DEPARTMENT).collect()) if target.exists("bronze", DEPARTMENT.table) else []
+    stream = watch(target, DEPARTMENT, str(landing), str(tmp_path / "state"), quiet_seconds=6, every_seconds=1)
+    try:
+        started = time.time()
+        gone.unlink()
+        while time.time() - started < 10:  # longer than the quiet period
+            grows.write_text(lines := lines + lines.splitlines()[1].replace("2,", f"{10 + lines.count(chr(10))},", 1) + "\n")
+            time.sleep(1)
+            assert set(loaded()) <= {1}
+        want = [1] + sorted(int(line.split(",")[0]) for line in lines.splitlines()[1:])
+        assert until(lambda: len(loaded()) > 1) and loaded() == want
+        drop(landing, "department", "2025-02-28", "late", [department(3, "2025-02-28")])
+        assert until(lambda: loaded() == sorted([*want, 3]))
+    finally:
+        stream.stop()
+    assert stream.exception() is None
+    assert catch_up(target, DEPARTMENT, str(landing), str(tmp_path / "other")).files == 0
+    assert loaded() == sorted([*want, 3])

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality
 from strata.operators.current import RECENCY, current_rows
-from strata.operators.headcount import headcount_by_department
+from strata.operators.headcount import build_headcount, headcount_by_department
+from strata.operators.upsert import Keyed, Snapshot
 
 SCHEMA = (
     "k bigint, v string, snapshot_date date, _file_last_modified timestamp, "
@@ -160,3 +161,89 @@ def test_metric_names_and_descriptions(spark):
     clean = columns.limit(1)
     assert quality.ambiguous_names(clean).first()[0] == "yes"
     assert quality.undocumented_measures(clean).first()[0] == "yes"
+
+
+def keyed_people(target):
+    return Keyed(target, "silver", "people", ("employee_id",), ("day", "seq"))
+
+
+def person(rng, day, seq, key=None):
+    key = rng.randrange(1, 400) if key is None else key
+    pay = None if rng.random() < 0.1 else Decimal(rng.randrange(0, 9_999_999)) / 100
+    return (key, rng.choice([None, 1, 1, 1, 2, 3, 9]), pay, rng.choice([True, False, None]),
+            rng.choice(["full_time", "part_time", None]), rng.random() < 0.7, day, seq)
+
+
+MOVES = f"{PEOPLE}, day int, seq int"
+
+
+def same(a, b):
+    rows = lambda f: sorted((tuple(r) for r in f.collect()), key=repr)
+    return rows(a) == rows(b.select(*a.columns))
+
+
+def test_merges_rewrite_the_buckets_they_touch(target, spark):
+    rng = random.Random(5)
+    people, every = keyed_people(target), [person(rng, 0, i) for i in range(900)]
+    frame = lambda rows: spark.createDataFrame(rows, MOVES)
+    people.start(frame(every), {"merged": "0"}, 8)
+    first = people.snapshot()
+    assert first.versions == dict.fromkeys(range(8), 0)
+    assert same(target.table("silver", "people"), current_rows(frame(every), "employee_id", ("day", "seq")))
+    # One correction, one bucket; a row older than the one that is there changes nothing.
+    for fresh in ([person(rng, 1, 900, key=7)], [person(rng, -1, 901, key=7)], [person(rng, 2, i) for i in range(300)]):
+        before = people.snapshot()
+        touched = people.merge(frame(fresh), {"merged": str(len(every))})
+        every += fresh
+        assert same(target.table("silver", "people"), current_rows(frame(every), "employee_id", ("day", "seq")))
+        assert target.properties("silver", "people")["merged"] == str(len(every) - len(fresh))
+        changed = {b for b, v in people.snapshot().versions.items() if before.versions[b] != v}
+        assert changed == set(touched) and (len(fresh) > 1 or len(touched) == 1)
+        # Who reads the snapshot before still can.
+        assert same(people.of(before), current_rows(frame(every[: -len(fresh)]), "employee_id", ("day", "seq")))
+    assert people.merge(frame([]), {}) == []
+    assert people.forget([people.snapshot()]) > 8 and people.forget([people.snapshot()]) == 0
+    assert Snapshot.read(people.snapshot().note()) == people.snapshot()
+    none = Keyed(target, "silver", "nobody", ("employee_id",), ("day", "seq"))
+    none.start(frame([]), {}, 4)
+    assert target.table("silver", "nobody").count() == 0
+    assert none.merge(frame([person(rng, 1, 1)]), {}) != [] and target.table("silver", "nobody").count() == 1
+
+
+def test_a_dead_merge_is_not_seen(target, spark, monkeypatch):
+    rng = random.Random(6)
+    people, every = keyed_people(target), [person(rng, 0, i) for i in range(60)]
+    people.start(spark.createDataFrame(every, MOVES), {}, 4)
+    fresh = [person(rng, 1, i, key=k) for i, k in enumerate((1, 2, 3))]
+    monkeypatch.setattr(Keyed, "_publish", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        people.merge(spark.createDataFrame(fresh, MOVES), {})
+    monkeypatch.undo()
+    want = lambda rows: current_rows(spark.createDataFrame(rows, MOVES), "employee_id", ("day", "seq"))
+    assert same(target.table("silver", "people"), want(every))
+    people.merge(spark.createDataFrame(fresh[:2], MOVES), {})
+    assert same(target.table("silver", "people"), want(every + fresh[:2]))
+
+
+def test_gold_from_changed_buckets_equals_gold_from_all(target, spark, monkeypatch):
+    rng = random.Random(8)
+    depts = spark.createDataFrame([(i, f"D{i}", f"n{i}", "cc", i != 2) for i in (1, 2, 3, 4)], DEPTS)
+    people, every = keyed_people(target), [person(rng, 0, i) for i in range(700)]
+    people.start(spark.createDataFrame(every, MOVES), {}, 16)
+    assert build_headcount(target, "headcount", people, depts) == list(range(16))
+    for step in range(4):
+        if step == 2:  # a department that had staff before it was listed
+            depts = depts.union(spark.createDataFrame([(9, "D9", "n9", "cc", True)], DEPTS))
+        keys = (5,) if step == 0 else () if step == 3 else range(1, 400, 90)
+        fresh = [person(rng, step + 1, i, key=k) for i, k in enumerate(keys)]
+        touched = people.merge(spark.createDataFrame(fresh, MOVES), {})
+        assert build_headcount(target, "headcount", people, depts) == touched and len(touched) < 8
+        gold = target.table("gold", "headcount")
+        assert same(gold, headcount_by_department(target.table("silver", "people"), depts))
+        assert gold.columns == headcount_by_department(target.table("silver", "people"), depts).columns
+        assert gold.dtypes[-2:] == [("total_salary", "decimal(23,2)"), ("avg_salary", "decimal(13,2)")]
+    # Another view of silver, or another generation of it, is read whole.
+    assert len(build_headcount(target, "headcount", people, depts, seen_as="someone else")) == 16
+    people.start(target.table("silver", "people"), {}, 4)
+    assert len(build_headcount(target, "headcount", people, depts, seen_as="someone else")) == 4
+    assert same(target.table("gold", "headcount"), headcount_by_department(target.table("silver", "people"), depts))
