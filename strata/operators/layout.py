@@ -1,11 +1,10 @@
-"""Layout and history: files and bytes per table, operations per table, reads as of a time."""
+"""Layout and history: files, bytes and rows per table, operations per table, reads as of a time."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -23,46 +22,42 @@ MAINTENANCE = (
 APPEND = "WRITE"
 
 
-def files_of(spark: SparkSession, location: str, pattern: str = "*.parquet") -> DataFrame:
-    """A table's data files, from a listing that opens none of them."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(location)
-        .select("path", "length")
-    )
-
-
-def layout_profile(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame:
-    """Files and bytes per table, and the error where a table could not be measured.
+def layout_profile(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> DataFrame:
+    """(table_name, files, bytes, rows, error): what a scan of each table's rows says about its files.
 
-    An unmeasurable table stays in the report: it must not read as an empty one.
+    Tables are frames over files or the folders of Parquet tables. Rows carry the path and the size of their file, so one
+    pass that reads no column counts all three; a file without rows does not show. An unmeasurable table stays in the report: it
+    must not read as an empty one.
     """
-    if not locations:
+    if not tables:
         raise ValueError("no tables to measure: wrong place, or no access to it")
     parts = []
-    for name, location in locations.items():
+    for name, place in tables.items():
         try:
-            measured = files_of(spark, location).agg(
-                F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+            rows = spark.read.parquet(place) if isinstance(place, str) else place
+            per_file = rows.groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+            measured = per_file.agg(
+                F.count(F.lit(1)).alias("files"),
+                F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
             )
             error = F.when(F.col("files") == 0, "no data files")
-        except (AnalysisException, Py4JJavaError) as failure:
+        except AnalysisException as failure:
             measured = spark.range(1).select(
-                F.lit(None).cast("bigint").alias("files"), F.lit(None).cast("bigint").alias("bytes")
+                *[F.lit(None).cast("bigint").alias(c) for c in ("files", "bytes", "rows")]
             )
-            error = F.lit(getattr(failure, "getCondition", lambda: None)() or "unreadable")
-        parts.append(measured.select(F.lit(name).alias("table_name"), "files", "bytes", error.alias("error")))
+            error = F.lit(failure.getCondition() or "unreadable")
+        parts.append(measured.select(F.lit(name).alias("table_name"), "files", "bytes", "rows", error.alias("error")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def totals(profile: DataFrame) -> DataFrame:
-    """Overall files and bytes; tables that could not be measured are counted apart."""
+    """Overall files, bytes and rows; tables that could not be measured are counted apart."""
     good = F.col("error").isNull()
     return profile.agg(
         F.sum(F.when(good, F.col("files"))).alias("files"),
         F.sum(F.when(good, F.col("bytes"))).alias("bytes"),
+        F.sum(F.when(good, F.col("rows"))).alias("rows"),
         F.count_if(~good).alias("unmeasured"),
     )
 

@@ -4,6 +4,9 @@ A view names its source, its lookup joins, its dimensions and its measures as SQ
 expressions over the aliases ``source`` and the join names. Asking for measures builds
 one plan: secure the sources for the caller, filter, join, aggregate. Masks and row
 filters come before the aggregation, so a masked measure is NULL and not a wrong number.
+
+A count, sum or average is kept as states that can be merged (an average as its sum and its count). States are taken
+per join key before a lookup is joined, and merged afterwards; several groupings are answered from one scan.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.policy import Governance, Principal, RowFilter
 
@@ -21,6 +25,30 @@ from strata.operators.policy import Governance, Principal, RowFilter
 HEADCOUNTS = ("headcount_people", "headcount_fte", "headcount_fulltime")
 
 
+# Names the dimensions of a row where several groupings are asked at once.
+GROUPING = "grouping"
+
+
+def _states(name: str, measure: str) -> dict[str, str]:
+    """The expressions whose sums over parts give a measure; none where parts do not give it."""
+    call = re.fullmatch(r"(count|sum|count_if|avg)\((.*)\)", measure)
+    depth = 0
+    for c in call[2] if call else "":
+        depth += (c == "(") - (c == ")")
+        if depth < 0:  # the last bracket closes another call
+            return {}
+    if not call or call[2].lstrip().lower().startswith("distinct"):
+        return {}
+    if call[1] == "avg":
+        return {f"_{name}_sum": f"sum({call[2]})", f"_{name}_n": f"count({call[2]})"}
+    return {name: measure}
+
+
+def _bits(by: Sequence[str], grouping: Sequence[str]) -> int:
+    """How a grouping set is numbered: a bit for each dimension it leaves out, the last one lowest."""
+    return sum(1 << i for i, d in enumerate(reversed(by)) if d not in grouping)
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A many-to-one join that adds attributes. Left, so that no source row is lost."""
@@ -82,7 +110,7 @@ class MetricView:
             raise KeyError(f"{self.name} has no {', '.join(unknown)}")
         groups, aggregates = [self.dimensions[d] for d in by], [self.measures[m] for m in measures]
         if by and self._splits(groups, aggregates, where):
-            return self._joined_late(governance, principal, measures, by)
+            return self._merged(governance, principal, measures, by, [by], where).drop(GROUPING)
         rows = self.rows(governance, principal, [*groups, *aggregates, where or ""])
         if where:
             rows = rows.filter(where)
@@ -90,36 +118,82 @@ class MetricView:
             *[F.expr(e).alias(m) for m, e in zip(measures, aggregates)]
         )
 
+    def questions(
+        self,
+        governance: Governance,
+        principal: Principal,
+        measures: Sequence[str],
+        groupings: Sequence[Sequence[str]],
+        where: str | None = None,
+    ) -> DataFrame:
+        """The measures by each grouping, all from one scan of the source; an empty grouping asks for the whole.
+
+        ``grouping`` names the dimensions of a row, the others are NULL.
+        """
+        by = list(dict.fromkeys(d for g in groupings for d in g))
+        unknown = [m for m in measures if m not in self.measures] + [d for d in by if d not in self.dimensions]
+        if unknown:
+            raise KeyError(f"{self.name} has no {', '.join(unknown)}")
+        whole = [m for m in measures if not _states(m, self.measures[m])]
+        if whole or self._needed([self.filter, *(self.measures[m] for m in measures), where or ""]):
+            raise ValueError(f"{', '.join(whole) or self.name} cannot be merged from parts of the source")
+        return self._merged(governance, principal, measures, by, groupings, where)
+
     def _splits(self, groups: Sequence[str], aggregates: Sequence[str], where: str | None) -> bool:
-        """Whether sums and counts over source columns can be taken before the lookups are joined."""
-        whole = all(re.fullmatch(r"(count|sum|count_if)\(.*\)", a) for a in aggregates)
+        """Whether the measures can be taken from source columns before the lookups are joined."""
+        mergeable = all(_states("m", a) for a in aggregates)
         source_only = not self._needed([self.filter, *aggregates, where or ""])
-        return whole and source_only and not where and bool(self._needed(groups))
+        return mergeable and source_only and bool(self._needed(groups))
 
-    def _joined_late(
-        self, governance: Governance, principal: Principal, measures: Sequence[str], by: Sequence[str]
+    def _merged(
+        self,
+        governance: Governance,
+        principal: Principal,
+        measures: Sequence[str],
+        by: Sequence[str],
+        groupings: Sequence[Sequence[str]],
+        where: str | None,
     ) -> DataFrame:
-        """Partial measures per join key and source dimension, then the lookups, then their sums.
+        """States per join key and source dimension, then the lookups, then the states of each grouping merged.
 
         The join sees one row per key and dimension value instead of one per source row, so that a key
         with most of the rows is no large partition of it.
         """
         groups = {d: self.dimensions[d] for d in by}
         needed = self._needed(list(groups.values()))
-        source = self.rows(governance, principal, [self.measures[m] for m in measures])
+        source = self.rows(governance, principal, [*(self.measures[m] for m in measures), where or ""])
+        if where:
+            source = source.filter(where)
         keys = sorted(set(re.findall(r"\bsource\.(\w+)", " ".join(self.lookups[n].on for n in needed))))
         own = {d: e for d, e in groups.items() if not self._needed([e])}
+        states = {m: _states(m, self.measures[m]) for m in measures}
         partial = source.groupBy(
             *[F.expr(f"source.{k}").alias(k) for k in keys], *[F.expr(e).alias(f"_by_{d}") for d, e in own.items()]
-        ).agg(*[F.expr(self.measures[m]).alias(m) for m in measures])
-        types = {m: partial.schema[m].dataType for m in measures}
+        ).agg(*[F.expr(e).alias(c) for held in states.values() for c, e in held.items()])
+        types = dict(zip(measures, source.agg(*[F.expr(self.measures[m]).alias(m) for m in measures]).schema))
         joined = partial.alias("source")
         for name in needed:
             lookup = self.lookups[name]
             joined = joined.join(governance.secured(lookup.table, principal).alias(name), F.expr(lookup.on), "left")
-        return joined.groupBy(
-            *[(F.col(f"source.`_by_{d}`") if d in own else F.expr(e)).alias(d) for d, e in groups.items()]
-        ).agg(*[F.sum(F.col(f"source.`{m}`")).cast(types[m]).alias(m) for m in measures])
+        flat = joined.select(
+            *[(F.col(f"source.`_by_{d}`") if d in own else F.expr(e)).alias(d) for d, e in groups.items()],
+            *[F.col(f"source.`{c}`").alias(c) for held in states.values() for c in held],
+        )
+        merged = []
+        for m, held in states.items():
+            total = [F.sum(F.col(f"`{c}`")) for c in held]
+            value = total[0] if len(total) == 1 else F.when(total[1] > 0, total[0] / total[1])
+            if len(total) == 1 and types[m].dataType == T.LongType():
+                value = F.coalesce(value, F.lit(0)) if self.measures[m].startswith("count") else value
+            merged.append(value.cast(types[m].dataType).alias(m))
+        named = {_bits(by, g): ", ".join(g) for g in groupings}
+        if len(groupings) == 1 and list(groupings[0]) == list(by):
+            asked = flat.groupBy(*[F.col(f"`{d}`") for d in by]).agg(*merged)
+            return asked.withColumn(GROUPING, F.lit(named[0]))
+        asked = flat.groupingSets([[F.col(f"`{d}`") for d in g] for g in groupings], *[F.col(f"`{d}`") for d in by])
+        label = F.coalesce(*[F.when(F.col("_set") == bits, text) for bits, text in named.items()])
+        asked = asked.agg(*merged, F.grouping_id().alias("_set"))
+        return asked.withColumn(GROUPING, label).select(GROUPING, *[F.col(f"`{c}`") for c in (*by, *measures)])
 
     def headcount(
         self, governance: Governance, principal: Principal, by: Sequence[str] = ()

@@ -228,14 +228,31 @@ def effective_grants(
     A member id stands for a user or for a service identity, two namespaces. Members that
     resolve to neither get nothing. Members are resolved before the roles are expanded.
     """
-    resolved = (
+    return role_grants.join(_resolved(members, users, services), "role").select(
+        "role", "grantee", "privilege", "schema_name"
+    )
+
+
+def _resolved(members: DataFrame, users: DataFrame, services: DataFrame) -> DataFrame:
+    return (
         members.distinct()
         .join(users.select(F.col("id").alias("member"), F.col("name").alias("_user")), "member", "left")
         .join(services.select(F.col("id").alias("member"), F.col("name").alias("_service")), "member", "left")
         .select("role", F.coalesce("_user", "_service").alias("grantee"))
         .filter(F.col("grantee").isNotNull())
     )
-    return role_grants.join(resolved, "role").select("role", "grantee", "privilege", "schema_name")
+
+
+def unreached_roles(
+    role_grants: DataFrame, members: DataFrame, users: DataFrame, services: DataFrame
+) -> DataFrame:
+    """(role, grants, reason) of roles whose grants reach nobody: a finding, not an empty answer."""
+    reached = _resolved(members, users, services).select("role").distinct()
+    named = members.select("role").distinct().withColumn("named", F.lit(True))
+    granted = role_grants.distinct().groupBy("role").agg(F.count(F.lit(1)).alias("grants"))
+    left = granted.join(reached, "role", "left_anti").join(named, "role", "left")
+    reason = F.when(F.col("named"), "no member is a live principal").otherwise("no members")
+    return left.select("role", "grants", reason.alias("reason"))
 
 
 # Fixed value: the built-in group every principal belongs to.
@@ -284,12 +301,8 @@ def same_ids(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
 
 
 def id_list(rows: DataFrame, column: str) -> DataFrame:
-    """The distinct ids as one ordered, comma-joined text: for a list to read, such as departments.
-
-    ``same_ids`` compares id sets of any size.
-    """
-    ids = F.array_sort(F.collect_set(F.col(column).cast("string")))
-    return rows.agg(F.array_join(ids, ",").alias("ids"))
+    """The distinct ids in the order of their text, one row each."""
+    return rows.select(F.col(column).cast("string").alias("id")).distinct().where("id IS NOT NULL").orderBy("id")
 
 
 # What asking may come to.

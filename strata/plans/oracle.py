@@ -152,9 +152,38 @@ ORACLE: dict[str, str] = {
                count(*) AS rows_today, CAST(0 AS BIGINT) AS rows_lost
         FROM orders GROUP BY 1""",
     "gold_rebuilt": f"WITH {_GOLD} SELECT * FROM gold",
+    "gold_merged": f"WITH {_GOLD} SELECT * FROM gold",
+    "silver_merged": f"WITH {_EMPLOYEE} SELECT * FROM employee",
+    "delivery_faults": """
+        WITH years AS (SELECT DISTINCT year(o_orderdate)::INT AS y FROM orders)
+        SELECT check_name, y AS business_year, reason
+        FROM years JOIN (VALUES
+          (0, 'record_counts', 'declared <> loaded'),
+          (1, 'presence', 'delivered, but no .ctrl declares it'), (1, 'record_counts', 'bronze rows with no .ctrl'),
+          (2, 'md5', 'other bytes'),
+          (3, 'presence', 'delivered, but no .ctrl declares it'), (3, 'record_counts', 'bronze rows with no .ctrl'),
+          (3, 'drift', 'rescued')) AS fault(kind, check_name, reason) ON kind = y % 4""",
+    "layout_profile": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) > 0 AS measured FROM {t}"
+        for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+                  "labels conversations").split()
+    ),
+    "metric_questions": f"""WITH {_EMPLOYEE},{_DEPARTMENT},
+        asked AS (
+          SELECT CASE
+                   WHEN grouping(cost_centre) = 0 THEN 'cost_centre, department_is_active'
+                   WHEN grouping(employment_type) = 0 THEN 'employment_type'
+                   WHEN grouping(dept_name) = 0 THEN 'department' ELSE '' END AS grouping,
+                 cost_centre, is_active AS department_is_active, employment_type, dept_name AS department,
+                 count(*) AS headcount_people, {_FTE} AS headcount_fte, {_FULLTIME} AS headcount_fulltime,
+                 CAST(sum(salary_annual) AS DECIMAL(22,2)) AS salary_total,
+                 {_avg6("salary_annual", "count(salary_annual)")} AS salary_avg, {_MANAGERS} AS manager_count
+          FROM employee e LEFT JOIN department d ON e.dept_id = d.dept_id
+          WHERE is_employed
+          GROUP BY GROUPING SETS ((), (cost_centre, is_active), (employment_type), (dept_name)))
+        SELECT * FROM asked""",
     "id_list": f"""
-        SELECT string_agg(k, ',' ORDER BY k) AS ids FROM (
-          SELECT CAST(p_partkey AS VARCHAR) AS k FROM part WHERE p_partkey IN ({_BIZ}))""",
+        SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey IN ({_BIZ}) ORDER BY id""",
     "ctrl_ingest": """
         SELECT 'orders' AS feed, CAST(date_trunc('year', o_orderdate) AS DATE) AS business_date, count(*) AS declared
         FROM orders GROUP BY ALL""",
@@ -327,6 +356,16 @@ ORACLE: dict[str, str] = {
                    FROM orders)
         SELECT g.role, l.name AS grantee, privilege, schema_name
         FROM grants g JOIN members m ON m.role = g.role JOIN live l ON l.id = m.member""",
+    "roles_without_members": f"""WITH {_MEMBERS},
+        granted AS (
+          SELECT DISTINCT o_orderpriority AS role, 'SELECT' AS privilege,
+                 CASE o_orderstatus WHEN 'O' THEN 'gold' WHEN 'F' THEN 'silver' ELSE 'governance' END AS schema_name
+          FROM orders
+          UNION SELECT p_brand, 'SELECT', 'gold' FROM part),
+        rich AS (SELECT DISTINCT role, member FROM members JOIN customer ON member = 'C' || c_custkey WHERE c_acctbal > 9000)
+        SELECT role, count(*) AS grants,
+               CASE WHEN role IN (SELECT role FROM rich) THEN 'no member is a live principal' ELSE 'no members' END AS reason
+        FROM granted WHERE role NOT IN (SELECT role FROM rich JOIN live ON id = member) GROUP BY role""",
     "stale_grants": f"""WITH {_MEMBERS}
         SELECT DISTINCT member AS grantee FROM members WHERE member NOT IN (SELECT id FROM live)""",
     "tag_vocabulary": """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 from strata.functions.text import path_date, stable_id
 from strata.operators import contracts, layout, policy, quality, register
 from strata.operators.current import current_rows
+from strata.operators.headcount import build_headcount
 from strata.operators.ingest import as_of_batches, bronze, build_log, ingest, unloaded
 from strata.operators.metrics import HEADCOUNTS, layer_equals_table, measures_distinct
+from strata.operators.upsert import Keyed, bucket_count
 from strata.plans import star
-from strata.plans.star import ANALYST, BIZ, ORDERS, ROSTER, STEWARD, WORKFORCE, table
+from strata.plans.star import ANALYST, BIZ, ORDERS, ROSTER, STEWARD, WORKFORCE, table, user_id
 from strata.session import scratch_dir, ship
 from strata.sources.landing import deliver, file_md5, landing_files, settled
 from strata.sources.target import Target
@@ -181,12 +184,6 @@ def path_date_of(spark, d):
     return lines.groupBy(path_date(path).alias("file_date")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
-def file_inventory(spark, d):
-    """Every object in the data folder, from a listing."""
-    return landing_files(spark, d, "*.parquet").select("file_name", F.col("length").alias("bytes"))
-
-
 @query
 def settled_files(spark, d):
     """Files unchanged for 90 seconds before noon on 15 January."""
@@ -196,6 +193,46 @@ def settled_files(spark, d):
     return settled(files, F.lit("2024-01-15 12:00:00").cast("timestamp"), 90).select("file_id")
 
 
+@query
+def delivery_faults(spark, d):
+    """What a faulty delivery is blamed for, per business year: every fourth year has a fault of its own.
+
+    Files without a sidecar, files without a sidecar whose rows have a field too many, digests of other bytes, and
+    counts one too high; each check has to name its years and no others.
+    """
+    root = scratch_dir(spark, "faults")
+    landing, orders = f"{root}/landing", star.delivered_orders(spark, d)
+    kind = F.year("o_orderdate") % 4
+    deliver(orders.where(~kind.isin(1, 3)), landing, ORDERS, F.trunc("o_orderdate", "year"), "sales")
+    for case, wide in ((1, []), (3, [F.lit("more").alias("surplus")])):
+        late = orders.where(kind == case).select("*", *wide, F.trunc("o_orderdate", "year").alias("delivered"))
+        late.write.partitionBy("delivered").option("header", True).csv(f"{landing}/orders/late-{case}")
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    sidecar = ORDERS.sidecar("*.ctl")
+    for feed in (ORDERS, sidecar):
+        ingest(target, feed, landing)
+    rows, said = bronze(target, ORDERS), F.year("business_date") % 4
+    declared = bronze(target, sidecar).withColumns(
+        {
+            "md5": F.when(said == 2, F.reverse("md5")).otherwise(F.col("md5")),
+            "record_count": F.when(said == 0, F.col("record_count") + 1).otherwise(F.col("record_count")),
+        }
+    )
+    files = landing_files(spark, landing, ORDERS.glob)
+    dated = rows.select("_file_name", F.year("_file_date").alias("business_year")).distinct()
+    wide = contracts.rescued({"orders": rows}).join(dated, "_file_name").select("business_year")
+    year = F.regexp_extract("directory", r"delivered=(\d{4})", 1).cast("int").alias("business_year")
+    counted = contracts.record_counts("orders", declared, rows)
+    found = {
+        "presence": contracts.presence(files, [declared]).select(year, "reason"),
+        "record_counts": counted.select(year, "reason"),
+        "md5": contracts.digests(file_md5(files), [declared]).select(year, F.lit("other bytes").alias("reason")),
+        "drift": wide.withColumn("reason", F.lit("rescued")),
+    }
+    parts = [rows.withColumn("check_name", F.lit(name)) for name, rows in found.items()]
+    return reduce(DataFrame.unionByName, parts).select("check_name", "business_year", "reason").distinct()
+
+
 # --- contracts --------------------------------------------------------------------------
 
 
@@ -268,6 +305,43 @@ def gold_rebuilt(spark, d):
     return target.rebuild("gold", "headcount", star.gold(spark, d))
 
 
+def _merged_people(spark: SparkSession, d: str, label: str) -> tuple[Target, Keyed, Iterator[None]]:
+    """Employees restated in three deliveries, the last one with corrections of old dates; a step per delivery."""
+    root = scratch_dir(spark, label)
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    people = Keyed(target, "silver", "employee", ("employee_id",), star.RECENCY)
+    rows, day = star.snapshots(spark, d), F.dayofmonth("snapshot_date")
+    part = F.when(day <= 14, 0).when(day <= 30, 1).otherwise(2)
+
+    def steps() -> Iterator[None]:
+        first = rows.where(part == 0)
+        people.start(first, {"merged": "0"}, bucket_count(first.count()))
+        yield
+        for i in (1, 2):
+            people.merge(rows.where(part == i), {"merged": str(i)})
+            yield
+
+    return target, people, steps()
+
+
+@query
+def silver_merged(spark, d):
+    """The current state of every order, merged delivery by delivery into the buckets it touches."""
+    target, _, steps = _merged_people(spark, d, "merged")
+    for _ in steps:
+        pass
+    return target.table("silver", "employee")
+
+
+@query
+def gold_merged(spark, d):
+    """People and cost per department, kept up to date from the changed buckets of silver."""
+    target, people, steps = _merged_people(spark, d, "gold-merged")
+    for _ in steps:
+        build_headcount(target, "headcount", people, star.departments(spark, d))
+    return target.table("gold", "headcount")
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
@@ -371,6 +445,17 @@ def metric_by_type(spark, d):
     return WORKFORCE.query(star.governance(spark, d), STEWARD, ["headcount_people"], ["employment_type"])
 
 
+@query
+def metric_questions(spark, d):
+    """All measures for the whole, per cost centre and state, per contract, and per department: one scan."""
+    return WORKFORCE.questions(
+        star.governance(spark, d),
+        STEWARD,
+        list(WORKFORCE.measures),
+        [[], ["cost_centre", "department_is_active"], ["employment_type"], ["department"]],
+    )
+
+
 @query
 def metric_distinct(spark, d):
     return measures_distinct(WORKFORCE, star.governance(spark, d), STEWARD)
@@ -499,6 +584,17 @@ def effective_grants(spark, d):
     )
 
 
+@query
+def roles_without_members(spark, d):
+    """Roles with grants that reach nobody: here all orders' priorities, filled by well-off customers only."""
+    rich = table(spark, d, "customer").where("c_acctbal > 9000").select(user_id("c_custkey").alias("member"))
+    people = star.members(spark, d).join(rich, "member", "left_semi")
+    grants = star.role_grants(spark, d).unionByName(
+        table(spark, d, "part").select(F.col("p_brand").alias("role"), F.lit("SELECT").alias("privilege"), F.lit("gold").alias("schema_name"))
+    )
+    return policy.unreached_roles(grants, people, star.users(spark, d), star.services(spark, d))
+
+
 @query
 def stale_grants(spark, d):
     grants = star.members(spark, d).select(F.col("member").alias("grantee"))
@@ -529,7 +625,10 @@ TABLES = (
 
 @query
 def layout_profile(spark, d):
-    return layout.layout_profile(spark, {t: f"{d.rstrip('/')}/{t}.parquet" for t in TABLES})
+    """Rows per table and whether its files were measured, from the rows' own file metadata."""
+    tables = {t: table(spark, d, t) for t in TABLES}
+    measured = (F.col("files") > 0) & (F.col("bytes") > 0) & F.col("error").isNull()
+    return layout.layout_profile(spark, tables).select("table_name", "rows", measured.alias("measured"))
 
 
 @query

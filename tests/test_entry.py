@@ -34,7 +34,7 @@ def ordered(columns, rows):
 def test_every_sql_has_a_query():
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"file_inventory", "layout_profile"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -48,16 +48,6 @@ def test_query_equals_sql(spark, duck, name):
     assert rows or name in {"unapproved_bronze_readers", "top_managers"}
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_listing_queries(spark, duck, name):
-    frame = QUERIES[name](spark, SF)
-    sizes = {f: os.path.getsize(f"{SF}/{f}") for f in os.listdir(SF)}
-    if name == "file_inventory":
-        assert {r.file_name: r.bytes for r in frame.collect()} == sizes
-    else:
-        assert {f"{r.table_name}.parquet": r.bytes for r in frame.collect()} == sizes
-
-
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.count() > 0 and frame.schema == contract.entry(spark).schema

@@ -13,17 +13,17 @@ from strata.streaming.arrivals import catch_up, watch
 
 def test_layout_keeps_what_it_cannot_measure(spark, tmp_path):
     spark.range(10).repartition(3).write.parquet(str(tmp_path / "good"))
-    (tmp_path / "hollow").mkdir()
+    spark.range(0).write.parquet(str(tmp_path / "hollow"))
     profile = layout.layout_profile(
         spark, {"good": str(tmp_path / "good"), "gone": str(tmp_path / "gone"), "hollow": str(tmp_path / "hollow")}
     )
     rows = {r.table_name: r for r in profile.collect()}
-    assert rows["good"].files == 3 and rows["good"].error is None
+    assert rows["good"].files == 3 and rows["good"].rows == 10 and rows["good"].error is None
     assert rows["good"].bytes == sum(f.stat().st_size for f in (tmp_path / "good").glob("*.parquet"))
     assert rows["gone"].error == "PATH_NOT_FOUND" and rows["gone"].files is None
     assert rows["hollow"].error == "no data files"
     total = layout.totals(profile).first()
-    assert (total.files, total.unmeasured) == (3, 2)
+    assert (total.files, total.rows, total.unmeasured) == (3, 10, 2)
     unmeasured = quality.tally("layout", profile.filter("error is not null"), profile)
     with pytest.raises(quality.ChecksFailed):
         quality.require(quality.results([unmeasured]), 1)
