@@ -5,8 +5,8 @@ tabs. Everything is counted per language.
 
 1. *Tries.* A task counts the phrases of one length in a burstable trie over word ids: below the first word hangs a
    hash container of the rest; a container of more than ``BURST`` entries bursts into one container per next
-   word. When a task holds ``ENTRIES`` phrases, the largest subtrees are written out whole, as
-   runs sorted by their words, until half are gone.
+   word. Single words need no container. When a task holds ``ENTRIES`` phrases, the largest subtrees are written out
+   whole, as runs sorted by their words, until half are gone.
 2. *Runs.* A run's rows carry its prefix, the first two words. The runs of a prefix meet in one partition, where
    Spark adds them up. A frequent first word is spread over its second words, and each task has
    combined its own occurrences before.
@@ -16,19 +16,19 @@ tabs. Everything is counted per language.
 4. *Scores.* Frequent phrases are joined with the counts of their parts; all arithmetic is exact.
 
 Odd rows: a null text has no words; a null language is ``und``. Repeated rows count again. Equal scores
-rank by count, then by phrase in byte order. Very long texts are counted whole, in portions of ``WORDS`` words. An
+rank by count, then by phrase in byte order. Very long texts are counted whole, in slices of ``SLICE`` bytes. An
 empty table gives no rows. Other columns do not matter.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,14 +46,20 @@ BURST = 16_384
 #: Phrases that a task holds before it writes subtrees out.
 ENTRIES = 1_000_000
 #: Words that are counted at once.
-WORDS = 1 << 18
+WORDS = 1 << 19
+#: Bytes of a text that become words at once.
+SLICE = 1 << 20
 #: Languages that a task holds before it writes everything out.
 LANGUAGES = 256
 #: Bits of the table of frequent phrases.
 TABLE = 1 << 27
 #: Bits of a word's number in a key; a task's vocabulary starts anew when it is full.
 _ID = 21
-_PIECES = re.compile(rb"[.,;:!?\x0a-\x0d]+")
+_CUT = re.compile(rb"[\x20\x09.,;:!?\x0a-\x0d]")
+# One letter case, one blank, and one sign for all breaks between pieces.
+_PLAIN = bytes.maketrans(
+    bytes(range(65, 91)) + b"\t.,;:!?\x0b\x0c\x0d", bytes(range(97, 123)) + b" " + b"\n" * 9
+)
 _U = np.uint64
 _RUN = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("rest", pa.string()), ("n", pa.int64())])
 
@@ -72,71 +78,102 @@ def _bits(hashes: np.ndarray, words: int) -> np.ndarray:
 
 
 class HatTrie:
-    """Counts of phrases of one length. Keys are word ids, packed behind the first."""
+    """Counts of phrases of one length. A key is the ids of the words, packed."""
 
     def __init__(self, words: int, burst: int = BURST) -> None:
-        self.tail, self.burst = words - 1, burst
-        self.roots: dict[int, Counter | dict[int, Counter]] = {}
-        self.sizes: Counter = Counter()
+        self.words, self.burst = words, burst
+        self.roots: dict[int, dict] = {}
+        self.inner: set[int] = set()
+        self.sizes: dict[int, int] = {}
+        self.held = 0
+        self.single = np.zeros(0, np.int64)
 
     def __len__(self) -> int:
-        return self.sizes.total()
-
-    def add(self, first: np.ndarray, rest: np.ndarray) -> None:
-        """Count occurrences: the id of the first word, and the packed ids behind it."""
-        order = np.lexsort((rest, first))
-        first, rest = first[order], rest[order]
-        edges = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1], [True]])) if len(first) else [0]
-        keys = rest.tolist()
-        for root, a, b in zip(first[edges[:-1]].tolist(), edges[:-1], edges[1:]):
-            node = self.roots.setdefault(root, Counter())
-            if isinstance(node, Counter):
-                node.update(keys[a:b])
-                self.sizes[root] = len(node)
-                if self.tail > 1 and len(node) > self.burst:
-                    self.roots[root] = self._burst(node)
+        return self.held
+
+    def add(self, keys: np.ndarray) -> None:
+        """Count occurrences."""
+        if self.words == 1:
+            counts = np.bincount(keys, minlength=len(self.single))
+            counts[: len(self.single)] += self.single
+            self.single, self.held = counts, int(np.count_nonzero(counts))
+            return
+        keys, counts = np.unique(keys, return_counts=True)
+        shift = (self.words - 1) * _ID
+        first = keys >> shift
+        edges = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])[: len(first)])
+        rest, times = (keys & (1 << shift) - 1).tolist(), counts.tolist()
+        ends = [*edges[1:].tolist(), len(rest)]
+        for root, a, b in zip(first[edges].tolist(), edges.tolist(), ends):
+            node = self.roots.get(root)
+            if node is None:
+                self.roots[root] = node = dict(zip(rest[a:b], times[a:b]))
+                size = b - a
+            elif root in self.inner:
+                size = self.sizes[root] + self._below(node, rest[a:b], times[a:b])
+            else:
+                for key, n in zip(rest[a:b], times[a:b]):
+                    node[key] = node.get(key, 0) + n
+                size = len(node)
+            self.held += size - self.sizes.get(root, 0)
+            self.sizes[root] = size
+            if self.words > 2 and size > self.burst and root not in self.inner:
+                self.roots[root] = inner = {}
+                self._below(inner, node.keys(), node.values())
+                self.inner.add(root)
+
+    def _below(self, inner: dict[int, dict[int, int]], keys, counts) -> int:
+        """Count into the containers of the next words; returns how many entries are new."""
+        new, mask = 0, (1 << _ID) - 1
+        for key, n in zip(keys, counts):
+            child = inner.get(key >> _ID)
+            if child is None:
+                child = inner[key >> _ID] = {}
+            word = key & mask
+            if word in child:
+                child[word] += n
             else:
-                self._below(root, node, rest[a:b])
-
-    def _burst(self, node: Counter) -> dict[int, Counter]:
-        shift, mask = (self.tail - 1) * _ID, (1 << (self.tail - 1) * _ID) - 1
-        children: dict[int, Counter] = {}
-        for key, n in node.items():
-            children.setdefault(key >> shift, Counter())[key & mask] = n
-        return children
-
-    def _below(self, root: int, children: dict[int, Counter], rest: np.ndarray) -> None:
-        shift, mask = (self.tail - 1) * _ID, (1 << (self.tail - 1) * _ID) - 1
-        nxt, keys = rest >> shift, (rest & mask).tolist()
-        edges = np.flatnonzero(np.concatenate([[True], nxt[1:] != nxt[:-1], [True]]))
-        for word, a, b in zip(nxt[edges[:-1]].tolist(), edges[:-1], edges[1:]):
-            child = children.setdefault(word, Counter())
-            before = len(child)
-            child.update(keys[a:b])
-            self.sizes[root] += len(child) - before
-
-    def take(self, at_most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Remove whole subtrees, the largest first, until ``at_most`` phrases are held: (first, rest, n)."""
-        roots, keys, counts, lengths = [], [], [], []
-        left = len(self)
-        for root, size in self.sizes.most_common():
-            if left <= at_most:
+                child[word] = n
+                new += 1
+        return new
+
+    def take(self, at_most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Remove whole subtrees, the largest first, until ``at_most`` phrases are held: (keys, counts)."""
+        if self.words == 1:
+            keys = np.flatnonzero(self.single)
+            counts, self.single, self.held = self.single[keys], np.zeros(0, np.int64), 0
+            return keys, counts
+        leads, nodes = [], []
+        shift = (self.words - 1) * _ID
+        for root in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
+            if self.held <= at_most:
                 break
-            left -= size
+            self.held -= self.sizes.pop(root)
             node = self.roots.pop(root)
-            del self.sizes[root]
-            roots.append(root)
-            lengths.append(size)
-            if isinstance(node, Counter):
-                keys.extend(node)
-                counts.extend(node.values())
+            if root in self.inner:
+                self.inner.remove(root)
+                leads.extend(root << shift | word << _ID for word in node)
+                nodes.extend(node.values())
             else:
-                shift = (self.tail - 1) * _ID
-                for word, child in node.items():
-                    keys.extend(word << shift | key for key in child)
-                    counts.extend(child.values())
-        first = np.repeat(np.array(roots, np.int64), np.array(lengths, np.int64))
-        return first, np.array(keys, np.int64), np.array(counts, np.int64)
+                leads.append(root << shift)
+                nodes.append(node)
+        sizes = np.fromiter(map(len, nodes), np.int64, len(nodes))
+        keys = np.fromiter(chain.from_iterable(nodes), np.int64, sizes.sum())
+        counts = np.fromiter(chain.from_iterable(n.values() for n in nodes), np.int64, sizes.sum())
+        return keys + np.repeat(np.array(leads, np.int64), sizes), counts
+
+
+class _Vocabulary(dict):
+    """Numbers words as they come; 0 is a break, -1 is nothing."""
+
+    def __init__(self) -> None:
+        super().__init__({b"\n": 0, b"": -1})
+        self.names = [b"\n"]
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.names)
+        self.names.append(word)
+        return number
 
 
 class Reader:
@@ -145,80 +182,82 @@ class Reader:
     def __init__(self, lang: str, words: int, table: np.ndarray | None) -> None:
         self.lang, self.words, self.table = lang, words, table
         self.seed = xxhash.xxh64_intdigest(lang.encode())
-        self._reset()
+        self.trie = HatTrie(words)
+        self.ids: list[np.ndarray] = []
+        self.waiting = 0
+        self._number([])
 
-    def _reset(self) -> None:
-        self.numbers = count(1)
-        self.vocabulary: dict[bytes, int] = {}
-        self.hashes = np.zeros(1, _U)
-        self.trie = HatTrie(self.words)
-        self.ids: list[int] = []
+    def _number(self, words: list[bytes]) -> None:
+        """Begin a vocabulary with the words that are still to be counted."""
+        self.vocabulary = _Vocabulary()
+        self.hashes = np.zeros(0, _U)
+        self.ids = [np.array([self.vocabulary[w] for w in words], np.int64)]
 
     def read(self, text: bytes) -> Iterator[None]:
         """Take in a text; stops whenever there are words enough to be counted."""
-        for piece in _PIECES.split(text.lower()):
-            words = piece.split()
-            for start in range(0, len(words) - self.words + 1, WORDS):
-                vocabulary, ids, numbers = self.vocabulary, self.ids, self.numbers
-                # Portions of a long piece overlap, so that every phrase starts in one of them.
-                for word in words[start : start + WORDS + self.words - 1]:
-                    if (known := vocabulary.get(word)) is None:
-                        known = vocabulary[word] = next(numbers)
-                    ids.append(known)
-                ids.append(0)
-                if len(ids) >= WORDS:
-                    yield
-
-    def full(self) -> bool:
-        """Whether another two portions might not fit into the vocabulary."""
-        return len(self.vocabulary) > (1 << _ID) - 3 * WORDS
+        start = 0
+        while start <= len(text):
+            cut = _CUT.search(text, start + SLICE) if len(text) - start > SLICE else None
+            end = cut.start() if cut else len(text)
+            words = text[start:end].translate(_PLAIN).replace(b"\n", b" \n ").split(b" ")
+            if end == len(text):
+                words.append(b"\n")
+            ids = np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words))
+            ids = ids[ids >= 0]
+            self.ids.append(ids)
+            self.waiting += len(ids)
+            start = end if cut else len(text) + 1
+            if self.waiting >= WORDS:
+                yield
+
+    def settle(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
+        """Count what was read; write all runs where asked to, or where the vocabulary is full."""
+        self.count()
+        if everything or len(self.vocabulary) > (1 << _ID) - WORDS - SLICE:
+            yield from self.runs(0)
+            names = self.vocabulary.names
+            self._number([names[i] for i in np.concatenate(self.ids).tolist()])
 
     def count(self) -> None:
-        """Move what was read into the trie."""
+        """Move what was read into the trie; the last words may begin phrases that are still to come."""
         k = self.words
-        ids, self.ids = np.array(self.ids, np.int64), []
-        if len(ids) < k:
-            return
-        starts = len(ids) - k + 1
+        ids = np.concatenate(self.ids)
+        starts = max(0, len(ids) - k + 1)
+        self.ids, self.waiting = [ids[starts:]], 0
         good = np.ones(starts, bool)
-        if k > 1:
-            for i in range(k):
-                good &= ids[i : i + starts] > 0
-            known = len(self.hashes)
-            fresh = [xxhash.xxh64_intdigest(w, self.seed) for w in list(self.vocabulary)[known - 1 :]]
+        for i in range(k):
+            good &= ids[i : i + starts] > 0
+        if k > 1 and starts:
+            fresh = [xxhash.xxh64_intdigest(w, self.seed) for w in self.vocabulary.names[len(self.hashes) :]]
             self.hashes = np.concatenate([self.hashes, np.array(fresh, _U)])
             bit = _bits(self.hashes[ids], k - 1)
             frequent = (self.table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
             good &= (frequent[:starts] & frequent[1 : starts + 1]).astype(bool)
-        else:
-            good &= ids > 0
-        rest = np.zeros(starts, np.int64)
-        for i in range(1, k):
-            rest = rest << _ID | ids[i : i + starts]
-        self.trie.add(ids[:starts][good], rest[good])
+        keys = np.zeros(starts, np.int64)
+        for i in range(k):
+            keys = keys << _ID | ids[i : i + starts]
+        self.trie.add(keys[good])
 
     def runs(self, at_most: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of the subtrees that have to go."""
-        first, rest, n = self.trie.take(at_most)
+        keys, n = self.trie.take(at_most)
         if not len(n):
             return
-        columns = [first] + [rest >> _ID * i & (1 << _ID) - 1 for i in range(self.words - 2, -1, -1)]
-        used = np.unique(np.concatenate(columns))
-        known = list(self.vocabulary)
-        names = [known[i - 1] for i in used.tolist()]
+        columns = [keys >> _ID * i & (1 << _ID) - 1 for i in range(self.words - 1, -1, -1)]
+        used = np.flatnonzero(np.bincount(np.concatenate(columns)))
+        names = [self.vocabulary.names[i] for i in used.tolist()]
         order = sorted(range(len(names)), key=names.__getitem__)
-        rank = np.zeros(len(known) + 1, np.int64)
+        rank = np.zeros(used[-1] + 1, np.int64)
         rank[used[order]] = np.arange(len(order))
         words = pa.array([names[i].decode() for i in order])
         columns = [rank[c] for c in columns]
         by = np.lexsort(columns[::-1])
         columns, n = [c[by] for c in columns], n[by]
         joined = [words.take(pa.array(c)) for c in columns]
-        prefix = joined[0] if len(joined) == 1 else pa.compute.binary_join_element_wise(*joined[:2], " ")
-        blank = pa.array([""]).take(pa.array(np.zeros(len(n), np.int64)))
-        rest_ = pa.compute.binary_join_element_wise(*joined[2:], " ") if len(joined) > 3 else joined[2] if len(joined) > 2 else blank
-        lang = pa.array([self.lang]).take(pa.array(np.zeros(len(n), np.int64)))
-        run = pa.RecordBatch.from_arrays([lang, prefix, rest_, pa.array(n)], schema=_RUN)
+        repeated = lambda text: pa.array([text]).take(pa.array(np.zeros(len(n), np.int64)))
+        prefix = joined[0] if len(joined) == 1 else pc.binary_join_element_wise(*joined[:2], " ")
+        rest = joined[2] if len(joined) > 2 else repeated("")
+        run = pa.RecordBatch.from_arrays([repeated(self.lang), prefix, rest, pa.array(n)], schema=_RUN)
         for at in range(0, len(n), 65_536):
             yield run.slice(at, 65_536)
 
@@ -231,15 +270,13 @@ def runs(documents: DataFrame, words: int, table=None, entries: int = ENTRIES) -
         bits = np.frombuffer(table.value, np.uint8) if table is not None else None
 
         def settle() -> Iterator[pa.RecordBatch]:
+            many = len(readers) > LANGUAGES
             for reader in readers.values():
-                reader.count()
-                if reader.full() or len(readers) > LANGUAGES:
-                    yield from reader.runs(0)
-                    reader._reset()
+                yield from reader.settle(many)
             if sum(len(r.trie) for r in readers.values()) > entries:
                 for reader in readers.values():
                     yield from reader.runs(len(reader.trie) // 2)
-            if len(readers) > LANGUAGES:
+            if many:
                 readers.clear()
 
         waiting = 0
@@ -248,20 +285,16 @@ def runs(documents: DataFrame, words: int, table=None, entries: int = ENTRIES) -
                 reader = readers.get(lang)
                 if reader is None:
                     reader = readers[lang] = Reader(lang, words, bits)
-                waiting -= len(reader.ids)
+                waiting -= reader.waiting
                 for _ in reader.read(text.as_py()):
                     # The reader's own words only: the readers may not change while one reads.
-                    reader.count()
-                    if reader.full() or len(reader.trie) > entries:
-                        yield from reader.runs(0)
-                        reader._reset()
-                waiting += len(reader.ids)
+                    yield from reader.settle(len(reader.trie) > entries)
+                waiting += reader.waiting
                 if waiting >= WORDS or len(readers) > LANGUAGES:
                     yield from settle()
                     waiting = 0
         for reader in readers.values():
-            reader.count()
-            yield from reader.runs(0)
+            yield from reader.settle(True)
 
     return documents.select("lang", "body").mapInArrow(run, "lang string, prefix string, rest string, n long")
 
@@ -309,8 +342,8 @@ def frequent_phrases(
     documents: DataFrame, max_words: int = MAX_WORDS, at_least: int = MIN_COUNT, entries: int = ENTRIES
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n, size) of all phrases of up to ``max_words`` words that occur ``at_least`` so often, and (lang, total)."""
-    if not 2 <= max_words <= 4:
-        raise ValueError("phrases have 2 to 4 words")
+    if max_words not in (2, MAX_WORDS):
+        raise ValueError("phrases have up to 2 or 3 words")
     texts = documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce("text", F.lit("")).cast("binary").alias("body"),

@@ -59,7 +59,7 @@ def sample(seed, n=400):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"entries": 40}, {"max_words": 2}, {"max_words": 4, "at_least": 5, "top": 20}])
+@pytest.mark.parametrize("options", [{}, {"entries": 40}, {"max_words": 2}, {"max_words": 2, "at_least": 5, "top": 20}])
 def test_phrases_match_brute_force(spark, options):
     rows = sample(1)
     frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
@@ -67,8 +67,8 @@ def test_phrases_match_brute_force(spark, options):
     assert answers(frame, **options) == brute(rows, **limits)
 
 
-def test_bursts_portions_and_small_vocabularies(spark):
-    """Small limits take every branch: bursting, portions of one piece, full vocabularies, many languages."""
+def test_bursts_slices_and_small_vocabularies(spark, monkeypatch):
+    """Small limits take every branch: bursting, slices of a piece, full vocabularies."""
     documents = spark.createDataFrame(sample(2), "lang string, text string").selectExpr(
         "coalesce(lang, 'und') AS lang", "cast(coalesce(text, '') AS binary) AS body"
     )
@@ -76,28 +76,30 @@ def test_bursts_portions_and_small_vocabularies(spark):
     for r in phrases.runs(documents, 3, every_bit(spark)).collect():
         want[r.lang, r.prefix, r.rest] += r.n
     rows = [(r.lang, bytes(r.body)) for r in documents.collect()]
-    for portion, burst, most in ((16, 4, 256), (300, 2, 1), (7, 100_000, 2)):
-        got = Counter()
-        reader = {}
-        held = (phrases.WORDS, phrases.LANGUAGES)
-        phrases.WORDS, phrases.LANGUAGES = portion, most
-        try:
-            for lang, body in rows:
-                one = reader.get(lang)
-                if one is None:
-                    one = reader[lang] = phrases.Reader(lang, 3, np.full(phrases.TABLE // 8, 255, np.uint8))
-                    one.trie.burst = burst
-                for _ in one.read(body):
-                    one.count()
-                    add(got, one.runs(len(one.trie) // 2))
-            for one in reader.values():
-                one.count()
-                add(got, one.runs(0))
-        finally:
-            phrases.WORDS, phrases.LANGUAGES = held
+    for words, size, burst, everything in ((16, 7, 4, False), (300, 50, 2, True), (7, 1, 100_000, True), (99, 9_999, 1, False)):
+        monkeypatch.setattr(phrases, "WORDS", words)
+        monkeypatch.setattr(phrases, "SLICE", size)
+        got, readers = Counter(), {}
+        for lang, body in rows:
+            one = readers.get(lang)
+            if one is None:
+                one = readers[lang] = phrases.Reader(lang, 3, np.full(phrases.TABLE // 8, 255, np.uint8))
+                one.trie.burst = burst
+            for _ in one.read(body):
+                add(got, one.settle(everything))
+                add(got, one.runs(len(one.trie) // 2))
+        for one in readers.values():
+            add(got, one.settle(True))
+            assert len(one.trie) == 0
         assert got == want
 
 
+def test_many_languages_and_words(spark, monkeypatch):
+    rows = [(f"l{i % 700}", f"w{i % 900} w{i % 5} w{i % 7}, x") for i in range(9_000)]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    assert answers(frame, at_least=3) == brute(rows, at_least=3)
+
+
 def add(counts, batches):
     for batch in batches:
         rows = batch.to_pylist()
@@ -117,7 +119,7 @@ def test_bits_agree_between_table_and_texts(spark):
     assert np.unpackbits(table).sum() == 3
     reader = phrases.Reader("en", 3, table)
     assert not list(reader.read(b"a b a c a b"))
-    reader.count()
+    assert not list(reader.settle())
     assert [r["prefix"] + " " + r["rest"] for b in reader.runs(0) for r in b.to_pylist()] == ["a b a"]
 
 
