@@ -4,9 +4,9 @@ A suffix is decided by its first ``LENGTH`` bytes: it is repeated if another suf
 bytes. Sorting all suffixes of a corpus would shuffle many times its size, so the suffixes are
 dealt to buckets such that equal ones share a bucket, and most buckets are decided as a whole:
 
-1. *Buckets.* Every suffix is dealt to an anchor, the position of the smallest hash among the
-   ``ANCHOR``-byte strings within its ``LENGTH`` bytes. Equal suffixes have the same anchor string at the same
-   distance. Anchors lie about 100 bytes apart; a run of suffixes with one anchor is one row. A bucket
+1. *Buckets.* Every suffix is dealt to an anchor, the position of the smallest hash among the strings of half
+   the length within its ``LENGTH`` bytes. Equal suffixes have the same anchor string at the same
+   distance. Anchors lie about a quarter of the length apart; a run of suffixes with one anchor is one row. A bucket
    (anchor string) with a single run holds no repeated suffix and is dropped.
 2. *Whole runs.* Runs of a bucket whose bytes are equal throughout are repeated suffix by suffix. What
    is left are buckets with several different runs; each different run is taken once.
@@ -41,7 +41,8 @@ from pyspark.sql import types as T
 from strata.llm.common import keep, own_column
 
 LENGTH = 400
-ANCHOR = 200
+#: Bytes that take in any passage of over 50 words: such passages have about 285 bytes and more.
+PASSAGE = 250
 PERIOD = 32
 #: Bytes hashed at once; longer texts are cut with an overlap.
 _CHUNK = 1 << 19
@@ -207,11 +208,12 @@ def _marked(documents: DataFrame) -> DataFrame:
     )
 
 
-def repeated_starts(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, mark, ranges): where strings of ``length`` bytes start that also start elsewhere.
 
     ``ranges`` are unordered (first, last) byte positions; ``mark`` is xxhash64 of the text.
     """
+    anchor = length // 2
     rows = _marked(documents)
     runs = _runs(rows.where(F.octet_length("text") >= length), length, anchor)
     buckets = (

@@ -68,3 +68,22 @@ def test_long_text_is_hashed_in_parts(spark, monkeypatch):
     groups = list(suffix_dedup._groups([len(d) for d in data], 400))
     starts = sorted((row, p) for g in groups for row, a, b in g for p in range(a, b - 399))
     assert starts == [(row, p) for row, d in enumerate(data) for p in range(len(d) - 399)]
+
+
+def test_passages_of_over_50_words_are_caught(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(n) for n in (51, 55, 60, 90)]
+    rows = [(i, f"{text(60 + i)} {passages[i % 4]} {text(30 + i)}") for i in range(24)]
+    rows += [(100 + i, text(120)) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in suffix_dedup.remove(frame, suffix_dedup.PASSAGE).collect()}
+    assert not any(p in t for t in got.values() for p in passages)
+    assert all(got[i] == t for i, t in rows if i >= 100)
+    # What comes out is what counting every string gives.
+    want = dict(zip((i for i, _ in rows), brute([t.encode() for _, t in rows], suffix_dedup.PASSAGE)))
+    report = suffix_dedup.report(frame, suffix_dedup.PASSAGE).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in report} == want
+    whole = spark.createDataFrame(rows + [(200 + i, t) for i, t in rows], frame.schema)
+    assert all(r.n_removed == r.n_bytes for r in suffix_dedup.report(whole, suffix_dedup.PASSAGE).collect())
