@@ -153,6 +153,40 @@ ORACLE: dict[str, str] = {
         FROM orders GROUP BY 1""",
     "gold_rebuilt": f"WITH {_GOLD} SELECT * FROM gold",
     "gold_merged": f"WITH {_GOLD} SELECT * FROM gold",
+    "ingest_evolved": f"""SELECT * REPLACE (CASE WHEN year(o_orderdate) % 2 = 0 THEN o_orderpriority END AS o_orderpriority)
+        FROM ({_BRONZE_ORDERS})""",
+    "review_copy": """
+        SELECT make_date(year(o_orderdate), 1, 1) AS business_date, count(*) AS rows_primary,
+               count(*) + count(*) FILTER (o_orderstatus = 'P') AS rows_review
+        FROM orders GROUP BY 1""",
+    "control_reloaded": """
+        SELECT DISTINCT l_suppkey AS principal, l_partkey AS dept_id
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal > 0""",
+    "unique_incremental": """
+        SELECT l_orderkey, l_linenumber, count(*) AS n, true AS loaded_before
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL""",
+    "vacuous_checks": _tallies(*[
+        f"SELECT '{lang}.{rule}' AS check_name, count(*) AS population, count(*) FILTER ({bad}) AS failures "
+        f"FROM documents WHERE lang = '{lang}'"
+        for lang in ("en", "de", "xx")
+        for rule, bad in (("not_null_text", "text IS NULL"), ("between_n_chars", "n_chars < 20"))
+    ]),
+    "ambiguous_columns": """
+        SELECT coalesce(string_agg(n, ',' ORDER BY n), 'yes') AS verdict FROM (
+          SELECT DISTINCT 't' || p_size || CASE WHEN p_size % 10 = 0 THEN '.Headcount' ELSE '.fte' END AS n
+          FROM part WHERE p_size % 10 = 0 OR p_size % 7 = 0)""",
+    "undocumented_columns": """
+        WITH brands AS (SELECT p_brand, min(p_type) AS t, min(p_size) AS s FROM part GROUP BY p_brand)
+        SELECT coalesce(string_agg(n, ',' ORDER BY n), 'yes') AS verdict FROM (
+          SELECT 'parts.salary_' || lower(replace(p_brand, '#', '')) AS n FROM brands
+          WHERE s % 2 = 1 AND (s % 3 = 0 OR length(trim(t)) < 10))""",
+    "open_findings": f"""WITH {_REGISTER}
+        SELECT review_flag, count(*) AS tables FROM register WHERE review_flag LIKE 'REVIEW%' GROUP BY ALL""",
+    "layout_totals": "SELECT CAST(sum(rows) AS BIGINT) AS rows, 1::BIGINT AS unmeasured FROM (" + " UNION ALL ".join(
+        f"SELECT count(*) AS rows FROM {t}"
+        for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+                  "labels conversations").split()
+    ) + ")",
     "silver_merged": f"WITH {_EMPLOYEE} SELECT * FROM employee",
     "delivery_faults": """
         WITH years AS (SELECT DISTINCT year(o_orderdate)::INT AS y FROM orders)

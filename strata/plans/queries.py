@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,13 @@ from strata.operators.current import current_rows
 from strata.operators.headcount import build_headcount
 from strata.operators.ingest import as_of_batches, bronze, build_log, ingest, unloaded
 from strata.operators.metrics import HEADCOUNTS, layer_equals_table, measures_distinct
+from strata.operators.uniqueness import SeenKeys
 from strata.operators.upsert import Keyed, bucket_count
 from strata.plans import star
 from strata.plans.star import ANALYST, BIZ, ORDERS, ROSTER, STEWARD, WORKFORCE, table, user_id
 from strata.session import scratch_dir, ship
 from strata.sources.landing import deliver, file_md5, landing_files, settled
-from strata.sources.target import Target
+from strata.sources.target import Target, review_target
 from strata.streaming.arrivals import watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,47 @@ def ingest_refreshed(spark, d):
     return _bronze_orders(target)
 
 
+@query
+def ingest_evolved(spark, d):
+    """A feed that gains a column: rows delivered before it read NULL there."""
+    root = scratch_dir(spark, "evolved")
+    landing, orders = f"{root}/landing", star.delivered_orders(spark, d)
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    narrow = replace(ORDERS, columns=ORDERS.columns[:-1])
+    for feed, odd in ((narrow, 1), (ORDERS, 0)):
+        part = orders.where(F.year("o_orderdate") % 2 == odd)
+        deliver(part, landing, feed, F.trunc("o_orderdate", "year"), "sales")
+        ingest(target, feed, landing)
+    return _bronze_orders(target)
+
+
+@query
+def review_copy(spark, d):
+    """A review copy loads the same deliveries on its own: what it holds beside the primary, per year."""
+    target, landing = _landed(spark, d, "review")
+    copy = review_target(target, f"{target.prefix}r_", f"{target.root}-review").setup()
+    ingest(target, ORDERS, landing)
+    # A second delivery reaches the copy alone.
+    late = star.delivered_orders(spark, d).where("o_orderstatus = 'P'")
+    deliver(late, landing, ORDERS, F.trunc("o_orderdate", "year"), "sales")
+    ingest(copy, ORDERS, landing)
+    count = lambda place, name: bronze(place, ORDERS).groupBy("_file_date").agg(F.count(F.lit(1)).alias(name))
+    both = count(target, "rows_primary").join(count(copy, "rows_review"), "_file_date", "full")
+    return both.withColumnRenamed("_file_date", "business_date")
+
+
+@query
+def control_reloaded(spark, d):
+    """An access map replaced whole: nobody who departed survives in it."""
+    root = scratch_dir(spark, "reload")
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    lines, credit = table(spark, d, "lineitem"), table(spark, d, "supplier").where("s_acctbal > 0")
+    access = lines.select(F.col("l_suppkey").alias("principal"), F.col("l_partkey").alias("dept_id")).distinct()
+    target.rebuild("governance", "dept_access", access)
+    stay = target.table("governance", "dept_access").join(credit, F.col("principal") == F.col("s_suppkey"), "left_semi")
+    return target.rebuild("governance", "dept_access", stay)
+
+
 @query
 def delivered_dates(spark, d):
     """What a listing of the delivery says per business date, beside the rows loaded from it."""
@@ -345,6 +388,50 @@ def gold_merged(spark, d):
 # --- quality ----------------------------------------------------------------------------
 
 
+@query
+def unique_incremental(spark, d):
+    """Keys that a second load of the returned lines brings again, found without reading the first load's rows."""
+    root = scratch_dir(spark, "unique")
+    target = Target(spark, f"{root}/built", f"{root.rsplit('/', 1)[1].replace('-', '_')}_").setup()
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    keys = SeenKeys(target, "lines", ("l_orderkey", "l_linenumber")).setup()
+    keys.remember(lines, 0)
+    return keys.check(lines.where("l_returnflag = 'R'"), 1)
+
+
+@query
+def vacuous_checks(spark, d):
+    """Checks over parts of the documents, by language: what there is nothing of is vacuous, not passed."""
+    documents = table(spark, d, "documents")
+    rules = [quality.not_null("text"), quality.at_least("n_chars", 20)]
+    parts = [quality.rule_tally(lang, documents.where(F.col("lang") == lang), rules) for lang in ("en", "de", "xx")]
+    return quality.results(parts)
+
+
+@query
+def ambiguous_columns(spark, d):
+    """Column names that leave open what they count: parts as columns, named by the words of their names."""
+    parts = table(spark, d, "part")
+    names = parts.select(
+        F.concat(F.lit("t"), F.col("p_size").cast("string")).alias("table_name"),
+        F.when(F.col("p_size") % 10 == 0, "Headcount").when(F.col("p_size") % 7 == 0, "fte").otherwise("headcount_fte").alias("column_name"),
+    )
+    return quality.ambiguous_names(names)
+
+
+@query
+def undocumented_columns(spark, d):
+    """Measures without a description worth the name: brands as columns, described by their shortest part name."""
+    parts = table(spark, d, "part").groupBy("p_brand").agg(F.min("p_type").alias("comment"), F.min("p_size").alias("size"))
+    named = F.when(F.col("size") % 2 == 1, "salary").otherwise("size")
+    columns = parts.select(
+        F.lit("parts").alias("table_name"),
+        F.concat(named, F.lit("_"), F.lower(F.replace("p_brand", F.lit("#"), F.lit("")))).alias("column_name"),
+        F.when(F.col("size") % 3 != 0, F.col("comment")).alias("comment"),
+    )
+    return quality.undocumented_measures(columns)
+
+
 @query
 def silver_uniqueness(spark, d):
     """One row per key holds in silver, over a population that is not empty."""
@@ -558,6 +645,13 @@ def prove_principals(spark, d):
     return policy.compare_principals(callers, ask, lambda caller: rules.effect("gold.headcount", caller))
 
 
+@query
+def open_findings(spark, d):
+    """What the register leaves for review, by verdict."""
+    rows = register.findings(register.stewardship_register(star.metadata(spark, d)))
+    return rows.groupBy("review_flag").agg(F.count(F.lit(1)).alias("tables"))
+
+
 @query
 def stewardship(spark, d):
     return register.stewardship_register(star.metadata(spark, d))
@@ -631,6 +725,13 @@ def layout_profile(spark, d):
     return layout.layout_profile(spark, tables).select("table_name", "rows", measured.alias("measured"))
 
 
+@query
+def layout_totals(spark, d):
+    """Rows of all tables together; one that is not there is counted apart, not as an empty one."""
+    tables = {t: table(spark, d, t) for t in TABLES} | {"gone": f"{d.rstrip('/')}/gone.parquet"}
+    return layout.totals(layout.layout_profile(spark, tables)).select("rows", "unmeasured")
+
+
 @query
 def op_mix(spark, d):
     return layout.operation_mix(star.commit_log(spark, d))

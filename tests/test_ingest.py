@@ -8,6 +8,7 @@ from fixtures import FEEDS, change, department, drop, employee
 
 from strata.operators import contracts, ingest as ingest_module
 from strata.operators.ingest import Loaded, bronze, build_log, ingest, ledger, unloaded
+from strata.operators.uniqueness import SeenKeys, check_new_batches
 from strata.plans.hr import CHANGES, DEPARTMENT, EMPLOYEE
 from strata.sources.landing import landing_files, settled
 from strata.sources.target import Target, review_target
@@ -319,3 +320,39 @@ def test_reload_drops_what_departed(target):
     target.reload("governance", "dept_access", [("gone", 1), ("stays", 2)], schema)
     rows = target.reload("governance", "dept_access", [("stays", 2)], schema)
     assert [tuple(r) for r in rows.collect()] == [("stays", 2)]
+
+
+def test_new_batches_are_checked_against_all_before(target, landing):
+    columns = ("dept_id", "snapshot_date")
+    drop(landing, "department", DAY, "a", [department(1, DAY), department(2, DAY)])
+    ingest(target, DEPARTMENT, str(landing))
+    assert check_new_batches(target, DEPARTMENT, columns).count() == 0
+    path = drop(landing, "department", DAY, "b", [department(2, DAY), department(3, DAY), department(3, DAY)])
+    ingest(target, DEPARTMENT, str(landing))
+    found = {(r.dept_id, r.n, r.loaded_before, r.batch) for r in check_new_batches(target, DEPARTMENT, columns).collect()}
+    assert found == {(2, 1, True, 1), (3, 2, False, 1)}
+    # Nothing new, nothing to look at; a double load is found; the first load is not read for it.
+    assert check_new_batches(target, DEPARTMENT, columns).count() == 0
+    os.utime(path, (1_700_000_100, 1_700_000_100))
+    ingest(target, DEPARTMENT, str(landing))
+    again = check_new_batches(target, DEPARTMENT, columns)
+    assert {(r.dept_id, r.loaded_before, r.batch) for r in again.collect()} == {(2, True, 2), (3, True, 2)}
+    keys = SeenKeys(target, DEPARTMENT.table, columns)
+    assert keys.seen().count() == 2 + 2 + 2
+    rows = target.table("bronze", DEPARTMENT.table).where("_batch_id = 2")
+    keys.remember(rows, 2)
+    assert keys.seen().count() == 6 and keys.check(rows, 2).count() == 2
+    ingest(target, DEPARTMENT, str(landing), full_refresh=True)
+    assert {(r.dept_id, r.n) for r in check_new_batches(target, DEPARTMENT, columns).collect()} == {(2, 2), (3, 2)}
+    assert keys.seen().count() == 3
+
+
+def test_null_keys(target, spark):
+    one = SeenKeys(target, "x", ("a",)).setup()
+    two = SeenKeys(target, "x", ("a", "b")).setup()
+    rows = spark.createDataFrame([(None, "a"), ("a", None), (None, "a"), ("b", "c")], "a string, b string")
+    assert one.check(rows, 0).count() == 0
+    assert [tuple(r) for r in two.check(rows, 0).collect()] == [(None, "a", 2, False)]
+    for keys in (one, two):
+        keys.remember(rows, 0)
+    assert {r.a for r in one.check(rows, 1).collect()} == {"a", "b"} and two.check(rows, 1).count() == 3
