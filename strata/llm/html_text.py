@@ -157,10 +157,14 @@ def parse(source: str) -> tuple[Node, list[Node]]:
         if anchors:
             node.links += len(text.strip())
 
-    while token := _TOKEN.search(source, at):
+    # Behind the last ">" no tag can end, and there is none to look for.
+    stop = source.rfind(">") + 1
+    while token := _TOKEN.search(source, at, stop):
         if token.start() > at:
             say(source[at : token.start()])
         at = token.end()
+        if at == stop and token[0].startswith("<!--") and not token[0].endswith("-->"):
+            at = len(source)
         if token["raw"]:
             raw = token["raw"].lower()
             if raw not in _SELF_CLOSED or not token[0].endswith("/>"):
@@ -197,8 +201,9 @@ def parse(source: str) -> tuple[Node, list[Node]]:
         node.parts.append(child)
         nodes.append(child)
         node = child
-    if at < len(source):
-        say(source[at:])
+    rest = source[at:].split("<!--", 1)[0]
+    if rest:
+        say(rest)
     return root, nodes
 
 
@@ -499,11 +504,23 @@ def main_texts(pages: list[str | None], model: Boosted) -> list[str]:
     return ["\n".join(nodes[0].blocks(decode(nodes, own))) for nodes, own in zip(trees, logits)]
 
 
+def _sample(rows: DataFrame, sample: int) -> list[str]:
+    """Whole pages, as many as asked for, chosen by their ids: only the chosen ones leave their tasks."""
+    marked = rows.where(F.length("html") > 0).withColumn("mark", F.xxhash64("html"))
+    chosen = marked.select("page_id", "url", "mark").orderBy(F.xxhash64("page_id"), "page_id", "url", "mark").limit(sample).collect()
+    if not chosen:
+        return []
+    place = {tuple(r): i for i, r in enumerate(chosen)}
+    names = rows.sparkSession.createDataFrame(list(place), "page_id long, url string, mark long").toDF("i", "u", "m")
+    same = F.col("page_id").eqNullSafe(F.col("i")) & F.col("url").eqNullSafe(F.col("u")) & (F.col("mark") == F.col("m"))
+    found = marked.join(F.broadcast(names), same, "left_semi").dropDuplicates(["page_id", "url", "mark"]).collect()
+    return [r.html for r in sorted(found, key=lambda r: place[r.page_id, r.url, r.mark])]
+
+
 def extract(pages: DataFrame, sample: int = PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) per page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    seen = rows.where(F.length("html") > 0).orderBy(F.xxhash64("page_id"), "page_id", "url").limit(sample).select("html")
-    model = fit([r.html for r in seen.collect()])
+    model = fit(_sample(rows, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

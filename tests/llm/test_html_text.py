@@ -95,3 +95,16 @@ def test_odd_rows(spark):
     assert next(r.n_chars for r in got if r.page_id == 93) == 20_000 * 33 - 1
     assert H.extract(frame.limit(0)).count() == 0
     assert H.extract(frame.where("html IS NULL")).first().text == ""
+
+
+def test_very_long_pages_without_an_end_of_a_tag():
+    import time
+
+    started = time.time()
+    for page in ("<div" * 250_000, "<script " * 125_000, "<p>text</p>" + "<a href='x' " * 80_000, "<p>a</p>" + "<" * 1_000_000):
+        nodes = H.parse(page)[1]
+        assert len(nodes) <= 2
+    assert time.time() - started < 20
+    assert list(H.parse("<p>one</p> two <!-- no end")[0].blocks()) == ["one", "two"]
+    assert list(H.parse("<p>one <!-- > no end </p> still")[0].blocks()) == ["one"]
+    assert list(H.parse("<p>one</p> 1 < 2")[0].blocks()) == ["one", "1 < 2"]
