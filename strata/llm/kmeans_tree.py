@@ -189,7 +189,10 @@ def search(
     """
     rows = usable(vectors)
     entries, members = _entries(rows, k)
-    some = entries.orderBy(F.xxhash64("entry"), "entry").limit(sample).select("embedding").toPandas()
+    # Ids are chosen first, so that vectors leave their tasks only if they are in the sample.
+    chosen = entries.select("entry").orderBy(F.xxhash64("entry"), "entry").limit(sample)
+    some = entries.join(F.broadcast(chosen), "entry", "left_semi").select(F.xxhash64("entry").alias("place"), "entry", "embedding")
+    some = some.toPandas().sort_values(["place", "entry"])
     answer = "query_id long, rank int, vec_id long, score double"
     if some.empty:
         return vectors.sparkSession.createDataFrame([], answer)
