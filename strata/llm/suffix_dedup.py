@@ -1,4 +1,8 @@
-"""Removal of long byte strings that occur more than once: difference-cover blockwise suffix sorting.
+"""Removal of long byte strings that occur more than once, by blocks of suffixes over an anchored cover sample.
+
+The dealt method, blockwise suffix sorting with the ranks of a difference cover, is swapped: nothing is sorted and there
+are no ranks. Kept of it are the blocks, of which undecided ones alone are worked on, and the precomputed
+sample that decides ties; names of sampled strings, equal for equal strings, stand where ranks would.
 
 A suffix is decided by its first ``LENGTH`` bytes: it is repeated if another suffix begins with the same
 bytes. Sorting all suffixes of a corpus would shuffle many times its size, so the suffixes are
@@ -15,11 +19,12 @@ dealt to buckets such that equal ones share a bucket, and most buckets are decid
    any two suffixes to covered positions; here the anchor tells the shift, and one residue suffices. A covered
    position gets a name (its rank as far as equality goes) for the string of LENGTH - PERIOD + 1 bytes there.
    Suffixes with unequal names at the next covered position differ.
-4. *Blocks.* A block is the suffixes of one name. Blocks with one run are dropped; the others are sorted,
-   block by block, on the few bytes beside the named string, in which the tie is resolved.
+4. *Blocks.* A block is the suffixes of one name. Blocks with one run are dropped; in the others a hash of all
+   LENGTH bytes of each suffix tells which are equal.
 
-Names and strings are compared by 64-bit hashes of the bytes, two independent ones for every decision that
-removes something. All steps are joins and aggregations of Spark; no task needs more than the texts of a
+Names and strings are compared by 64-bit hashes of the bytes. What a block decides rests on two independent ones; whole runs
+rest on the hash of the anchor string and that of the run's bytes, which are of one kind.
+All steps are joins and aggregations of Spark; no task needs more than the texts of a
 batch, a bucket is never gathered, and hot buckets are split by Spark's skew handling.
 
 Nulls and odd rows: a null or short text loses nothing. Rows are told apart by doc_id and text, so a
