@@ -2,8 +2,8 @@
 
 A file is identified by path AND modification time. What was seen is kept in a small
 ledger table, not looked up in bronze, so a run costs in proportion to the files that
-are new, and a file without rows is remembered as well. The ledger is partitioned by the business
-date of the path; a run reads the dates it has files of.
+are new, and a file without rows is remembered as well. The ledger is partitioned by the month of the business
+date in the path; a run reads the months it has files of.
 
 A run first writes what it is going to load into the ledger, with a batch number per
 file, then loads batch after batch. A batch is a partition of the bronze table: loading
@@ -35,14 +35,14 @@ LOG = "build_log"  # one per table, so that feeds may be loaded side by side
 # Bounds the path list one read is given; more files than this make more batches.
 FILES_PER_BATCH = 20_000
 
-# Parts of one business date in the ledger before a run puts them together.
-PARTS_PER_DATE = 16
+# Parts of one month in the ledger before a run puts them together.
+PARTS_PER_MONTH = 16
 
 # ``part`` is the batch of rows that wait to be loaded or were loaded lately; negative parts hold older ones together.
 _LEDGER_SCHEMA = (
     "path string, _file_path string, _file_last_modified timestamp, length bigint, listed_at timestamp, batch bigint"
 )
-_LEDGER_PARTITIONS = {"file_date": "date", "part": "bigint"}
+_LEDGER_PARTITIONS = {"file_month": "date", "part": "bigint"}
 _LOG_SCHEMA = "table_name string, version bigint, operation string, logged_at timestamp, batch bigint"
 
 
@@ -111,7 +111,7 @@ def unloaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def ledger(target: Target, feed: Feed) -> DataFrame:
     store = current(target, feed)
     if store is None:
-        return target.spark.createDataFrame([], f"{_LEDGER_SCHEMA}, file_date date, part bigint")
+        return target.spark.createDataFrame([], f"{_LEDGER_SCHEMA}, file_month date, part bigint")
     return target.table("governance", store.ledger)
 
 
@@ -158,18 +158,18 @@ def _unfinished(store: Generation) -> list[int]:
     return sorted(r.batch for r in todo.collect())
 
 
-def _of_dates(files: DataFrame, column: Column) -> Column:
-    """Whether ``column`` is one of the business dates of some files. There are as many as days, whatever the files."""
-    dates = [r.file_date for r in files.select("file_date").distinct().collect()]
+def _of_months(files: DataFrame, column: Column) -> Column:
+    """Whether ``column`` is one of the months of some files. There are few of them, however many the files."""
+    dates = [r.file_month for r in files.select("file_month").distinct().collect()]
     known = [d for d in dates if d is not None]
     return column.isin(known) | column.isNull() if None in dates else column.isin(known)
 
 
 def _plan(store: Generation, files: DataFrame, per_batch: int, listed_at: datetime) -> int:
     """Write the new files to the ledger with their batch numbers; returns how many."""
-    files = files.withColumn("file_date", path_date(F.col("_file_path"), store.feed.date_pattern))
+    files = files.withColumn("file_month", F.trunc(path_date(F.col("_file_path"), store.feed.date_pattern), "month"))
     seen = store.target.table("governance", store.ledger)
-    new = unloaded(files, seen.where(_of_dates(files, F.col("file_date"))))
+    new = unloaded(files, seen.where(_of_months(files, F.col("file_month"))))
     count = new.count()
     if not count:
         return 0
@@ -184,10 +184,10 @@ def _plan(store: Generation, files: DataFrame, per_batch: int, listed_at: dateti
         "length",
         F.lit(listed_at).cast("timestamp").alias("listed_at"),
         batch.alias("batch"),
-        "file_date",
+        "file_month",
         batch.alias("part"),
     )
-    store.target.append("governance", store.ledger, numbered.hint("rebalance", "file_date", "part"))
+    store.target.append("governance", store.ledger, numbered.hint("rebalance", "file_month", "part"))
     return count
 
 
@@ -203,35 +203,35 @@ def _load(store: Generation, batch: int, operation: str) -> None:
     log_batch(store, operation, batch)
 
 
-def compact(store: Generation, parts: int = PARTS_PER_DATE) -> list:
-    """Put the finished parts of dates that have many together; returns these dates.
+def compact(store: Generation, parts: int = PARTS_PER_MONTH) -> list:
+    """Put the finished parts of months that have many together; returns these months.
 
     The rows are first written once more, then the single parts are dropped. A run that dies between the two
     leaves rows twice, which say the same to the next run.
     """
     target = store.target
     rows = target.table("governance", store.ledger)
-    done = rows.select("file_date", "part").distinct()
+    done = rows.select("file_month", "part").distinct()
     done = done.join(_commits(store).select(F.col("batch").alias("part")).distinct(), "part", "left_semi").unionByName(
         done.where("part < 0")
     )
-    many = done.groupBy("file_date").agg(F.collect_set("part").alias("parts"), F.min("part").alias("least"))
+    many = done.groupBy("file_month").agg(F.collect_set("part").alias("parts"), F.min("part").alias("least"))
     many = many.where(F.size("parts") > parts).collect()
     if many:
         fresh = min(-1, min(r.least for r in many) - 1)
         chosen = target.spark.createDataFrame(
-            [(r.file_date, p) for r in many for p in r.parts], "file_date date, part bigint"
+            [(r.file_month, p) for r in many for p in r.parts], "file_month date, part bigint"
         )
-        same = rows["file_date"].eqNullSafe(chosen["file_date"]) & (rows["part"] == chosen["part"])
-        together = rows.where(_of_dates(chosen, F.col("file_date"))).join(F.broadcast(chosen), same, "left_semi")
+        same = rows["file_month"].eqNullSafe(chosen["file_month"]) & (rows["part"] == chosen["part"])
+        together = rows.where(_of_months(chosen, F.col("file_month"))).join(F.broadcast(chosen), same, "left_semi")
         together = together.dropDuplicates(["_file_path", "_file_last_modified"]).withColumn("part", F.lit(fresh).cast("bigint"))
         name = target.name("governance", store.ledger)
-        target.append("governance", store.ledger, together.hint("rebalance", "file_date"))
+        target.append("governance", store.ledger, together.hint("rebalance", "file_month"))
         drop = lambda d: "NULL" if d is None else f"DATE'{d}'"
         for r in many:
             for part in r.parts:
-                target.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (file_date = {drop(r.file_date)}, part = {part})")
-    return [r.file_date for r in many]
+                target.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (file_month = {drop(r.file_month)}, part = {part})")
+    return [r.file_month for r in many]
 
 
 def _bronze_schema(target: Target, feed: Feed) -> T.StructType:

@@ -259,27 +259,27 @@ def test_a_refresh_that_dies_after_any_step_loses_nothing(spark, landing, tmp_pa
     assert finished and step > 5
 
 
-def test_ledger_reads_the_dates_it_needs_and_stays_small(target, landing, monkeypatch):
-    monkeypatch.setattr(ingest_module, "PARTS_PER_DATE", 3)
+def test_ledger_reads_the_months_it_needs_and_stays_small(target, landing, monkeypatch):
     monkeypatch.setattr(ingest_module.compact, "__defaults__", (3,))
-    days = [f"2025-01-{d:02d}" for d in range(1, 4)]
+    days = [f"2025-{m:02d}-09" for m in range(1, 4)]
     for run in range(7):
         for day in days[: 1 + run % 3]:
             drop(landing, "department", day, f"d{run}", [department(run, day)])
+        drop(landing, "department", "undated", f"d{run}", [department(run, DAY)])
         assert ingest(target, DEPARTMENT, str(landing)).batches == 1
     held = ledger(target, DEPARTMENT)
     assert held.count() == held.select("_file_path").distinct().count() == bronze(target, DEPARTMENT).count()
-    assert held.groupBy("file_date").agg({"part": "approx_count_distinct"}).agg({"approx_count_distinct(part)": "max"}).first()[0] <= 4
+    assert held.groupBy("file_month").agg({"part": "approx_count_distinct"}).agg({"approx_count_distinct(part)": "max"}).first()[0] <= 4
     assert ingest(target, DEPARTMENT, str(landing)) == Loaded(0, 0)
     store = ingest_module.current(target, DEPARTMENT)
-    files = target.spark.createDataFrame([(f"file:/x/{days[0]}/new.csv", date(2025, 1, 1))], "_file_path string, file_date date")
+    files = target.spark.createDataFrame([(f"file:/x/{days[0]}/new.csv", date(2025, 1, 1))], "_file_path string, file_month date")
     from pyspark.sql import functions as F
 
-    seen = target.table("governance", store.ledger).where(ingest_module._of_dates(files, F.col("file_date")))
+    seen = target.table("governance", store.ledger).where(ingest_module._of_months(files, F.col("file_month")))
     mode = target.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     plan = seen._jdf.queryExecution().explainString(mode)
-    assert "file_date" in plan.split("PartitionFilters: [")[1].split("\n")[0]
-    assert {r.file_date for r in seen.collect()} == {date(2025, 1, 1)}
+    assert "file_month" in plan.split("PartitionFilters: [")[1].split("\n")[0]
+    assert {r.file_month for r in seen.collect()} == {date(2025, 1, 1)}
 
 
 def test_bronze_as_of_reads_the_batches_of_then(target, landing):
