@@ -27,9 +27,14 @@ rest on the hash of the anchor string and that of the run's bytes, which are of
 All steps are joins and aggregations of Spark; no task needs more than the texts of a
 batch, a bucket is never gathered, and hot buckets are split by Spark's skew handling.
 
+A passage of over 50 words may be shorter than that, so ``report`` also says which documents share one with another
+document. The same anchors are taken over hashes of words: runs whose anchor string another document has too are
+compared whole, and where that does not settle it by a hash of each of their strings of 51 words. White space and the lengths of
+words do not matter there, a passage that comes again in its own document only does not count, and nothing is removed for it.
+
 Nulls and odd rows: a null or short text loses nothing. Rows are told apart by doc_id and text, so a
 repeated row counts as a second occurrence and both lose all their long strings; a null doc_id is an id
-like any other. An empty table gives no rows. Other columns do not matter.
+like any other. For passages such a repeated row is the same document. An empty table gives no rows. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -49,8 +54,15 @@ LENGTH = 400
 #: Bytes that take in any passage of over 50 words: such passages have about 285 bytes and more.
 PASSAGE = 250
 PERIOD = 32
+#: Words of a passage that counts as shared, and of its anchor.
+WORDS = 51
+ANCHOR_WORDS = 16
 #: Bytes hashed at once; longer texts are cut with an overlap.
-_CHUNK = 1 << 19
+_CHUNK = 1 << 17
+#: Longer words are hashed one by one.
+_LONG = 1 << 12
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SHIFT = np.uint64(24)
 _U = np.uint64
 
@@ -77,10 +89,19 @@ class Hasher:
         return np.cumprod(factors)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(data) + 1, _U)
-        np.cumsum(self.codes[data] * self.powers[: len(data)], out=sums[1:])
+        return self.running(self.codes[data])
+
+    def running(self, codes: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(codes) + 1, _U)
+        np.cumsum(codes * self.powers[: len(codes)], out=sums[1:])
         return sums
 
+    def all(self, sums: np.ndarray, length: int) -> np.ndarray:
+        """``at`` for every start, without indices."""
+        out = sums[length:] - sums[:-length]
+        out *= self.inverse[: len(out)]
+        return _mix(out)
+
     def at(self, sums: np.ndarray, start: np.ndarray, length) -> np.ndarray:
         return _mix((sums[start + length] - sums[start]) * self.inverse[start])
 
@@ -97,22 +118,26 @@ def _smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def runs_of(data: np.ndarray, spans: list[tuple[int, int]], length: int, anchor: int, hasher: Hasher) -> tuple:
+def runs_of(sums: np.ndarray, spans: list[tuple[int, int]], length: int, anchor: int, hasher: Hasher) -> tuple:
     """(name, content, first, last, distance, size, n) of every run of suffixes in the texts at ``spans``.
 
+    ``sums`` are those of the hasher over the bytes or the words of the texts.
+
     ``distance`` is how far the anchor lies behind the first suffix and ``size`` how many suffixes a run has. In
     periodic text the same run comes again and again; n equal ones that follow each other are one row.
     """
-    sums = hasher.prefix(data)
-    strings = hasher.at(sums, np.arange(len(data) - anchor + 1), anchor)
+    strings = hasher.all(sums, anchor)
     ranked = (strings >> _SHIFT << _SHIFT) | np.arange(len(strings), dtype=_U)
-    nearest = (_smallest_in_window(ranked, length - anchor + 1) & _U((1 << 24) - 1)).astype(np.int64)
-    starts = np.concatenate([np.arange(a, b - length + 1) for a, b in spans])
-    at = nearest[starts]
-    new = np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)])
-    first = np.flatnonzero(new)
-    last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
-    lo, hi, at = starts[first], starts[last], at[first]
+    nearest = _smallest_in_window(ranked, length - anchor + 1)
+    # A run begins where a text does and where the anchor changes; it ends before the next or with the text's last string.
+    begins, ends = np.array(spans).T
+    changed = np.flatnonzero(nearest[1:] != nearest[:-1]) + 1
+    text = np.searchsorted(begins, changed, side="right") - 1
+    inside = (text >= 0) & (changed > begins[text]) & (changed <= ends[text] - length)
+    lo = np.sort(np.concatenate([begins, changed[inside]]))
+    text = np.searchsorted(begins, lo, side="right") - 1
+    hi = np.minimum(np.append(lo[1:], len(sums)) - 1, ends[text] - length)
+    at = (nearest[lo] & _U((1 << 24) - 1)).astype(np.int64)
     shape = (at - lo).astype(_U) * _U(0x9E3779B97F4A7C15) + (hi - lo).astype(_U)
     content = _mix(hasher.at(sums, lo, hi - lo + length) ^ _mix(shape))
     name, distance, size = strings[at], at - lo, hi - lo + 1
@@ -151,7 +176,7 @@ def _runs(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                 ends = np.cumsum([len(p) for p in parts])
                 begins = ends - [len(p) for p in parts]
                 name, content, lo, hi, distance, size, n = runs_of(
-                    np.concatenate(parts), list(zip(begins, ends)), length, anchor, hasher
+                    hasher.prefix(np.concatenate(parts)), list(zip(begins, ends)), length, anchor, hasher
                 )
                 part = np.searchsorted(begins, lo, side="right") - 1
                 row = pa.array(np.array([g[0] for g in group])[part])
@@ -258,6 +283,104 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     return ranges.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
+def words_of(data: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, and where it starts."""
+    edges = np.flatnonzero(np.diff(_SPACE[data], prepend=True, append=True))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    codes, at = np.empty(len(starts), _U), 0
+    while at < len(starts):
+        base = starts[at]
+        to = int(np.searchsorted(starts, base + _CHUNK - _LONG))
+        sums = hasher.prefix(data[base : base + _CHUNK])
+        codes[at:to] = hasher.at(sums, starts[at:to] - base, np.minimum(sizes[at:to], _LONG))
+        at = to
+    for i in np.flatnonzero(sizes > _LONG):
+        word = data[starts[i] : starts[i] + sizes[i]].tobytes()
+        codes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return codes, starts
+
+
+def _word_runs(texts: list, hasher: Hasher) -> Iterator[tuple]:
+    """(row, name, content, first, size) of the runs of strings of words; ``first`` is the word of its text."""
+    held, total = [], 0
+    for row, text in enumerate(texts):
+        held.append(row)
+        total += len(text)
+        if total < _CHUNK and row + 1 < len(texts):
+            continue
+        offsets = np.cumsum([0, *(len(texts[r]) + 1 for r in held)])
+        codes, starts = words_of(np.frombuffer(b"\n".join(texts[r] for r in held), np.uint8), hasher)
+        cuts = np.searchsorted(starts, offsets)
+        for part in range(0, len(codes), _CHUNK - WORDS + 1):
+            ends = np.clip(cuts - part, 0, _CHUNK)
+            spans = [(a, b) for a, b in zip(ends, ends[1:]) if b - a >= WORDS]
+            if spans:
+                sums = hasher.running(codes[part : part + _CHUNK])
+                name, content, lo, _, _, size, _ = runs_of(sums, spans, WORDS, ANCHOR_WORDS, hasher)
+                text_of = np.searchsorted(cuts, lo + part, side="right") - 1
+                yield np.array(held)[text_of], name, content, lo + part - cuts[text_of], size
+        held, total = [], 0
+
+
+def _passage_runs(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(_CHUNK, 1)
+        for batch in batches:
+            texts = [t.as_buffer() if t.is_valid else b"" for t in batch.column("text")]
+            for row, name, content, first, size in _word_runs(texts, hasher):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name.view(np.int64)), pa.array(content.view(np.int64)), batch.column("who").take(pa.array(row)),
+                     pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))],
+                    ["name", "content", "who", "first", "size"],
+                )
+
+    return rows.select("who", "text").mapInArrow(run, "name long, content long, who long, first int, size int")
+
+
+def _passages(wanted: DataFrame) -> DataFrame:
+    """(who, passage): a hash of every string of words in the wanted runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(_CHUNK, 2)
+        for batch in batches:
+            hashes: list[np.ndarray] = []
+            times = []
+            for text, found in zip(batch.column("text"), batch.column("found").to_pylist()):
+                codes, _ = words_of(np.frombuffer(text.as_buffer(), np.uint8), hasher)
+                for r in found:
+                    sums = hasher.running(codes[r["first"] : r["first"] + r["size"] + WORDS - 1])
+                    hashes.append(hasher.at(sums, np.arange(r["size"]), WORDS))
+                times.append(sum(r["size"] for r in found))
+            who = np.repeat(batch.column("who").to_numpy(), times)
+            passage = np.concatenate(hashes or [np.empty(0, _U)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(passage)], ["who", "passage"])
+
+    return wanted.mapInArrow(run, "who long, passage long")
+
+
+def _shared(frame: DataFrame, *key: str) -> DataFrame:
+    """The keys that more than one document has."""
+    several = frame.groupBy(*key).agg(F.min("who").alias("least"), F.max("who").alias("most"))
+    return several.where("least <> most").select(*key)
+
+
+def sharing_passages(documents: DataFrame) -> DataFrame:
+    """(doc_id, mark) of the documents that share ``WORDS`` words in sequence with another one."""
+    rows = _marked(documents).withColumn("who", F.xxhash64("doc_id", "mark"))
+    # So many words have one white space less, and a byte each.
+    runs = _passage_runs(rows.where(F.octet_length("text") >= 2 * WORDS - 1))
+    common = keep(runs.join(_shared(runs, "name"), "name"), "passages")
+    alike = common.join(_shared(common, "name", "content"), ["name", "content"])
+    sure = keep(alike.select("who").distinct(), "passages")
+    # Of the others each different run of an anchor is taken once; a document that is not sure has all of its own.
+    unsure = common.join(sure, "who", "left_anti").select("name").distinct()
+    once = common.join(unsure, "name", "left_semi").groupBy("name", "content").agg(F.min(F.struct("who", "first", "size")).alias("one"))
+    per_text = once.select("one.*").groupBy("who").agg(F.collect_list(F.struct("first", "size")).alias("found"))
+    passages = keep(_passages(rows.join(per_text, "who").select("who", "text", "found")), "passages")
+    more = passages.join(_shared(passages, "passage"), "passage").select("who")
+    return rows.join(sure.unionByName(more).distinct(), "who", "left_semi").select("doc_id", "mark")
+
+
 def spans_of(ranges: list[dict] | None, length: int = LENGTH) -> list[tuple[int, int]]:
     """The maximal byte spans (start, end) covered by strings that start in the ranges."""
     spans: list[tuple[int, int]] = []
@@ -274,23 +397,41 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def _with_ranges(documents: DataFrame, length: int) -> tuple[DataFrame, str, str]:
-    """The documents with the ranges of each row, and the names of the two added columns."""
+def _with_ranges(documents: DataFrame, length: int, sharing: DataFrame | None = None) -> tuple[DataFrame, str, str]:
+    """The documents with the ranges of each row, and the names of the two added columns.
+
+    With ``sharing``, (doc_id, mark) of some documents, there is a column ``shares_passage`` too, true or null.
+    """
     ranges, body, ident, mark = (own_column(documents, n) for n in ("_ranges", "_body", "_id", "_mark"))
-    found = keep(repeated_starts(documents, length), "suffix").toDF(ident, mark, ranges)
+    found = keep(repeated_starts(documents, length), "suffix")
+    if sharing is not None:
+        both = found.withColumn("shares_passage", F.lit(None).cast("boolean")).unionByName(
+            sharing.withColumn("shares_passage", F.lit(True)), allowMissingColumns=True
+        )
+        found = both.groupBy("doc_id", "mark").agg(
+            F.first("ranges", ignorenulls=True).alias("ranges"), F.max("shares_passage").alias("shares_passage")
+        )
+    found = found.toDF(ident, mark, ranges, *found.columns[3:])
     same = documents["doc_id"].cast("long").eqNullSafe(found[ident]) & (F.xxhash64(documents["text"]) == found[mark])
     joined = documents.join(found, same, "left").drop(ident, mark)
     return joined.withColumn(body, F.col("text").cast("binary")), ranges, body
 
 
 def report(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) per document; spans are byte positions."""
-    joined, ranges, body = _with_ranges(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), length)
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, shares_passage) per document; spans are byte positions.
+
+    ``shares_passage`` says whether another document has a passage of over 50 words of it, shorter ones than ``length`` included.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Finished before the rest begins, whose files would lie beside its own.
+    sharing = keep(sharing_passages(rows), "passages")
+    joined, ranges, body = _with_ranges(rows, length, sharing)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {k: [] for k in schema.names}
             out["doc_id"] = batch.column("doc_id").to_pylist()
+            out["shares_passage"] = batch.column("shares_passage").to_pylist()
             for text, found in zip(batch.column(body), batch.column(ranges).to_pylist()):
                 data = text.as_py() or b""
                 spans = spans_of(found, length)
@@ -304,10 +445,11 @@ def report(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                        ("kept_sha256", pa.string()), ("spans", pa.list_(span))])
-    return joined.select("doc_id", body, ranges).mapInArrow(
+                        ("kept_sha256", pa.string()), ("spans", pa.list_(span)), ("shares_passage", pa.bool_())])
+    return joined.select("doc_id", body, ranges, F.coalesce("shares_passage", F.lit(False)).alias("shares_passage")).mapInArrow(
         run,
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>",
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+        "spans array<struct<start:long,end:long>>, shares_passage boolean",
     )
 
 
